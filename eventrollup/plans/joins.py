@@ -1,0 +1,24 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side above this many rows takes the shuffle path instead.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join ``big`` with a side expected to be small.
+
+    The small side is cached and counted first; it is broadcast only if the
+    count is within ``max_rows``.  Otherwise the join stays a shuffle join
+    and AQE's skew handling splits hot keys.  Only the row count reaches the
+    driver.
+    """
+    small = small.cache()
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
