@@ -13,6 +13,7 @@ UNITS = {"m": "minute", "H": "hour", "D": "day", "M": "month", "Y": "year"}
 SRC = {
     "events": "SELECT event_type AS event, ts FROM events",
     "orders": "SELECT o_orderpriority AS event, o_orderdate AS ts FROM orders",
+    "lineitem": "SELECT l_returnflag AS event, l_shipdate AS ts FROM lineitem",
 }
 
 
@@ -136,6 +137,7 @@ ORACLES: dict[str, str] = {
                    f"FROM ({SRC['orders']}) GROUP BY ALL"),
     "batch_view": _view_sql(EV),
     "batch_view_orders": _view_sql(SRC["orders"]),
+    "batch_view_lineitem": _view_sql(SRC["lineitem"]),
     "event_types": "SELECT DISTINCT event_type AS event FROM events",
     "json_roundtrip": (f"SELECT event, date_trunc('minute', ts) AS bdate, CAST(count(*) AS BIGINT) AS count "
                        f"FROM ({EV}) GROUP BY ALL"),

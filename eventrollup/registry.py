@@ -112,6 +112,11 @@ def q_batch_view_orders(spark, sf_dir):
     return rollup.multi_grain_view(event_frame(spark, sf_dir, "orders"))
 
 
+def q_batch_view_lineitem(spark, sf_dir):
+    _prepare(spark)
+    return rollup.multi_grain_view(event_frame(spark, sf_dir, "lineitem"))
+
+
 def q_event_types(spark, sf_dir):
     return rollup.event_types(rollup.multi_grain_view(_events(spark, sf_dir)))
 
@@ -357,6 +362,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_year": _cascade_grain("orders", "Y"),
     "batch_view": q_batch_view,
     "batch_view_orders": q_batch_view_orders,
+    "batch_view_lineitem": q_batch_view_lineitem,
     "event_types": q_event_types,
     "json_roundtrip": q_json_roundtrip,
     "json_rejects": q_json_rejects,
