@@ -232,6 +232,7 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     view, ``horizon`` splits each request between the two views (exact mode).
     Invalid requests (to < from) get a null count.
     """
+    req_cols = ["_id", "event", "_lo", "_hi"]
     req = requests.select(F.col(id_col).alias("_id"), F.col(event_col).alias("event"),
                           F.col(from_col).alias("_lo"), F.col(to_col).alias("_hi"))
     sides = []
@@ -246,17 +247,17 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     matched = None
     for view, lo, hi, stored in sides:
         chain = _chain(levels, stored)
-        keys = (req.select("_id", "event", F.explode(cover_keys(chain, lo, hi)).alias("k"))
-                .select("_id", "event", F.col("k.bucket").alias("bucket"), F.col("k.bdate").alias("bdate")))
-        part = keys.join(view.select(*VIEW_COLUMNS), ["event", "bucket", "bdate"], "inner") \
-            .select("_id", "count")
+        # explode_outer keeps a request whose cover is empty (it sums to 0).
+        keys = (req.select(*req_cols, F.explode_outer(cover_keys(chain, lo, hi)).alias("k"))
+                .select(*req_cols, F.col("k.bucket").alias("bucket"), F.col("k.bdate").alias("bdate")))
+        part = (keys.join(view.select(*VIEW_COLUMNS), ["event", "bucket", "bdate"], "left")
+                .select(*req_cols, "count"))
         matched = part if matched is None else matched.unionByName(part)
-    sums = matched.groupBy("_id").agg(F.sum("count").alias("_total"))
-    out = req.join(sums, "_id", "left")
-    total = F.coalesce(F.col("_total"), F.lit(0)).cast("bigint")
+    total = F.coalesce(F.sum("count"), F.lit(0)).cast("bigint")
+    out = matched.groupBy(*req_cols).agg(total.alias("_total"))
     return out.select(F.col("_id").alias(id_col), F.col("event").alias(event_col),
                       F.col("_lo").alias(from_col), F.col("_hi").alias(to_col),
-                      F.when(range_is_valid(F.col("_lo"), F.col("_hi")), total).alias("count"))
+                      F.when(range_is_valid(F.col("_lo"), F.col("_hi")), F.col("_total")).alias("count"))
 
 
 __all__ = [

@@ -15,15 +15,25 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Broadcast only on sizes measured at run time: the static planner
+    # estimates aggregates from compressed file sizes, which can be far off.
+    # AQE converts a join to a broadcast once a finished stage is below the
+    # adaptive threshold, and keeps the shuffle join otherwise.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     "spark.ui.enabled": "false",
 }
 
 
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                app_name: str = "eventrollup", **extra: str) -> SparkSession:
+                app_name: str = "eventrollup", driver_memory: str | None = None,
+                **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # Local mode runs every task inside the driver JVM.
+        conf["spark.driver.memory"] = driver_memory or "12g"
     conf.update(extra)
     for key, value in conf.items():
         builder = builder.config(key, value)
