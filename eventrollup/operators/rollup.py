@@ -78,6 +78,21 @@ def multi_grain_view(events: DataFrame, grains: Sequence[str] = GRAIN_CODES,
     return expand_counts(minute_counts(events, ts), grains).select(*VIEW_COLUMNS)
 
 
+def complete_grains(view: DataFrame, stored: Sequence[str]) -> DataFrame:
+    """Add the grains coarser than the coarsest stored one, rolled up from it.
+
+    For totals only: the speed view keeps m and H, and its day, month and
+    year sums are the sums of its hour rows, so a range can be tiled with
+    few coarse keys instead of one key per hour.
+    """
+    top = max(stored, key=GRAIN_CODES.index)
+    missing = GRAIN_CODES[GRAIN_CODES.index(top) + 1:]
+    if not missing:
+        return view.select(*VIEW_COLUMNS)
+    base = view.where(F.col("bucket") == top).select("event", "bdate", "count")
+    return view.select(*VIEW_COLUMNS).unionByName(expand_counts(base, missing).select(*VIEW_COLUMNS))
+
+
 def event_types(view: DataFrame) -> DataFrame:
     """Distinct event names, kept as a DataFrame.
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from eventrollup.functions.buckets import (
+    GRAIN_NAMES,
     GRAIN_UNITS,
     bucket_ceil,
     bucket_start,
@@ -35,6 +36,7 @@ from eventrollup.functions.buckets import (
     is_coarser,
 )
 from eventrollup.functions.ranges import as_bound, contained, enclosing_contained
+from eventrollup.operators.profiles import PARENT, SLOTS, index_in_parent
 
 
 def effective_levels(levels: Sequence[str]) -> tuple[str, ...]:
@@ -95,3 +97,69 @@ def cover_keys(levels: Sequence[str], left, right) -> Column:
                           .otherwise(run(code, a, z)))
         prev = (a, z)
     return F.concat(*pieces) if len(pieces) > 1 else pieces[0]
+
+
+def cover_bounds(levels: Sequence[str], left, right) -> dict[str, Column]:
+    """Per grain of the chain: ``a_<g>`` = first whole bucket start at or after
+    ``left``, ``z_<g>`` = start of the bucket holding ``right``.
+
+    Select these once as columns (``df.select("*", *bounds.values())``) and
+    pass ``bounds_from_columns`` to ``top_keys``/``edge_lookups``, so each
+    calendar expression is evaluated once per row.
+    """
+    lo, hi = as_bound(left), as_bound(right)
+    out = {}
+    for code in effective_levels(levels):
+        name = GRAIN_NAMES[code]  # not the code: column names ignore case (m vs M)
+        out[f"_a_{name}"] = bucket_ceil(code, lo).alias(f"_a_{name}")
+        out[f"_z_{name}"] = bucket_start(code, hi).alias(f"_z_{name}")
+    return out
+
+
+def bounds_from_columns(levels: Sequence[str]) -> dict[str, tuple[Column, Column]]:
+    return {code: (F.col(f"_a_{GRAIN_NAMES[code]}"), F.col(f"_z_{GRAIN_NAMES[code]}"))
+            for code in effective_levels(levels)}
+
+
+def top_keys(levels: Sequence[str], bounds: dict[str, tuple[Column, Column]]) -> Column:
+    """(bucket, bdate) keys of the coarsest grain's whole buckets in the range."""
+    code = effective_levels(levels)[0]
+    a, z = bounds[code]
+    unit = GRAIN_UNITS[code]
+    last = F.greatest(a, F.timestamp_add(unit, F.lit(-1), z))
+    seq = F.sequence(a, last, F.expr(f"INTERVAL 1 {unit}"))
+    keyed = F.transform(seq, lambda t: F.struct(F.lit(code).alias("bucket"), t.alias("bdate")))
+    empty = F.array().cast("array<struct<bucket:string,bdate:timestamp_ntz>>")
+    return F.when(a < z, keyed).otherwise(empty)
+
+
+def edge_lookups(levels: Sequence[str], bounds: dict[str, tuple[Column, Column]]) -> Column:
+    """Profile lookups for every grain below the coarsest one (at most two each).
+
+    Each lookup is (bucket, parent, i0, i1): the whole ``bucket`` buckets with
+    index in [i0, i1) inside the ``parent`` bucket.  Together with
+    ``top_keys`` they tile the range exactly like ``cover_keys``.
+    Unused slots are null: explode, then drop null rows with a plain filter.
+    """
+    chain = effective_levels(levels)
+    for parent, child in zip(chain, chain[1:]):
+        if PARENT.get(child) != parent:
+            raise ValueError(f"edge lookups need consecutive grains, got {chain}")
+    out = []
+    for parent, child in zip(chain, chain[1:]):
+        a, z = bounds[child]
+        pa, pz = bounds[parent]
+
+        def look(par, i0, i1, ok, code=child):
+            return F.when(ok, F.struct(F.lit(code).alias("bucket"), par.alias("parent"),
+                                       i0.cast("int").alias("i0"), i1.cast("int").alias("i1")))
+
+        n = F.lit(SLOTS[child])
+        # Left run [a, pa) sits in the parent bucket just before pa.
+        left_parent = F.timestamp_add(GRAIN_UNITS[parent], F.lit(-1), pa)
+        out.append(look(left_parent, index_in_parent(child, a), n, (pa <= pz) & (a < pa)))
+        # Right run [pz, z) sits in the parent bucket starting at pz.
+        out.append(look(pz, F.lit(0), index_in_parent(child, z), (pa <= pz) & (pz < z)))
+        # No parent boundary inside the range: one run [a, z) in parent pz.
+        out.append(look(pz, index_in_parent(child, a), index_in_parent(child, z), (pa > pz) & (a < z)))
+    return F.array(*out)

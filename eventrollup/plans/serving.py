@@ -31,7 +31,16 @@ from eventrollup.functions.buckets import (
     check_levels,
 )
 from eventrollup.functions.ranges import as_bound, check_range, parse_instant, range_is_valid, ts_literal
-from eventrollup.plans.cover import cover_keys, cover_predicate, effective_levels
+from eventrollup.operators.profiles import edge_profiles
+from eventrollup.operators.rollup import complete_grains
+from eventrollup.plans.cover import (
+    bounds_from_columns,
+    cover_bounds,
+    cover_predicate,
+    edge_lookups,
+    effective_levels,
+    top_keys,
+)
 from eventrollup.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
 
 CUT_FIRST_SPEED = "first_speed_bucket"
@@ -133,10 +142,16 @@ def _requested(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(names)), schema)
 
 
-def _all_events(batch: DataFrame, speed: DataFrame | None) -> DataFrame:
-    names = batch.select("event")
+def _all_events(batch: DataFrame, speed: DataFrame | None,
+                batch_grains: Sequence[str] = GRAIN_CODES,
+                speed_grains: Sequence[str] = SPEED_GRAINS) -> DataFrame:
+    """Every event with data in either view, read from each view's coarsest
+    grain (one row per event and period: the smallest folder to scan)."""
+    top = max(batch_grains, key=lambda g: GRAIN_CODES.index(g))
+    names = batch.where(F.col("bucket") == top).select("event")
     if speed is not None:
-        names = names.unionByName(speed.select("event"))
+        s_top = max(speed_grains, key=lambda g: GRAIN_CODES.index(g))
+        names = names.unionByName(speed.where(F.col("bucket") == s_top).select("event"))
     return names.distinct()
 
 
@@ -152,7 +167,8 @@ def count_by_period(batch: DataFrame, speed: DataFrame | None, left, right, even
     totals = cover.groupBy("event").agg(F.sum("count").alias("_total"))
     names = _events_list(event)
     if names is None:
-        wanted = _all_events(batch, speed)
+        wanted = _all_events(batch, speed, merge.get("batch_grains", GRAIN_CODES),
+                             merge.get("speed_grains", SPEED_GRAINS))
     else:
         wanted = _requested(batch.sparkSession, names).select("event").distinct()
     return (wanted.join(totals, "event", "left")
@@ -226,11 +242,14 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
                       levels: Sequence[str] = ALL_LEVELS, horizon=None) -> DataFrame:
     """Totals for a whole table of (id, event, from, to) requests.
 
-    Each request is expanded to the keys of its cover (a bounded number per
-    request) and equi-joined to the view on (event, bucket, bdate): no range
-    join, no pairing of a request with all rows of its event.  With a speed
-    view, ``horizon`` splits each request between the two views (exact mode).
-    Invalid requests (to < from) get a null count.
+    The cover of each request is split into the whole buckets of the
+    coarsest grain (a few keys, equi-joined to the view) and at most two edge
+    runs per finer grain, each answered by one lookup in the edge profiles
+    (cumulative counts inside the parent bucket).  About ten rows per
+    request whatever the range, no range join, and no pairing of a request
+    with all rows of its event.  With a speed view, ``horizon`` splits each
+    request between the two views (exact mode).  Invalid requests (to <
+    from) get a null count.
     """
     req_cols = ["_id", "event", "_lo", "_hi"]
     req = requests.select(F.col(id_col).alias("_id"), F.col(event_col).alias("event"),
@@ -243,17 +262,32 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
         b_hi = F.least(F.col("_hi"), F.greatest(F.col("_lo"), h))
         s_lo = F.greatest(F.col("_lo"), F.least(F.col("_hi"), h))
         sides.append((batch, F.col("_lo"), b_hi, GRAIN_CODES))
-        sides.append((speed, s_lo, F.col("_hi"), SPEED_GRAINS))
-    matched = None
+        # Coarser speed grains rolled up from its hour rows: few keys per request.
+        sides.append((complete_grains(speed, SPEED_GRAINS), s_lo, F.col("_hi"), GRAIN_CODES))
+    parts = []
     for view, lo, hi, stored in sides:
         chain = _chain(levels, stored)
+        view = view.select(*VIEW_COLUMNS)
+        # Calendar bounds once per request, as plain columns.
+        bounded = req.select(*req_cols, *cover_bounds(chain, lo, hi).values())
+        bounds = bounds_from_columns(chain)
         # explode_outer keeps a request whose cover is empty (it sums to 0).
-        keys = (req.select(*req_cols, F.explode_outer(cover_keys(chain, lo, hi)).alias("k"))
+        tops = (bounded.select(*req_cols, F.explode_outer(top_keys(chain, bounds)).alias("k"))
                 .select(*req_cols, F.col("k.bucket").alias("bucket"), F.col("k.bdate").alias("bdate")))
-        part = (keys.join(view.select(*VIEW_COLUMNS), ["event", "bucket", "bdate"], "left")
-                .select(*req_cols, "count"))
-        matched = part if matched is None else matched.unionByName(part)
-    total = F.coalesce(F.sum("count"), F.lit(0)).cast("bigint")
+        parts.append(tops.join(view, ["event", "bucket", "bdate"], "left")
+                     .select(*req_cols, F.col("count").alias("part")))
+        if len(chain) > 1:
+            edges = (bounded.select(*req_cols, F.explode(edge_lookups(chain, bounds)).alias("k"))
+                     .where(F.col("k").isNotNull())
+                     .select(*req_cols, "k.bucket", "k.parent", "k.i0", "k.i1"))
+            profiles = edge_profiles(view, chain[1:])
+            part = (F.element_at("cum", F.col("i1") + 1) - F.element_at("cum", F.col("i0") + 1))
+            parts.append(edges.join(profiles, ["event", "bucket", "parent"], "left")
+                         .select(*req_cols, part.alias("part")))
+    matched = parts[0]
+    for p in parts[1:]:
+        matched = matched.unionByName(p)
+    total = F.coalesce(F.sum("part"), F.lit(0)).cast("bigint")
     out = matched.groupBy(*req_cols).agg(total.alias("_total"))
     return out.select(F.col("_id").alias(id_col), F.col("event").alias(event_col),
                       F.col("_lo").alias(from_col), F.col("_hi").alias(to_col),

@@ -59,10 +59,15 @@ def _events(spark, sf_dir) -> DataFrame:
 
 
 def _batch_speed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Build both views as the batch and speed layers would, store them, and
+    return readers of the stored views (grain folders prune, bdate and
+    event filters reach the Parquet scan)."""
     ev = _events(spark, sf_dir)
-    batch = rollup.multi_grain_view(ev.where(F.col("ts") < ts_literal(BATCH_BEFORE)))
-    spd = speed.speed_view_from_events(spark, ev.where(F.col("ts") >= ts_literal(SPEED_FROM)))
-    return batch, spd
+    batch_path, speed_path = work_dir(spark, "batch-view"), work_dir(spark, "speed-view")
+    views.write_view(rollup.multi_grain_view(ev.where(F.col("ts") < ts_literal(BATCH_BEFORE))), batch_path)
+    recent = speed.speed_view_from_events(spark, ev.where(F.col("ts") >= ts_literal(SPEED_FROM)))
+    views.write_partials(recent, speed_path, 0)
+    return views.read_view(spark, batch_path), views.read_speed_view(spark, speed_path)
 
 
 # --- calendar and buckets ----------------------------------------------------
