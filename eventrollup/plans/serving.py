@@ -274,7 +274,10 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
         # explode_outer keeps a request whose cover is empty (it sums to 0).
         tops = (bounded.select(*req_cols, F.explode_outer(top_keys(chain, bounds)).alias("k"))
                 .select(*req_cols, F.col("k.bucket").alias("bucket"), F.col("k.bdate").alias("bdate")))
-        parts.append(tops.join(view, ["event", "bucket", "bdate"], "left")
+        # Only the coarsest grain's rows can match a top key: on a stored
+        # view this prunes every other grain folder before the shuffle.
+        top_rows = view.where(F.col("bucket") == chain[0])
+        parts.append(tops.join(top_rows, ["event", "bucket", "bdate"], "left")
                      .select(*req_cols, F.col("count").alias("part")))
         if len(chain) > 1:
             edges = (bounded.select(*req_cols, F.explode(edge_lookups(chain, bounds)).alias("k"))
