@@ -71,22 +71,31 @@ def start_speed_layer(lines: DataFrame, view_path: str, checkpoint: str,
 def windowed_counts(lines: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Stateful variant: minute windows, then hour windows chained on them.
 
-    Append mode only (Spark rejects update mode for chained windows).  Rows
-    older than the watermark are dropped, unlike the foreachBatch path, and
-    each window is emitted once the watermark passes its end.
+    The hour aggregation reads the minute windows' event time
+    (``window_time``), so each raw row is counted once per grain and the hour
+    state holds one row per open (event, hour), not the raw rows.  Append
+    mode only (Spark rejects update mode for chained windows).  Rows older
+    than the watermark are dropped, unlike the foreachBatch path, and each
+    window is emitted once the watermark passes its end.
     """
     events = good_rows(parse_raw(lines)).select("event", F.col("ts").cast("timestamp").alias("ts"))
     minutes = (events.withWatermark("ts", watermark)
                .groupBy("event", F.window("ts", "1 minute").alias("w"))
                .agg(F.count(F.lit(1)).alias("count")))
-    return minutes.select("event", F.lit("m").alias("bucket"),
-                          F.col("w.start").cast("timestamp_ntz").alias("bdate"),
-                          F.col("count").cast("bigint").alias("count"))
+    hours = (minutes.groupBy("event", F.window(F.window_time("w"), "1 hour").alias("w"))
+             .agg(F.sum("count").alias("count")))
+
+    def shaped(df: DataFrame, code: str) -> DataFrame:
+        return df.select("event", F.lit(code).alias("bucket"),
+                         F.col("w.start").cast("timestamp_ntz").alias("bdate"),
+                         F.col("count").cast("bigint").alias("count"))
+
+    return shaped(minutes, "m").unionByName(shaped(hours, "H"))
 
 
 def start_windowed(lines: DataFrame, out_path: str, checkpoint: str, watermark: str = "10 minutes",
                    available_now: bool = False, processing_time: str | None = "1 second") -> StreamingQuery:
-    """Write windowed minute counts to a Parquet sink in append mode."""
+    """Write windowed minute and hour counts to a Parquet sink in append mode."""
     writer = (windowed_counts(lines, watermark).writeStream.format("parquet")
               .outputMode("append")
               .option("checkpointLocation", checkpoint)
