@@ -136,6 +136,8 @@ ORACLES: dict[str, str] = {
     "count_year": (f"SELECT event, date_trunc('year', ts) AS bdate, CAST(count(*) AS BIGINT) AS count "
                    f"FROM ({SRC['orders']}) GROUP BY ALL"),
     "batch_view": _view_sql(EV),
+    "batch_rebuild": _view_sql(EV),
+    "batch_refresh": _view_sql(EV),
     "batch_view_orders": _view_sql(SRC["orders"]),
     "batch_view_lineitem": _view_sql(SRC["lineitem"]),
     "event_types": "SELECT DISTINCT event_type AS event FROM events",

@@ -29,6 +29,7 @@ from eventrollup.functions.ranges import (
     ts_literal,
 )
 from eventrollup.operators import rollup, views
+from eventrollup.plans import batch as batch_runs
 from eventrollup.plans import serving
 from eventrollup.plans.cover import cover_predicate
 from eventrollup.session import work_dir
@@ -188,6 +189,30 @@ def q_raw_landing(spark, sf_dir):
     return master.read_master(spark, master_dir).groupBy("event").agg(F.count(F.lit(1)).alias("count"))
 
 
+def q_batch_rebuild(spark, sf_dir):
+    """Landing JSON -> master -> view, run twice: the second run changes nothing."""
+    _prepare(spark)
+    folder = _land_events(spark, sf_dir, "landing")
+    master_dir, view_path = work_dir(spark, "master"), work_dir(spark, "batch-view")
+    batch_runs.rebuild(spark, folder, master_dir, view_path)
+    batch_runs.rebuild(spark, folder, master_dir, view_path)
+    return views.read_view(spark, view_path)
+
+
+def q_batch_refresh(spark, sf_dir):
+    """Two landing drops ingested incrementally; the view is upserted after each."""
+    _prepare(spark)
+    src = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("event"), "ts")
+    folder = work_dir(spark, "landing")
+    master_dir, view_path = work_dir(spark, "master"), work_dir(spark, "batch-view")
+    ckpt = work_dir(spark, "ckpt-ingest")
+    landing.land_batch(landing.to_raw_json(src.where(F.col("ts") < ts_literal(BATCH_BEFORE))), folder)
+    batch_runs.refresh(spark, folder, master_dir, view_path, ckpt)
+    landing.land_batch(landing.to_raw_json(src.where(F.col("ts") >= ts_literal(BATCH_BEFORE))), folder)
+    batch_runs.refresh(spark, folder, master_dir, view_path, ckpt)
+    return views.read_view(spark, view_path)
+
+
 # --- views: upsert and changes -----------------------------------------------
 
 def q_changed_rows(spark, sf_dir):
@@ -374,6 +399,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "master_dataset": q_master_dataset,
     "master_range": q_master_range,
     "raw_landing": q_raw_landing,
+    "batch_rebuild": q_batch_rebuild,
+    "batch_refresh": q_batch_refresh,
     "changed_rows": q_changed_rows,
     "upsert_batch_view": q_upsert_batch_view,
     "view_range_read": q_view_range_read,
