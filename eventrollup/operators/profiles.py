@@ -59,3 +59,15 @@ def edge_profiles(view: DataFrame, grains: Sequence[str]) -> DataFrame:
         lambda k: F.aggregate(F.filter("cells", lambda x: x["i"] < k), F.lit(0).cast("bigint"),
                               lambda acc, x: acc + x["c"]))
     return cells.select("event", "bucket", "parent", cum.alias("cum"))
+
+
+def top_profiles(view: DataFrame, code: str) -> DataFrame:
+    """Single-slot profiles of the coarsest grain: (event, bucket, parent=bdate, [0, count]).
+
+    Lets a top bucket be looked up like an edge run (``i0=0, i1=1``), so a
+    range needs one join against ``top_profiles`` + ``edge_profiles``.
+    """
+    rows = view.where(F.col("bucket") == check_grain(code))
+    return rows.select("event", "bucket", F.col("bdate").alias("parent"),
+                       F.array(F.lit(0).cast("bigint"), F.col("count").cast("bigint")).alias("cum"))
+

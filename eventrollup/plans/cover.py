@@ -163,3 +163,22 @@ def edge_lookups(levels: Sequence[str], bounds: dict[str, tuple[Column, Column]]
         # No parent boundary inside the range: one run [a, z) in parent pz.
         out.append(look(pz, index_in_parent(child, a), index_in_parent(child, z), (pa > pz) & (a < z)))
     return F.array(*out)
+
+
+def range_lookups(levels: Sequence[str], bounds: dict[str, tuple[Column, Column]]) -> Column:
+    """All profile lookups of one range as one array of (bucket, parent, i0, i1).
+
+    The coarsest grain's whole buckets become single-slot lookups keyed by
+    their own start (``top_profiles`` serves them), the finer grains' edge
+    runs come from ``edge_lookups``.  One join against the union of both
+    profile kinds answers the whole cover; unused slots are dropped here, so
+    an empty cover gives an empty array.
+    """
+    chain = effective_levels(levels)
+    tops = F.transform(top_keys(chain, bounds), lambda k: F.struct(
+        k["bucket"].alias("bucket"), k["bdate"].alias("parent"),
+        F.lit(0).alias("i0"), F.lit(1).alias("i1")))
+    if len(chain) == 1:
+        return tops
+    return F.filter(F.concat(tops, edge_lookups(chain, bounds)), lambda k: k.isNotNull())
+

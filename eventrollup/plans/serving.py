@@ -17,6 +17,7 @@ when the batch is complete before it and the stream after it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +32,14 @@ from eventrollup.functions.buckets import (
     check_levels,
 )
 from eventrollup.functions.ranges import as_bound, check_range, parse_instant, range_is_valid, ts_literal
-from eventrollup.operators.profiles import edge_profiles
+from eventrollup.operators.profiles import edge_profiles, top_profiles
 from eventrollup.operators.rollup import complete_grains
 from eventrollup.plans.cover import (
     bounds_from_columns,
     cover_bounds,
     cover_predicate,
-    edge_lookups,
     effective_levels,
-    top_keys,
+    range_lookups,
 )
 from eventrollup.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
 
@@ -236,6 +236,15 @@ def compare_events(batch: DataFrame, speed: DataFrame | None, events_text: str,
             .orderBy("pos"))
 
 
+def _tag_side(side: str):
+    """Lambda for ``transform`` adding the view tag to each lookup (one
+    argument only: a two-argument lambda would receive the element index)."""
+    def tag(k: Column) -> Column:
+        return F.struct(F.lit(side).alias("side"), k["bucket"].alias("bucket"),
+                        k["parent"].alias("parent"), k["i0"].alias("i0"), k["i1"].alias("i1"))
+    return tag
+
+
 def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame | None = None,
                       id_col: str = "request_id", event_col: str = "event",
                       from_col: str = "from_ts", to_col: str = "to_ts",
@@ -243,53 +252,54 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     """Totals for a whole table of (id, event, from, to) requests.
 
     The cover of each request is split into the whole buckets of the
-    coarsest grain (a few keys, equi-joined to the view) and at most two edge
-    runs per finer grain, each answered by one lookup in the edge profiles
-    (cumulative counts inside the parent bucket).  About ten rows per
-    request whatever the range, no range join, and no pairing of a request
-    with all rows of its event.  With a speed view, ``horizon`` splits each
-    request between the two views (exact mode).  Invalid requests (to <
-    from) get a null count.
+    coarsest grain and at most two edge runs per finer grain.  Each piece is
+    one lookup (bucket, parent, i0, i1) into a profile table holding, per
+    (event, grain, parent bucket), the cumulative counts of the child
+    buckets; a top bucket is a one-slot profile of itself.  With a speed view
+    and ``horizon`` each request is split between the two views (exact
+    mode), and the pieces of both sides are tagged and looked up in the same
+    table.  So the request rows go through two shuffles in all, one equi-join
+    on (event, side, bucket, parent) and one sum per request, about ten rows
+    per request whatever the range: no range join, and no pairing of a
+    request with all rows of its event.  A hot lookup key is split by AQE's
+    skew join; the profile side is broadcast only when AQE has measured it
+    below its threshold.  Invalid requests (to < from) get a null count.
     """
     req_cols = ["_id", "event", "_lo", "_hi"]
     req = requests.select(F.col(id_col).alias("_id"), F.col(event_col).alias("event"),
                           F.col(from_col).alias("_lo"), F.col(to_col).alias("_hi"))
     sides = []
     if speed is None or horizon is None:
-        sides.append((batch, F.col("_lo"), F.col("_hi"), GRAIN_CODES))
+        sides.append(("b", batch, F.col("_lo"), F.col("_hi"), GRAIN_CODES))
     else:
         h = ts_literal(horizon)
         b_hi = F.least(F.col("_hi"), F.greatest(F.col("_lo"), h))
         s_lo = F.greatest(F.col("_lo"), F.least(F.col("_hi"), h))
-        sides.append((batch, F.col("_lo"), b_hi, GRAIN_CODES))
+        sides.append(("b", batch, F.col("_lo"), b_hi, GRAIN_CODES))
         # Coarser speed grains rolled up from its hour rows: few keys per request.
-        sides.append((complete_grains(speed, SPEED_GRAINS), s_lo, F.col("_hi"), GRAIN_CODES))
-    parts = []
-    for view, lo, hi, stored in sides:
+        sides.append(("s", complete_grains(speed, SPEED_GRAINS), s_lo, F.col("_hi"), GRAIN_CODES))
+    # One pass over the requests: each side's calendar bounds are selected
+    # once as plain columns, then turned into that side's tagged lookups.
+    keyed, key_cols, tables = req, [], []
+    for side, view, lo, hi, stored in sides:
         chain = _chain(levels, stored)
+        keyed = keyed.select(*req_cols, *key_cols, *cover_bounds(chain, lo, hi).values())
+        tagged = F.transform(range_lookups(chain, bounds_from_columns(chain)), _tag_side(side))
+        keyed = keyed.select(*req_cols, *key_cols, tagged.alias(f"_keys_{side}"))
+        key_cols.append(f"_keys_{side}")
         view = view.select(*VIEW_COLUMNS)
-        # Calendar bounds once per request, as plain columns.
-        bounded = req.select(*req_cols, *cover_bounds(chain, lo, hi).values())
-        bounds = bounds_from_columns(chain)
-        # explode_outer keeps a request whose cover is empty (it sums to 0).
-        tops = (bounded.select(*req_cols, F.explode_outer(top_keys(chain, bounds)).alias("k"))
-                .select(*req_cols, F.col("k.bucket").alias("bucket"), F.col("k.bdate").alias("bdate")))
-        # Only the coarsest grain's rows can match a top key: on a stored
-        # view this prunes every other grain folder before the shuffle.
-        top_rows = view.where(F.col("bucket") == chain[0])
-        parts.append(tops.join(top_rows, ["event", "bucket", "bdate"], "left")
-                     .select(*req_cols, F.col("count").alias("part")))
+        table = top_profiles(view, chain[0])
         if len(chain) > 1:
-            edges = (bounded.select(*req_cols, F.explode(edge_lookups(chain, bounds)).alias("k"))
-                     .where(F.col("k").isNotNull())
-                     .select(*req_cols, "k.bucket", "k.parent", "k.i0", "k.i1"))
-            profiles = edge_profiles(view, chain[1:])
-            part = (F.element_at("cum", F.col("i1") + 1) - F.element_at("cum", F.col("i0") + 1))
-            parts.append(edges.join(profiles, ["event", "bucket", "parent"], "left")
-                         .select(*req_cols, part.alias("part")))
-    matched = parts[0]
-    for p in parts[1:]:
-        matched = matched.unionByName(p)
+            table = table.unionByName(edge_profiles(view, chain[1:]))
+        tables.append(table.withColumn("side", F.lit(side)))
+    profiles = reduce(DataFrame.unionByName, tables)
+    keys = F.concat(*[F.col(c) for c in key_cols]) if len(key_cols) > 1 else F.col(key_cols[0])
+    # explode_outer keeps a request whose cover is empty (it sums to 0).
+    keyed = (keyed.select(*req_cols, F.explode_outer(keys).alias("k"))
+             .select(*req_cols, "k.side", "k.bucket", "k.parent", "k.i0", "k.i1"))
+    part = F.element_at("cum", F.col("i1") + 1) - F.element_at("cum", F.col("i0") + 1)
+    matched = (keyed.join(profiles, ["event", "side", "bucket", "parent"], "left")
+               .select(*req_cols, part.alias("part")))
     total = F.coalesce(F.sum("part"), F.lit(0)).cast("bigint")
     out = matched.groupBy(*req_cols).agg(total.alias("_total"))
     return out.select(F.col("_id").alias(id_col), F.col("event").alias(event_col),

@@ -58,3 +58,19 @@ def test_cut_is_broadcast(spark):
     batch, spd = R._batch_speed(spark, SF001)
     plan = _plan(serving.merged_cover(batch, spd, *R.RANGE))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_many_ranges_one_lookup_join(spark):
+    """Both views' pieces of every request go through a single equi-join, and
+    the request table is scanned once (AQE off: the static plan shape)."""
+    batch, spd = R._batch_speed(spark, SF001)
+    requests = (event_frame(spark, SF001)
+                .selectExpr("monotonically_increasing_id() AS request_id", "event",
+                            "ts - INTERVAL 20 HOURS AS from_ts", "ts + INTERVAL 40 HOURS AS to_ts"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(serving.count_many_ranges(requests, batch, spd, horizon=R.BATCH_BEFORE))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin") == 1
+    assert plan.count("events.parquet") == 1
