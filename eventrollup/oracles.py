@@ -92,6 +92,18 @@ def _speed_view_sql() -> str:
     return _view_sql(EV, ("m", "H"))
 
 
+def _windowed_sql() -> str:
+    """Append-mode windows: a minute or hour window is emitted once the final
+    watermark (latest event time, whole seconds as landed, minus the delay)
+    has passed its end; the still-open ones are not.  Exact when no row
+    arrives behind an earlier batch's watermark (one landing file here)."""
+    return f"""
+WITH wm AS (SELECT max(date_trunc('second', ts)) - INTERVAL {R.WATERMARK_MINUTES} MINUTE AS w FROM ({EV}))
+SELECT v.event, v.bucket, v.bdate, v.count FROM ({_view_sql(EV, ("m", "H"))}) v, wm
+WHERE (v.bucket = 'm' AND v.bdate + INTERVAL 1 MINUTE <= wm.w)
+   OR (v.bucket = 'H' AND v.bdate + INTERVAL 1 HOUR <= wm.w)"""
+
+
 def _compare_sql() -> str:
     names = [n.strip() for n in R.COMPARE_LIST.split(",")]
     values = ", ".join(f"({i}, '{n}')" for i, n in enumerate(names))
@@ -161,6 +173,7 @@ WHERE n.count IS DISTINCT FROM o.count""",
     "speed_view": _speed_view_sql(),
     "speed_view_replay": _speed_view_sql(),
     "speed_view_compacted": _speed_view_sql(),
+    "speed_windowed_append": _windowed_sql(),
     "range_predicates": """
 SELECT event_id,
   date_trunc('hour', ts) = date_trunc('minute', ts) AS a_empty,

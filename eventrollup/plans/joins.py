@@ -13,12 +13,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
-    The small side is cached and counted first; it is broadcast only if the
-    count is within ``max_rows``.  Otherwise the join stays a shuffle join
-    and AQE's skew handling splits hot keys.  Only the row count reaches the
-    driver.
+    The small side is cached and counted first; it is broadcast (and stays
+    cached, at most ``max_rows`` rows) only if the count is within the bound.
+    Otherwise the cache is dropped, the join stays a shuffle join and AQE's
+    skew handling splits hot keys.  Only the row count reaches the driver.
     """
-    small = small.cache()
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
+    cached = small.cache()
+    if cached.count() <= max_rows:
+        return big.join(F.broadcast(cached), on, how)
+    # Over the bound: release the cache and leave the side to the shuffle join.
+    cached.unpersist()
     return big.join(small, on, how)

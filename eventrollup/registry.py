@@ -46,6 +46,7 @@ COMPARE_LIST = "view, nope, click ,purchase"
 REQUEST_BEFORE_HOURS = 20
 REQUEST_AFTER_HOURS = 40
 SPEED_FILES_PER_TRIGGER = 2
+WATERMARK_MINUTES = 10               # windowed speed variant: allowed lateness
 
 
 def _prepare(spark: SparkSession) -> None:
@@ -287,7 +288,8 @@ def q_speed_windowed_append(spark, sf_dir):
     folder = _land_events(spark, sf_dir, "landing")
     lines = landing.text_source(spark, folder, max_files_per_trigger=SPEED_FILES_PER_TRIGGER)
     out = work_dir(spark, "speed-windowed")
-    query = speed.start_windowed(lines, out, work_dir(spark, "ckpt-windowed"), available_now=True)
+    query = speed.start_windowed(lines, out, work_dir(spark, "ckpt-windowed"),
+                                 watermark=f"{WATERMARK_MINUTES} minutes", available_now=True)
     speed.run_until_done(query)
     return spark.read.parquet(out)
 
