@@ -14,8 +14,10 @@ filter, not a loop: one scan, no join, literal or per-row bounds alike.
 (The reference's loop over-counts when, after the first match, only one
 edge has rows at a level; the filter is the intended result.)
 
-``cover_keys`` is the same tiling generated from the bounds alone, used to
-answer many ranges by an equi-join instead of a range join.
+``cover_keys`` is the same tiling generated from the bounds alone, and
+``lookup_slots`` its compact form (whole top buckets plus edge runs inside
+one parent each), used to answer many ranges by an equi-join instead of a
+range join.
 """
 
 from __future__ import annotations
@@ -104,7 +106,7 @@ def cover_bounds(levels: Sequence[str], left, right) -> dict[str, Column]:
     ``left``, ``z_<g>`` = start of the bucket holding ``right``.
 
     Select these once as columns (``df.select("*", *bounds.values())``) and
-    pass ``bounds_from_columns`` to ``top_keys``/``edge_lookups``, so each
+    pass ``bounds_from_columns`` to ``lookup_slots``, so each
     calendar expression is evaluated once per row.
     """
     lo, hi = as_bound(left), as_bound(right)
@@ -121,64 +123,58 @@ def bounds_from_columns(levels: Sequence[str]) -> dict[str, tuple[Column, Column
             for code in effective_levels(levels)}
 
 
-def top_keys(levels: Sequence[str], bounds: dict[str, tuple[Column, Column]]) -> Column:
-    """(bucket, bdate) keys of the coarsest grain's whole buckets in the range."""
-    code = effective_levels(levels)[0]
-    a, z = bounds[code]
-    unit = GRAIN_UNITS[code]
-    last = F.greatest(a, F.timestamp_add(unit, F.lit(-1), z))
-    seq = F.sequence(a, last, F.expr(f"INTERVAL 1 {unit}"))
-    keyed = F.transform(seq, lambda t: F.struct(F.lit(code).alias("bucket"), t.alias("bdate")))
-    empty = F.array().cast("array<struct<bucket:string,bdate:timestamp_ntz>>")
-    return F.when(a < z, keyed).otherwise(empty)
-
-
-def edge_lookups(levels: Sequence[str], bounds: dict[str, tuple[Column, Column]]) -> Column:
-    """Profile lookups for every grain below the coarsest one (at most two each).
-
-    Each lookup is (bucket, parent, i0, i1): the whole ``bucket`` buckets with
-    index in [i0, i1) inside the ``parent`` bucket.  Together with
-    ``top_keys`` they tile the range exactly like ``cover_keys``.
-    Unused slots are null: explode, then drop null rows with a plain filter.
-    """
-    chain = effective_levels(levels)
+def _edge_runs(chain: Sequence[str], bounds: dict[str, tuple[Column, Column]]):
+    """(child code, parent start, i0, i1, applies) for each possible edge run."""
     for parent, child in zip(chain, chain[1:]):
         if PARENT.get(child) != parent:
             raise ValueError(f"edge lookups need consecutive grains, got {chain}")
-    out = []
     for parent, child in zip(chain, chain[1:]):
         a, z = bounds[child]
         pa, pz = bounds[parent]
-
-        def look(par, i0, i1, ok, code=child):
-            return F.when(ok, F.struct(F.lit(code).alias("bucket"), par.alias("parent"),
-                                       i0.cast("int").alias("i0"), i1.cast("int").alias("i1")))
-
         n = F.lit(SLOTS[child])
         # Left run [a, pa) sits in the parent bucket just before pa.
         left_parent = F.timestamp_add(GRAIN_UNITS[parent], F.lit(-1), pa)
-        out.append(look(left_parent, index_in_parent(child, a), n, (pa <= pz) & (a < pa)))
+        yield child, left_parent, index_in_parent(child, a), n, (pa <= pz) & (a < pa)
         # Right run [pz, z) sits in the parent bucket starting at pz.
-        out.append(look(pz, F.lit(0), index_in_parent(child, z), (pa <= pz) & (pz < z)))
+        yield child, pz, F.lit(0), index_in_parent(child, z), (pa <= pz) & (pz < z)
         # No parent boundary inside the range: one run [a, z) in parent pz.
-        out.append(look(pz, index_in_parent(child, a), index_in_parent(child, z), (pa > pz) & (a < z)))
-    return F.array(*out)
+        yield child, pz, index_in_parent(child, a), index_in_parent(child, z), (pa > pz) & (a < z)
+
+
+def lookup_slots(levels: Sequence[str], bounds: dict[str, tuple[Column, Column]],
+                 side: str) -> Column:
+    """Every profile lookup of one range as a fixed array of nullable slots.
+
+    Slot = (side, bucket, first, last, i0, i1): the runs of whole ``bucket``
+    buckets with index in [i0, i1) inside each parent bucket whose start is
+    in ``first`` .. ``last`` (stepping by the coarsest grain).  Slot 0 is the
+    coarsest grain's run of whole buckets, each a one-slot profile of itself
+    (``first`` .. ``last`` = its starts, [0, 1)); the others are the edge
+    runs of the finer grains, one parent each (``first`` = ``last``).
+    Unused slots are null.  Only plain array, struct and CASE expressions:
+    ``posexplode`` then ``explode(sequence(first, last, step))`` stay inside
+    whole-stage codegen, unlike higher-order functions over the array.
+    """
+    chain = effective_levels(levels)
+    tag = F.lit(side)
 
+    def slot(code, first, last, i0, i1, ok):
+        return F.when(ok, F.struct(tag.alias("side"), F.lit(code).alias("bucket"),
+                                   first.alias("first"), last.alias("last"),
+                                   i0.cast("int").alias("i0"), i1.cast("int").alias("i1")))
 
-def range_lookups(levels: Sequence[str], bounds: dict[str, tuple[Column, Column]]) -> Column:
-    """All profile lookups of one range as one array of (bucket, parent, i0, i1).
+    top = chain[0]
+    a, z = bounds[top]
+    slots = [slot(top, a, F.timestamp_add(GRAIN_UNITS[top], F.lit(-1), z), F.lit(0), F.lit(1), a < z)]
+    slots += [slot(code, par, par, i0, i1, ok) for code, par, i0, i1, ok in _edge_runs(chain, bounds)]
+    return F.array(*slots)
+
+
+def slot_count(levels: Sequence[str]) -> int:
+    """Length of the ``lookup_slots`` array: the top run plus three per finer grain."""
+    return 1 + 3 * (len(effective_levels(levels)) - 1)
 
-    The coarsest grain's whole buckets become single-slot lookups keyed by
-    their own start (``top_profiles`` serves them), the finer grains' edge
-    runs come from ``edge_lookups``.  One join against the union of both
-    profile kinds answers the whole cover; unused slots are dropped here, so
-    an empty cover gives an empty array.
-    """
-    chain = effective_levels(levels)
-    tops = F.transform(top_keys(chain, bounds), lambda k: F.struct(
-        k["bucket"].alias("bucket"), k["bdate"].alias("parent"),
-        F.lit(0).alias("i0"), F.lit(1).alias("i1")))
-    if len(chain) == 1:
-        return tops
-    return F.filter(F.concat(tops, edge_lookups(chain, bounds)), lambda k: k.isNotNull())
 
+def top_step(levels: Sequence[str]) -> Column:
+    """Step between the parents of a slot: one bucket of the coarsest grain."""
+    return F.expr(f"INTERVAL 1 {GRAIN_UNITS[effective_levels(levels)[0]]}")

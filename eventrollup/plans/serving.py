@@ -39,7 +39,9 @@ from eventrollup.plans.cover import (
     cover_bounds,
     cover_predicate,
     effective_levels,
-    range_lookups,
+    lookup_slots,
+    slot_count,
+    top_step,
 )
 from eventrollup.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
 
@@ -236,15 +238,6 @@ def compare_events(batch: DataFrame, speed: DataFrame | None, events_text: str,
             .orderBy("pos"))
 
 
-def _tag_side(side: str):
-    """Lambda for ``transform`` adding the view tag to each lookup (one
-    argument only: a two-argument lambda would receive the element index)."""
-    def tag(k: Column) -> Column:
-        return F.struct(F.lit(side).alias("side"), k["bucket"].alias("bucket"),
-                        k["parent"].alias("parent"), k["i0"].alias("i0"), k["i1"].alias("i1"))
-    return tag
-
-
 def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame | None = None,
                       id_col: str = "request_id", event_col: str = "event",
                       from_col: str = "from_ts", to_col: str = "to_ts",
@@ -261,9 +254,11 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     table.  So the request rows go through two shuffles in all, one equi-join
     on (event, side, bucket, parent) and one sum per request, about ten rows
     per request whatever the range: no range join, and no pairing of a
-    request with all rows of its event.  A hot lookup key is split by AQE's
-    skew join; the profile side is broadcast only when AQE has measured it
-    below its threshold.  Invalid requests (to < from) get a null count.
+    request with all rows of its event.  The pieces come from fixed slot
+    arrays (no higher-order functions), so the request side runs in one
+    whole-stage-codegen stage.  A hot lookup key is split by AQE's skew
+    join; the profile side is broadcast only when AQE has measured it below
+    its threshold.  Invalid requests (to < from) get a null count.
     """
     req_cols = ["_id", "event", "_lo", "_hi"]
     req = requests.select(F.col(id_col).alias("_id"), F.col(event_col).alias("event"),
@@ -279,24 +274,31 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
         # Coarser speed grains rolled up from its hour rows: few keys per request.
         sides.append(("s", complete_grains(speed, SPEED_GRAINS), s_lo, F.col("_hi"), GRAIN_CODES))
     # One pass over the requests: each side's calendar bounds are selected
-    # once as plain columns, then turned into that side's tagged lookups.
-    keyed, key_cols, tables = req, [], []
+    # once as plain columns, then turned into that side's lookup slots.
+    keyed, slot_cols, tables, steps = req, [], [], set()
     for side, view, lo, hi, stored in sides:
         chain = _chain(levels, stored)
-        keyed = keyed.select(*req_cols, *key_cols, *cover_bounds(chain, lo, hi).values())
-        tagged = F.transform(range_lookups(chain, bounds_from_columns(chain)), _tag_side(side))
-        keyed = keyed.select(*req_cols, *key_cols, tagged.alias(f"_keys_{side}"))
-        key_cols.append(f"_keys_{side}")
+        steps.add(chain[0])
+        keyed = keyed.select(*req_cols, *[c for c, _ in slot_cols], *cover_bounds(chain, lo, hi).values())
+        keyed = keyed.select(*req_cols, *[c for c, _ in slot_cols],
+                             lookup_slots(chain, bounds_from_columns(chain), side).alias(f"_slots_{side}"))
+        slot_cols.append((f"_slots_{side}", slot_count(chain)))
         view = view.select(*VIEW_COLUMNS)
         table = top_profiles(view, chain[0])
         if len(chain) > 1:
             table = table.unionByName(edge_profiles(view, chain[1:]))
         tables.append(table.withColumn("side", F.lit(side)))
+    if len(steps) != 1:
+        raise ValueError("both views need the same coarsest grain")
     profiles = reduce(DataFrame.unionByName, tables)
-    keys = F.concat(*[F.col(c) for c in key_cols]) if len(key_cols) > 1 else F.col(key_cols[0])
-    # explode_outer keeps a request whose cover is empty (it sums to 0).
-    keyed = (keyed.select(*req_cols, F.explode_outer(keys).alias("k"))
-             .select(*req_cols, "k.side", "k.bucket", "k.parent", "k.i0", "k.i1"))
+    slots = F.concat(*[F.col(c) for c, _ in slot_cols]) if len(slot_cols) > 1 else F.col(slot_cols[0][0])
+    # Unused slots are dropped; a request whose cover is empty (every slot
+    # null) keeps its slot 0 as one null row, so that it sums to 0.
+    empty = F.coalesce(*[F.col(c)[i] for c, n in slot_cols for i in range(n)]).isNull()
+    keyed = (keyed.select(*req_cols, empty.alias("_empty"), F.posexplode(slots).alias("pos", "k"))
+             .where(F.col("k").isNotNull() | ((F.col("pos") == 0) & F.col("_empty")))
+             .select(*req_cols, "k.side", "k.bucket", "k.i0", "k.i1",
+                     F.explode_outer(F.sequence("k.first", "k.last", top_step(steps.pop()))).alias("parent")))
     part = F.element_at("cum", F.col("i1") + 1) - F.element_at("cum", F.col("i0") + 1)
     matched = (keyed.join(profiles, ["event", "side", "bucket", "parent"], "left")
                .select(*req_cols, part.alias("part")))

@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every column function for
+    # error messages, one extra JVM round trip per call; the serving plans
+    # build a few thousand column expressions each, so this is planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
