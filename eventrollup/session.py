@@ -29,15 +29,46 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+# Starting points for a large cluster (about 100 TB of raw events, hundreds to
+# thousands of executors).  Shuffles start wide and AQE coalesces them to the
+# advisory size, so a partition fits in executor memory whether a stage
+# carries raw-sized or roll-up-sized data; file splits are larger than the
+# default to keep the task count of a full scan manageable; a shuffle
+# partition several times the median is split by the skew join; streaming
+# state (the windowed variant) lives in RocksDB instead of the JVM heap.
+# ``spark.checkpoint.dir`` must name a shared folder and is left to the
+# cluster's own configuration.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def get_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                 app_name: str = "eventrollup", driver_memory: str | None = None,
                 **extra: str) -> SparkSession:
+    """A session with the library's defaults.
+
+    Local masters (tests, bench) get ``shuffle_partitions`` and a large
+    driver heap; any other master gets ``CLUSTER_CONF`` as well.
+    """
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master.startswith("local"):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
         # Local mode runs every task inside the driver JVM.
         conf["spark.driver.memory"] = driver_memory or "12g"
+    else:
+        conf.update(CLUSTER_CONF)
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra)
     for key, value in conf.items():
         builder = builder.config(key, value)
