@@ -57,8 +57,9 @@ def _to_stored(view: DataFrame) -> DataFrame:
                        F.year("bdate").alias("period"))
 
 
-def _from_stored(stored: DataFrame) -> DataFrame:
-    return stored.select("event", bucket_code_for("grain").alias("bucket"), "bdate", "count")
+def _from_stored(stored: DataFrame, with_period: bool = False) -> DataFrame:
+    extra = ["period"] if with_period else []
+    return stored.select("event", bucket_code_for("grain").alias("bucket"), "bdate", "count", *extra)
 
 
 def _grain_filter(codes: Sequence[str] | None):
@@ -107,13 +108,19 @@ def write_view(view: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_view(spark: SparkSession, path: str, codes: Sequence[str] | None = None,
-              events: Sequence[str] | None = None, left=None, right=None) -> DataFrame:
-    """Point/range read (S8): grains prune folders, the rest reaches Parquet filters."""
+              events: Sequence[str] | None = None, left=None, right=None,
+              with_period: bool = False) -> DataFrame:
+    """Point/range read (S8): grains prune folders, the rest reaches Parquet filters.
+
+    ``with_period`` keeps the year folder as a column, so the serving
+    functions can prune year folders from the bounds of each query.
+    """
     try:
         stored = spark.read.schema(STORED_SCHEMA).parquet(path)
     except Exception as exc:
         if _is_missing(exc):
-            return spark.createDataFrame([], VIEW_SCHEMA)
+            empty = spark.createDataFrame([], VIEW_SCHEMA)
+            return empty.withColumn("period", F.lit(None).cast("int")) if with_period else empty
         raise
     cond = _grain_filter(codes)
     if cond is not None:
@@ -126,7 +133,7 @@ def read_view(spark: SparkSession, path: str, codes: Sequence[str] | None = None
     if right is not None:
         stored = stored.where(F.col("bdate") < as_bound(right))
         stored = stored.where(F.col("period") <= F.year(as_bound(right)))
-    return _from_stored(stored)
+    return _from_stored(stored, with_period)
 
 
 def check_floored(view: DataFrame) -> DataFrame:
@@ -192,8 +199,14 @@ def read_partials(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_speed_view(spark: SparkSession, path: str, codes: Sequence[str] | None = None,
-                    events: Sequence[str] | None = None, left=None, right=None) -> DataFrame:
-    """Speed view = partial counts summed per key (the counter merge, A10)."""
+                    events: Sequence[str] | None = None, left=None, right=None,
+                    with_period: bool = False) -> DataFrame:
+    """Speed view = partial counts summed per key (the counter merge, A10).
+
+    With ``with_period`` the year folder is kept (it is a function of
+    ``bdate``, so grouping by it changes nothing) and a filter on it later
+    reaches the partials' folders through the aggregate.
+    """
     parts = read_partials(spark, path)
     cond = _grain_filter(codes)
     if cond is not None:
@@ -204,9 +217,9 @@ def read_speed_view(spark: SparkSession, path: str, codes: Sequence[str] | None
         parts = parts.where(F.col("bdate") >= as_bound(left))
     if right is not None:
         parts = parts.where(F.col("bdate") < as_bound(right))
-    summed = (parts.groupBy("event", "grain", "bdate")
-              .agg(F.sum("count").cast("bigint").alias("count")))
-    return _from_stored(summed)
+    keys = ["event", "grain", "period", "bdate"] if with_period else ["event", "grain", "bdate"]
+    summed = parts.groupBy(*keys).agg(F.sum("count").cast("bigint").alias("count"))
+    return _from_stored(summed, with_period)
 
 
 def compact_partials(spark: SparkSession, path: str, out_path: str) -> int:

@@ -68,10 +68,14 @@ def _events_list(events) -> list[str] | None:
     return list(events)
 
 
-def _restrict(view: DataFrame | None, events) -> DataFrame | None:
+def _restrict(view: DataFrame | None, events, lo=None, hi=None) -> DataFrame | None:
+    """The view's four columns for the wanted events.  A view read with its
+    year folder (``period``) is first pruned to the years of [lo, hi)."""
     if view is None:
         return None
     names = _events_list(events)
+    if lo is not None and "period" in view.columns:
+        view = view.where((F.col("period") >= lo.year) & (F.col("period") <= hi.year))
     view = view.select(*VIEW_COLUMNS)
     return view if names is None else view.where(F.col("event").isin(names))
 
@@ -87,7 +91,7 @@ def view_cover(view: DataFrame, left, right, levels: Sequence[str] = REFERENCE_L
     """Cover rows of one view (Q0 over a single view, J3/J4 subsumed)."""
     lo, hi = check_range(left, right)
     chain = _chain(levels, stored)
-    view = _restrict(view, events)
+    view = _restrict(view, events, lo, hi)
     if not chain:
         return view.limit(0)
     return view.where(cover_predicate(chain, lo, hi))
@@ -107,8 +111,8 @@ def merged_cover(batch: DataFrame, speed: DataFrame | None, left, right,
     lo, hi = check_range(left, right)
     b_chain = _chain(levels, batch_grains)
     s_chain = _chain(levels, speed_grains)
-    batch = _restrict(batch, events)
-    speed = _restrict(speed, events)
+    batch = _restrict(batch, events, lo, hi)
+    speed = _restrict(speed, events, lo, hi)
 
     if speed is None or not s_chain:
         return view_cover(batch, lo, hi, b_chain) if b_chain else batch.limit(0)

@@ -69,7 +69,8 @@ def _batch_speed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     views.write_view(rollup.multi_grain_view(ev.where(F.col("ts") < ts_literal(BATCH_BEFORE))), batch_path)
     recent = speed.speed_view_from_events(spark, ev.where(F.col("ts") >= ts_literal(SPEED_FROM)))
     views.write_partials(recent, speed_path, 0)
-    return views.read_view(spark, batch_path), views.read_speed_view(spark, speed_path)
+    return (views.read_view(spark, batch_path, with_period=True),
+            views.read_speed_view(spark, speed_path, with_period=True))
 
 
 # --- calendar and buckets ----------------------------------------------------

@@ -74,3 +74,13 @@ def test_many_ranges_one_lookup_join(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin") == 1
     assert plan.count("events.parquet") == 1
+
+
+def test_serving_prunes_year_folders(spark):
+    """Views read with their year folder: the cover's literal bounds prune
+    `period=` folders of both the batch view and the speed partials."""
+    batch, spd = R._batch_speed(spark, SF001)
+    plan = _plan(serving.count_by_period(batch, spd, *R.RANGE))
+    scans = [line for line in plan.split("\n") if "PartitionFilters" in line and "grain" in line]
+    pruned = [line for line in scans if "period" in line and ">= 2024" in line and "<= 2024" in line]
+    assert len(pruned) >= 2
