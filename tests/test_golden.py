@@ -232,3 +232,19 @@ def test_rebuild_is_idempotent_and_refresh_is_incremental(spark, tmp_dir):
     # The late row raises A's minute, hour, day, month and year by one.
     assert {r["bucket"] for r in changed.collect()} == set("mHDMY")
     assert master.read_master(spark, mdir2).count() == 4
+
+
+def test_tags_from_calendar_columns(spark):
+    """Bucket code and start rebuilt from the master's calendar fields
+    (lower fields default to 1/1 00:00) equal the floor of the timestamp."""
+    from eventrollup.functions.buckets import GRAIN_CODES, with_bucket, with_bucket_and_bdate
+    from eventrollup.sources.tables import event_frame
+
+    ev = event_frame(spark, SF001).select("event", "ts",
+                                          *[F.expr(f"{f}(ts)").alias(f) for f in
+                                            ("year", "month", "day", "hour", "minute")])
+    for code in GRAIN_CODES:
+        tagged = with_bucket_and_bdate(ev, code)
+        bad = tagged.where((F.col("bucket") != code) | (F.col("bdate") != bucket_start(code, "ts")))
+        assert bad.count() == 0, code
+    assert with_bucket(ev, "Y").select("bucket").distinct().collect()[0][0] == "Y"
