@@ -4,6 +4,13 @@ The reference empties its stores and re-derives everything on each run.
 Here both outputs are overwritten, so a rerun (or a retried job) leaves the
 same files; ``refresh`` instead appends only landing files not ingested yet
 and rewrites only the view folders whose counts changed.
+
+A master folder belongs to one of the two runs.  ``refresh`` appends
+through the streaming Parquet sink, whose commit log (``_spark_metadata``)
+then decides which files every reader sees, so files a ``rebuild`` wrote
+into the same folder would silently disappear from reads (and a rebuild
+over a refreshed folder would leave the stream's checkpoint out of step).
+Both runs therefore refuse a folder written by the other one.
 """
 
 from __future__ import annotations
@@ -14,9 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventrollup.functions.buckets import GRAIN_CODES
 from eventrollup.operators import rollup, views
+from eventrollup.session import child_names
 from eventrollup.sources import landing, master
 from eventrollup.streaming.speed import run_until_done
 
+# The streaming file sink's commit log folder inside its output path.
+SINK_LOG = "_spark_metadata"
+
 
 def view_from_master(spark: SparkSession, master_dir: str,
                      grains: Sequence[str] = GRAIN_CODES) -> DataFrame:
@@ -27,6 +38,9 @@ def view_from_master(spark: SparkSession, master_dir: str,
 def rebuild(spark: SparkSession, landing_dir: str, master_dir: str, view_path: str,
             rejects_dir: str | None = None, grains: Sequence[str] = GRAIN_CODES) -> None:
     """Full rebuild: master and view both replaced, idempotent by construction."""
+    if SINK_LOG in child_names(spark, master_dir):
+        raise ValueError(f"{master_dir} is fed by refresh (streaming sink log present); "
+                         "rebuild into a fresh master folder")
     master.ingest(spark, landing_dir, master_dir, mode="overwrite", rejects_dir=rejects_dir)
     views.write_view(view_from_master(spark, master_dir, grains), view_path, mode="overwrite")
 
@@ -37,6 +51,10 @@ def refresh(spark: SparkSession, landing_dir: str, master_dir: str, view_path: s
 
     Returns the view rows that changed.
     """
+    names = child_names(spark, master_dir)
+    if names and SINK_LOG not in names:
+        raise ValueError(f"{master_dir} was written by a batch rebuild; readers would lose its files "
+                         "once the streaming sink log exists, so refresh needs its own master folder")
     query = master.ingest_stream(landing.text_source(spark, landing_dir), master_dir,
                                  checkpoint, available_now=True)
     run_until_done(query)

@@ -97,3 +97,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's checkpoint location for one job's files."""
     root = _checkpoint_root(spark).rstrip("/")
     return f"{root}/eventrollup/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (empty if it does not
+    exist), asked of the file system that serves it (HDFS, object store or
+    local) through the session's Hadoop settings.  Listing only: no data."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(hpath)]

@@ -248,3 +248,22 @@ def test_tags_from_calendar_columns(spark):
         bad = tagged.where((F.col("bucket") != code) | (F.col("bdate") != bucket_start(code, "ts")))
         assert bad.count() == 0, code
     assert with_bucket(ev, "Y").select("bucket").distinct().collect()[0][0] == "Y"
+
+
+def test_rebuild_and_refresh_refuse_each_others_master(spark, tmp_dir):
+    """The streaming sink's log would hide a rebuild's files from readers, so
+    a master folder serves one kind of run only; mixing fails loudly."""
+    from eventrollup.plans import batch as runs
+
+    land = os.path.join(tmp_dir, "landing")
+    lines = spark.createDataFrame([('{"event":"A","timestamp":"2015-06-10 12:54:43"}',)], "value string")
+    landing.land_batch(lines, land)
+    rebuilt, refreshed = os.path.join(tmp_dir, "m1"), os.path.join(tmp_dir, "m2")
+    runs.rebuild(spark, land, rebuilt, os.path.join(tmp_dir, "v1"))
+    with pytest.raises(ValueError, match="rebuild"):
+        runs.refresh(spark, land, rebuilt, os.path.join(tmp_dir, "v1"), os.path.join(tmp_dir, "c1"))
+    runs.refresh(spark, land, refreshed, os.path.join(tmp_dir, "v2"), os.path.join(tmp_dir, "c2"))
+    with pytest.raises(ValueError, match="refresh"):
+        runs.rebuild(spark, land, refreshed, os.path.join(tmp_dir, "v2"))
+    assert master.read_master(spark, rebuilt).count() == 1
+    assert master.read_master(spark, refreshed).count() == 1
