@@ -97,7 +97,12 @@ def land_stream(lines: DataFrame, landing_dir: str, checkpoint: str,
 
 
 def read_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """All finished landing files under ``landing_dir`` (S2); a missing folder is empty."""
+    """All finished landing files under ``landing_dir`` (S2); a missing folder is empty.
+
+    The predicate on ``_metadata.file_name`` prunes in-progress files when
+    the folder is listed, so they are never opened (the scan's file count
+    leaves them out), rather than filtering their rows after a read.
+    """
     try:
         lines = (spark.read.schema(LINE_SCHEMA)
                  .option("recursiveFileLookup", "true")
