@@ -4,8 +4,8 @@ For grain g with parent p (minute in hour, hour in day, day in month, month
 in year) one row per (event, g, parent bucket) holds ``cum`` with
 ``cum[k]`` = total of the g buckets with index < k inside that parent.  Any
 run of whole g buckets inside one parent is then ``cum[j] - cum[i]``: one
-lookup instead of one row per bucket.  A group never holds more than 60
-cells, so collecting it is bounded whatever the data volume.
+lookup instead of one row per bucket.  The profile is a fixed-width row of
+conditional sums, so no group is ever collected.
 """
 
 from __future__ import annotations
@@ -45,20 +45,27 @@ def _by_bucket(make) -> Column:
 
 
 def edge_profiles(view: DataFrame, grains: Sequence[str]) -> DataFrame:
-    """(event, bucket, parent, cum) for the given child grains of a roll-up view."""
+    """(event, bucket, parent, cum) for the given child grains of a roll-up view.
+
+    ``cum[k]`` is a conditional sum, ``sum(count) where index < k``, for
+    k = 0 .. the largest slot count: one hash aggregate with fixed-width
+    buffers, partial before its shuffle and inside whole-stage codegen (no
+    list of cells is collected per group).  Grains with fewer slots simply
+    repeat their total past their last slot; lookups never index there.
+    """
     grains = [g for g in grains if g in PARENT]
-    rows = view.where(F.col("bucket").isin(grains))
-    cells = (rows.groupBy("event", "bucket",
-                          _by_bucket(lambda g: bucket_start(PARENT[g], F.col("bdate"))).alias("parent"))
-             .agg(F.collect_list(F.struct(
-                 _by_bucket(lambda g: index_in_parent(g, F.col("bdate"))).alias("i"),
-                 F.col("count").cast("bigint").alias("c"))).alias("cells")))
-    slots = _by_bucket(lambda g: F.lit(SLOTS[g]))
-    cum = F.transform(
-        F.sequence(F.lit(0), slots),
-        lambda k: F.aggregate(F.filter("cells", lambda x: x["i"] < k), F.lit(0).cast("bigint"),
-                              lambda acc, x: acc + x["c"]))
-    return cells.select("event", "bucket", "parent", cum.alias("cum"))
+    width = max(SLOTS[g] for g in grains)
+    cells = (view.where(F.col("bucket").isin(grains))
+             .select("event", "bucket",
+                     _by_bucket(lambda g: bucket_start(PARENT[g], F.col("bdate"))).alias("parent"),
+                     _by_bucket(lambda g: index_in_parent(g, F.col("bdate"))).alias("i"),
+                     F.col("count").cast("bigint").alias("c")))
+    zero = F.lit(0).cast("bigint")
+    sums = [F.sum(F.when(F.col("i") < k, F.col("c")).otherwise(zero)).alias(f"_cum{k}")
+            for k in range(1, width + 1)]
+    grouped = cells.groupBy("event", "bucket", "parent").agg(*sums)
+    cum = F.array(zero, *[F.col(f"_cum{k}") for k in range(1, width + 1)])
+    return grouped.select("event", "bucket", "parent", cum.alias("cum"))
 
 
 def top_profiles(view: DataFrame, code: str) -> DataFrame:
