@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, events_df
+from conftest import SF001, SF0001, events_df
 from eventrollup.functions.buckets import bucket_end, bucket_start
 from eventrollup.operators import rollup, views
 from eventrollup.plans import serving
@@ -267,3 +267,19 @@ def test_rebuild_and_refresh_refuse_each_others_master(spark, tmp_dir):
         runs.rebuild(spark, land, refreshed, os.path.join(tmp_dir, "v2"))
     assert master.read_master(spark, rebuilt).count() == 1
     assert master.read_master(spark, refreshed).count() == 1
+
+
+def test_windowed_variant_with_cluster_state_store(spark):
+    """The RocksDB state store named in CLUSTER_CONF gives the same windows."""
+    import __spark_entry__ as E
+    from eventrollup.session import CLUSTER_CONF
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    want = sorted(tuple(r) for r in E.queries()["speed_windowed_append"](spark, SF0001).collect())
+    before = spark.conf.get(key)
+    spark.conf.set(key, CLUSTER_CONF[key])
+    try:
+        got = sorted(tuple(r) for r in E.queries()["speed_windowed_append"](spark, SF0001).collect())
+    finally:
+        spark.conf.set(key, before)
+    assert got == want and len(got) > 0
