@@ -38,7 +38,9 @@ def process_batch(raw_lines: DataFrame, batch_id: int, view_path: str) -> None:
     """One micro-batch: count and overwrite its partials folder.
 
     The row count is an ``observe`` metric of the write job itself (A12),
-    not a second job.  An empty batch writes nothing (P18).
+    not a second job.  An empty batch writes nothing (P18).  Minute and hour
+    rows leave one plan in one write, so the minute counts are computed once
+    and need no cache between two writes (T6).
     """
     if raw_lines.isEmpty():
         return
