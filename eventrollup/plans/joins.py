@@ -2,25 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A broadcast side above this many rows takes the shuffle path instead.
+# A broadcast side above either bound takes the shuffle path instead.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Bytes counted per value of a fixed-width column.
+_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
+                T.DateType: 4, T.FloatType: 4}
+
+
+def _value_bytes(field: T.StructField) -> Column:
+    """Bytes one value of ``field`` takes: text and binary by their length,
+    other types by a fixed width (8 for longs, doubles and timestamps)."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint")
+    return F.lit(_FIXED_WIDTH.get(type(field.dataType), 8)).cast("bigint")
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
-    The small side is cached and counted first; it is broadcast (and stays
-    cached, at most ``max_rows`` rows) only if the count is within the bound.
-    Otherwise the cache is dropped, the join stays a shuffle join and AQE's
-    skew handling splits hot keys.  Only the row count reaches the driver.
+    The small side is cached and measured first, rows and bytes in one job;
+    it is broadcast (and stays cached, within both bounds) only if it is
+    within ``max_rows`` and ``max_bytes``.  Otherwise the cache is dropped,
+    the join stays a shuffle join and AQE's skew handling splits hot keys.
+    Only the two totals reach the driver.
     """
     cached = small.cache()
-    if cached.count() <= max_rows:
+    width = sum((_value_bytes(f) for f in cached.schema.fields), F.lit(0).cast("bigint"))
+    rows, size = cached.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    if rows <= max_rows and size <= max_bytes:
         return big.join(F.broadcast(cached), on, how)
-    # Over the bound: release the cache and leave the side to the shuffle join.
+    # Over a bound: release the cache and leave the side to the shuffle join.
     cached.unpersist()
     return big.join(small, on, how)
