@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from eventrollup.llm.op1_shard import op1_shard
+from eventrollup.llm.op8_quality import op8_quality
 
 QUERIES = {
     "op1_shard": op1_shard,
+    "op8_quality": op8_quality,
 }
 
 ORACLES: dict[str, str] = {}
