@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import io
 import os
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,10 +47,8 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(buf, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent).as_posix())
-    import tempfile
-
     # The driver's own folder: Spark copies the file to the executors itself.
-    path = os.path.join(tempfile.mkdtemp(prefix="eventrollup-ship-"), "eventrollup.zip")
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="eventrollup-ship-")), "eventrollup.zip")
     Path(path).write_bytes(buf.getvalue())
     sc.addPyFile(path)
     sc._eventrollup_shipped = True
@@ -57,14 +58,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            max_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut incoming Arrow batches into runs of rows whose ``text`` totals at
     most ``max_bytes`` (one row at least), without copying."""
-    import numpy as np
-
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
         col = batch.column(batch.schema.get_field_index(text))
-        size = np.array(pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        size = np.array(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         ends = np.cumsum(size)
         at = 0
         while at < n:

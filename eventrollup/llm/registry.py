@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from eventrollup.llm.op1_shard import op1_shard
+from eventrollup.llm.op6_decontaminate import op6_decontaminate
 from eventrollup.llm.op8_quality import op8_quality
 
 QUERIES = {
     "op1_shard": op1_shard,
+    "op6_decontaminate": op6_decontaminate,
     "op8_quality": op8_quality,
 }
 
