@@ -99,7 +99,8 @@ def shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
         out[np.repeat(offsets[:-1][full], size) + _ramp(size)] = mix(value)
     for i in np.flatnonzero((n > 0) & ~full):
         w = words[first[i]:first[i + 1]]
-        out[offsets[i]] = mix(np.array([np.sum(w * _MULT[:len(w)], dtype=np.uint64) + _U(len(w)) * _STEP]))[0]
+        salted = np.append(w * _MULT[:len(w)], np.array([len(w)], dtype=np.uint64) * _STEP)
+        out[offsets[i]] = mix(np.sum(salted, dtype=np.uint64, keepdims=True))[0]
     owner = np.repeat(np.arange(len(n)), count)
     order = np.lexsort((out, owner))
     out = out[order]
