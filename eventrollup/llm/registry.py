@@ -5,6 +5,7 @@ from __future__ import annotations
 from eventrollup.llm.op1_shard import op1_shard
 from eventrollup.llm.op2_tokens import op2_tokens
 from eventrollup.llm.op3_neardup import op3_neardup
+from eventrollup.llm.op4_bpe import op4_bpe
 from eventrollup.llm.op6_decontaminate import op6_decontaminate
 from eventrollup.llm.op8_quality import op8_quality
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_shard": op1_shard,
     "op2_tokens": op2_tokens,
     "op3_neardup": op3_neardup,
+    "op4_bpe": op4_bpe,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality": op8_quality,
 }
