@@ -6,6 +6,7 @@ from eventrollup.llm.op1_shard import op1_shard
 from eventrollup.llm.op2_tokens import op2_tokens
 from eventrollup.llm.op3_neardup import op3_neardup
 from eventrollup.llm.op4_bpe import op4_bpe
+from eventrollup.llm.op5_langid import op5_langid
 from eventrollup.llm.op6_decontaminate import op6_decontaminate
 from eventrollup.llm.op8_quality import op8_quality
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_tokens": op2_tokens,
     "op3_neardup": op3_neardup,
     "op4_bpe": op4_bpe,
+    "op5_langid": op5_langid,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality": op8_quality,
 }
