@@ -8,6 +8,7 @@ from eventrollup.llm.op3_neardup import op3_neardup
 from eventrollup.llm.op4_bpe import op4_bpe
 from eventrollup.llm.op5_langid import op5_langid
 from eventrollup.llm.op6_decontaminate import op6_decontaminate
+from eventrollup.llm.op7_secrets import op7_secrets
 from eventrollup.llm.op8_quality import op8_quality
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_langid": op5_langid,
     "op6_decontaminate": op6_decontaminate,
+    "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
 }
 
