@@ -10,6 +10,7 @@ from eventrollup.llm.op5_langid import op5_langid
 from eventrollup.llm.op6_decontaminate import op6_decontaminate
 from eventrollup.llm.op7_secrets import op7_secrets
 from eventrollup.llm.op8_quality import op8_quality
+from eventrollup.llm.op9_chat import op9_chat
 
 QUERIES = {
     "op1_shard": op1_shard,
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
+    "op9_chat": op9_chat,
 }
 
 ORACLES: dict[str, str] = {}
