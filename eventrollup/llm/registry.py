@@ -11,6 +11,7 @@ from eventrollup.llm.op6_decontaminate import op6_decontaminate
 from eventrollup.llm.op7_secrets import op7_secrets
 from eventrollup.llm.op8_quality import op8_quality
 from eventrollup.llm.op9_chat import op9_chat
+from eventrollup.llm.op10_pii import op10_pii
 
 QUERIES = {
     "op1_shard": op1_shard,
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_secrets": op7_secrets,
     "op8_quality": op8_quality,
     "op9_chat": op9_chat,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {}
