@@ -286,12 +286,14 @@ class _Join:
             blocks.select(F.xxhash64("node", "part").alias("grp"), "cls"))
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept, one row per document row."""
+def _identified(docs: DataFrame) -> DataFrame:
+    """Rows without an id get one above all real ids, equal for equal texts."""
+    return docs.withColumn("__id", F.coalesce("doc_id", _anonymous(F.xxhash64("text"))))
+
+
+def _decide(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """docs(doc_id, text) without null ids -> doc_id, n_shingles, component per row."""
     ship(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    # Rows without an id get one above all real ids, equal for equal texts.
-    docs = docs.withColumn("doc_id", F.coalesce("doc_id", _anonymous(F.xxhash64("text"))))
     signed = store(docs.mapInArrow(_signer(k), SIGNED), "signatures")
     classes = store(signed.where(F.col("n_shingles") > 0).groupBy("content").agg(
         F.min("doc_id").alias("cls"), F.first("sig").alias("sig")), "classes")
@@ -302,12 +304,32 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     ids = rows.groupBy("doc_id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
     same = rows.join(ids, "doc_id").where("cls <> lo").select(F.col("cls").alias("a"), F.col("lo").alias("b"))
     labels = _Join(docs, classes, k, percent).run(store(same.distinct(), "links"))
-    out = rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left") \
-        .withColumn("component", F.coalesce("component", "cls"))
-    component = F.coalesce("component", "doc_id")
-    shown = lambda c: F.when(c < _FIRST_ANONYMOUS, c)
-    return out.select(shown(F.col("doc_id")).alias("doc_id"), "n_shingles", shown(component).alias("component_id"),
-                      (F.col("doc_id") == component).alias("kept"))
+    return rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left") \
+        .select("doc_id", "n_shingles", F.coalesce("component", "cls", "doc_id").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept, one row per document row."""
+    docs = _identified(docs.select("doc_id", "text")).select(F.col("__id").alias("doc_id"), "text")
+    out = _decide(docs, k, percent)
+
+    def shown(c):
+        return F.when(F.col(c) < _FIRST_ANONYMOUS, F.col(c))
+
+    return out.select(shown("doc_id").alias("doc_id"), "n_shingles", shown("component").alias("component_id"),
+                      (F.col("doc_id") == F.col("component")).alias("kept"))
+
+
+def keep_first(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The document with the smallest id of each group, with all its columns.
+    Rows that share an id are one document, so one of them stays."""
+    keyed = _identified(docs)
+    rows = store(_decide(keyed.select(F.col("__id").alias("doc_id"), "text"), k, percent), "decisions")
+    gone = store(rows.where("doc_id <> component").select(F.col("doc_id").alias("__id")).distinct(), "gone")
+    out = keyed.join(gone, "__id", "left_anti")
+    if not rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["__id"])
+    return out.select(*docs.columns)
 
 
 _FIRST_ANONYMOUS = (1 << 62) + (1 << 61)
