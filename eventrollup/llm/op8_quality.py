@@ -181,4 +181,4 @@ def quality(docs: DataFrame) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read_input(spark, sf_dir, "documents", "doc_id", "text", "lang")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "class_distance", "word_distance")
+        "base_failed", "kept")

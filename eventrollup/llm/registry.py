@@ -12,6 +12,9 @@ from eventrollup.llm.op7_secrets import op7_secrets
 from eventrollup.llm.op8_quality import op8_quality
 from eventrollup.llm.op9_chat import op9_chat
 from eventrollup.llm.op10_pii import op10_pii
+from eventrollup.llm.sql import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
     "op1_shard": op1_shard,
@@ -25,5 +28,3 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_pii": op10_pii,
 }
-
-ORACLES: dict[str, str] = {}
