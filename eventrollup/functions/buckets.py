@@ -25,7 +25,6 @@ GRAIN_UNITS = {"m": "MINUTE", "H": "HOUR", "D": "DAY", "M": "MONTH", "Y": "YEAR"
 ALL_LEVELS: tuple[str, ...] = ("Y", "M", "D", "H", "m")
 # The grain list sorted as text, which is the order the reference walks.
 REFERENCE_LEVELS: tuple[str, ...] = tuple(sorted(GRAIN_CODES))  # D, H, M, Y, m
-DEFAULT_LEVELS: tuple[str, ...] = ("D", "H", "m")
 SPEED_GRAINS: tuple[str, ...] = ("m", "H")
 
 
@@ -43,10 +42,6 @@ def check_levels(levels: Iterable[str]) -> tuple[str, ...]:
     return out
 
 
-def grain_name(code: str) -> str:
-    return GRAIN_NAMES[check_grain(code)]
-
-
 def is_coarser(a: str, b: str) -> bool:
     return GRAIN_IDS[a] > GRAIN_IDS[b]
 
@@ -57,26 +52,6 @@ def _col(c: str | Column) -> Column:
 
 # --- calendar fields (P1-P6) -------------------------------------------------
 
-def year_col(ts: str | Column) -> Column:
-    return F.year(_col(ts)).alias("year")
-
-
-def month_col(ts: str | Column) -> Column:
-    return F.month(_col(ts)).alias("month")
-
-
-def day_col(ts: str | Column) -> Column:
-    return F.dayofmonth(_col(ts)).alias("day")
-
-
-def hour_col(ts: str | Column) -> Column:
-    return F.hour(_col(ts)).alias("hour")
-
-
-def minute_col(ts: str | Column) -> Column:
-    return F.minute(_col(ts)).alias("minute")
-
-
 def calendar_columns(ts: str | Column) -> dict[str, Column]:
     t = _col(ts)
     return {
@@ -88,11 +63,6 @@ def calendar_columns(ts: str | Column) -> dict[str, Column]:
     }
 
 
-def with_calendar_columns(df: DataFrame, ts: str | Column = "ts") -> DataFrame:
-    """All five calendar fields in one projection."""
-    return df.withColumns(calendar_columns(ts))
-
-
 # --- bucket starts (P8, P10, P11, C1, U1) -------------------------------------
 
 def bucket_start_from_fields(code: str, year: Column | str, month: Column | str | None = None,
@@ -171,19 +141,12 @@ def bucket_code_for(grain: str | Column) -> Column:
 
 # --- tagging (P7, P9) ---------------------------------------------------------
 
-def with_bucket(df: DataFrame, code: str) -> DataFrame:
-    return df.withColumn("bucket", F.lit(check_grain(code)))
-
-
-def with_bdate(df: DataFrame, code: str) -> DataFrame:
-    """bdate from the calendar columns the frame carries (reference layout)."""
+def tag(df: DataFrame, code: str) -> DataFrame:
+    """Add the grain code and the bucket start rebuilt from the calendar columns
+    the frame carries; fields below the grain may be absent."""
     cols = {c: c for c in ("year", "month", "day", "hour", "minute") if c in df.columns}
-    return df.withColumn("bdate", bucket_start_from_fields(
-        code, cols["year"], cols.get("month"), cols.get("day"), cols.get("hour"), cols.get("minute")))
-
-
-def with_bucket_and_bdate(df: DataFrame, code: str) -> DataFrame:
-    return with_bdate(with_bucket(df, code), code)
+    start = bucket_start_from_fields(code, cols["year"], cols.get("month"), cols.get("day"), cols.get("hour"), cols.get("minute"))
+    return df.withColumn("bucket", F.lit(check_grain(code))).withColumn("bdate", start)
 
 
 def expand_to_grains(bdate: str | Column, grains: Sequence[str]) -> Column:

@@ -5,9 +5,13 @@ Batch view: ``event, bdate, count`` in folders ``grain=<name>/period=<year>``
 case-insensitive store).  Files are sorted by (event, bdate) so range reads
 skip row groups.  ``bucket`` (the code) is added back on read.
 
-Speed view: the same rows as *partial* counts under ``batch_id=<n>/``.  A
-micro-batch overwrites only its own folder, so a replayed batch id leaves the
-totals unchanged; readers sum the partials (the reference's counter column).
+Speed view: the same rows as *partial* counts under ``partials/batch_id=<n>/``.
+A micro-batch overwrites only its own folder, so a replayed batch id leaves the
+totals unchanged; readers sum the partials (a counter column without a mutable
+store).  Compaction writes the sum of all batches up to a committed id under
+``compacted/upto=<n>/``, outside the folders a batch can write; readers take
+the newest finished one and the partials after it, so a replay of a folded
+batch changes nothing.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from eventrollup.functions.buckets import (
     grain_name_for,
 )
 from eventrollup.functions.ranges import as_bound
+from eventrollup.session import child_names
 
 KEY = ("event", "bucket", "bdate")
 VIEW_SCHEMA = T.StructType([
@@ -181,21 +186,55 @@ def upsert_view(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
 
 # --- speed view partials (S10, A10, X2) --------------------------------------
 
+def _partials(path: str) -> str:
+    return f"{path.rstrip('/')}/partials"
+
+
+def _compacted(path: str) -> str:
+    return f"{path.rstrip('/')}/compacted"
+
+
 def write_partials(counts: DataFrame, path: str, batch_id: int) -> None:
     """Store one micro-batch's counts under ``batch_id=<id>`` (replay-safe)."""
     stored = _to_stored(counts)
     (stored.sortWithinPartitions("grain", "period", "event", "bdate")
      .write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("grain", "period").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}"))
+     .partitionBy("grain", "period").parquet(f"{_partials(path)}/batch_id={int(batch_id)}"))
+
+
+def read_stored_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The counts one micro-batch stored."""
+    return _from_stored(spark.read.schema(STORED_SCHEMA).parquet(f"{_partials(path)}/batch_id={int(batch_id)}"))
+
+
+def compacted_upto(spark: SparkSession, path: str) -> int:
+    """Highest batch id folded into a finished compaction, -1 if none."""
+    done = [-1]
+    for name in child_names(spark, _compacted(path)):
+        if name.startswith("upto=") and "_SUCCESS" in child_names(spark, f"{_compacted(path)}/{name}"):
+            done.append(int(name.removeprefix("upto=")))
+    return max(done)
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the micro-batches that have partials, ascending."""
+    names = child_names(spark, _partials(path))
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
 
 
 def read_partials(spark: SparkSession, path: str) -> DataFrame:
+    """The newest compaction and the partials after it, each row with its batch id."""
+    upto = compacted_upto(spark, path)
     try:
-        return spark.read.schema(PARTIALS_SCHEMA).option("basePath", path).parquet(path)
+        rows = spark.read.schema(PARTIALS_SCHEMA).option("basePath", _partials(path)).parquet(_partials(path))
     except Exception as exc:
-        if _is_missing(exc):
-            return spark.createDataFrame([], PARTIALS_SCHEMA)
-        raise
+        if not _is_missing(exc):
+            raise
+        rows = spark.createDataFrame([], PARTIALS_SCHEMA)
+    if upto < 0:
+        return rows
+    folded = spark.read.schema(STORED_SCHEMA).parquet(f"{_compacted(path)}/upto={upto}")
+    return rows.where(F.col("batch_id") > upto).unionByName(folded.withColumn("batch_id", F.lit(upto).cast("bigint")))
 
 
 def read_speed_view(spark: SparkSession, path: str, codes: Sequence[str] | None = None,
@@ -222,26 +261,34 @@ def read_speed_view(spark: SparkSession, path: str, codes: Sequence[str] | None
     return _from_stored(summed, with_period)
 
 
-def compact_partials(spark: SparkSession, path: str, out_path: str) -> int:
-    """Sum all partials into one ``batch_id`` folder at ``out_path``.
+def committed_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Highest micro-batch id that a stream's checkpoint has committed, -1 if none."""
+    names = child_names(spark, f"{checkpoint.rstrip('/')}/commits")
+    return max((int(n) for n in names if n.isdigit()), default=-1)
 
-    Returns the highest batch id folded in; a stream restarted on
-    ``out_path`` continues after it.  The old location is left as is.
-    """
-    parts = read_partials(spark, path)
-    top = parts.agg(F.max("batch_id")).first()[0]
-    top = -1 if top is None else int(top)
-    summed = (parts.groupBy("event", "grain", "bdate")
-              .agg(F.sum("count").cast("bigint").alias("count"))
-              .select("event", bucket_code_for("grain").alias("bucket"), "bdate", "count"))
-    write_partials(summed, out_path, top)
-    return top
 
+def compact_partials(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """Fold all batches that ``checkpoint`` has committed into one folder.
 
-def empty_speed_view(spark: SparkSession, path: str) -> None:
-    (spark.createDataFrame([], PARTIALS_SCHEMA).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static")
-     .partitionBy("batch_id", "grain", "period").parquet(path))
+    A batch that may still be retried is never folded.  Returns the highest
+    folded id.  Folded partials stay until the caller removes them.
+    """
+    upto, before = committed_batch(spark, checkpoint), compacted_upto(spark, path)
+    if upto <= before:
+        return before
+    parts = read_partials(spark, path).where(F.col("batch_id") <= upto)
+    summed = (parts.groupBy("event", "grain", "period", "bdate")
+              .agg(F.sum("count").cast("bigint").alias("count")))
+    (summed.select(*STORED_SCHEMA.names).hint("rebalance", "grain", "period")
+     .sortWithinPartitions("grain", "period", "event", "bdate")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("grain", "period").parquet(f"{_compacted(path)}/upto={upto}"))
+    return upto
 
 
-GRAINS = GRAIN_CODES
+def empty_speed_view(spark: SparkSession, path: str) -> None:
+    """Remove all partials and compactions of a speed view."""
+    jvm = spark.sparkContext._jvm
+    for folder in (_compacted(path), _partials(path)):
+        hpath = jvm.org.apache.hadoop.fs.Path(folder)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -59,9 +59,10 @@ def _split_sources():
     return b, s
 
 
-def _merge_sql(b_chain, s_chain, lo: str, hi: str) -> str:
+def _merge_sql(b_chain, s_chain, lo: str, hi: str, speed: str | None = None) -> str:
     """Speed cover; per-event cut = its first bucket; batch cover up to the cut."""
     b, s = _split_sources()
+    s = speed or s
     return f"""
 WITH bv AS ({_view_sql(b)}),
      sv AS ({_view_sql(s, ('m', 'H'))}),
@@ -118,11 +119,26 @@ def _many_ranges_sql() -> str:
     b, a = R.REQUEST_BEFORE_HOURS, R.REQUEST_AFTER_HOURS
     return f"""
 WITH m AS (SELECT event_type AS event, date_trunc('minute', ts) AS bdate, count(*) AS c FROM events GROUP BY ALL),
-     r AS (SELECT event_id AS request_id, event_type AS event,
-                  ts - INTERVAL {b} HOUR AS from_ts, ts + INTERVAL {a} HOUR AS to_ts FROM events)
+     q AS (SELECT event_id AS request_id, event_type AS event,
+                  ts - INTERVAL {b} HOUR AS from_ts, ts + INTERVAL {a} HOUR AS to_ts FROM events),
+     r AS (SELECT *, row_number() OVER () AS row FROM (
+               SELECT * FROM q UNION ALL SELECT * FROM q WHERE request_id % 7 = 0
+               UNION ALL SELECT NULL, event, from_ts, to_ts FROM q WHERE request_id % 11 = 0))
 SELECT r.request_id, r.event, r.from_ts, r.to_ts, CAST(COALESCE(sum(m.c), 0) AS BIGINT) AS count
 FROM r LEFT JOIN m ON m.event = r.event AND m.bdate >= r.from_ts AND m.bdate + INTERVAL 1 MINUTE <= r.to_ts
-GROUP BY r.request_id, r.event, r.from_ts, r.to_ts"""
+GROUP BY r.row, r.request_id, r.event, r.from_ts, r.to_ts"""
+
+
+def _later_speed() -> str:
+    """Speed source after the second micro-batch of ``merge_after_new_batch``."""
+    return (f"SELECT * FROM ({EV}) WHERE ts >= {_ts(R.SPEED_FROM)} "
+            f"OR (ts >= {_ts(R.SPEED_EARLIER)} AND event <> '{R.ONE_EVENT}')")
+
+
+def _one(names) -> str:
+    """The merge of the chosen events alone, from their own rows."""
+    chosen = ", ".join(f"'{n}'" for n in names)
+    return f"SELECT * FROM ({_merge_sql(('D', 'H', 'm'), ('H', 'm'), LO, HI)}) WHERE event IN ({chosen})"
 
 
 def _starts(prefix: str) -> str:
@@ -153,6 +169,27 @@ ORACLES: dict[str, str] = {
     "batch_view_orders": _view_sql(SRC["orders"]),
     "batch_view_lineitem": _view_sql(SRC["lineitem"]),
     "event_types": "SELECT DISTINCT event_type AS event FROM events",
+    "bucket_tags": _view_sql(EV),
+    "unfloored_rows": (f"SELECT event, 'H' AS bucket, ts AS bdate, CAST(1 AS BIGINT) AS count FROM ({EV}) "
+                       "WHERE ts <> date_trunc('hour', ts)"),
+    "json_rejects_all_reasons": """
+SELECT CASE event_id % 5 WHEN 1 THEN 'malformed json' WHEN 2 THEN 'missing event'
+                         WHEN 3 THEN 'missing timestamp' ELSE 'bad timestamp' END AS reason,
+       CAST(count(*) AS BIGINT) AS count
+FROM events WHERE event_id % 5 <> 0 GROUP BY ALL""",
+    "master_keeps_fields": ("SELECT event_type AS event, CAST(sum(user_id) AS BIGINT) AS users, "
+                            "count(props) AS with_props FROM events GROUP BY ALL"),
+    "refresh_tmp_and_old_files": _view_sql(EV),
+    "rebuild_corrected_landing": _view_sql(_split_sources()[0]),
+    "merge_after_new_batch": _merge_sql(("D", "H", "m"), ("H", "m"), LO, HI, _later_speed()),
+    "count_by_period_one": f"""
+SELECT r.event, '{R.RANGE[0]}' AS "from", '{R.RANGE[1]}' AS "to", CAST(COALESCE(sum(t.count), 0) AS BIGINT) AS result
+FROM (VALUES ('{R.ONE_EVENT}'), ('{R.UNKNOWN_EVENT}')) r(event) LEFT JOIN ({_one([R.ONE_EVENT])}) t ON t.event = r.event
+GROUP BY r.event""",
+    "timeseries_one": _shaped(
+        f"SELECT * FROM ({_merge_sql(('H',), ('H',), LO, HI)}) WHERE event = '{R.ONE_EVENT}'"),
+    "get_events_one": _shaped(_one([R.ONE_EVENT])),
+    "get_events_catalogue": _shaped(_one(R.CATALOGUE)),
     "json_roundtrip": (f"SELECT event, date_trunc('minute', ts) AS bdate, CAST(count(*) AS BIGINT) AS count "
                        f"FROM ({EV}) GROUP BY ALL"),
     "json_rejects": ("SELECT 'missing event' AS reason, CAST(count(*) AS BIGINT) AS count "

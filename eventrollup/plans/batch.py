@@ -36,8 +36,15 @@ def view_from_master(spark: SparkSession, master_dir: str,
 
 
 def rebuild(spark: SparkSession, landing_dir: str, master_dir: str, view_path: str,
-            rejects_dir: str | None = None, grains: Sequence[str] = GRAIN_CODES) -> None:
-    """Full rebuild: master and view both replaced, idempotent by construction."""
+            rejects_dir: str | None = None, grains: Sequence[str] = GRAIN_CODES,
+            allow_empty: bool = False) -> None:
+    """Full rebuild: master and view both replaced, idempotent by construction.
+
+    A missing or empty landing folder is refused unless ``allow_empty``, so a
+    misspelt path does not empty the view.
+    """
+    if not allow_empty and not child_names(spark, landing_dir):
+        raise FileNotFoundError(f"no landing files under {landing_dir}")
     if SINK_LOG in child_names(spark, master_dir):
         raise ValueError(f"{master_dir} is fed by refresh (streaming sink log present); "
                          "rebuild into a fresh master folder")
@@ -46,10 +53,12 @@ def rebuild(spark: SparkSession, landing_dir: str, master_dir: str, view_path: s
 
 
 def refresh(spark: SparkSession, landing_dir: str, master_dir: str, view_path: str,
-            checkpoint: str, grains: Sequence[str] = GRAIN_CODES) -> DataFrame:
+            checkpoint: str, grains: Sequence[str] = GRAIN_CODES,
+            rejects_dir: str | None = None) -> DataFrame:
     """Incremental run: ingest new landing files once, then upsert the view.
 
-    Returns the view rows that changed.
+    Returns the view rows that changed.  Rejected lines of the new files go to
+    ``rejects_dir`` if one is given.
     """
     names = child_names(spark, master_dir)
     if names and SINK_LOG not in names:
@@ -58,4 +67,7 @@ def refresh(spark: SparkSession, landing_dir: str, master_dir: str, view_path: s
     query = master.ingest_stream(landing.text_source(spark, landing_dir), master_dir,
                                  checkpoint, available_now=True)
     run_until_done(query)
+    if rejects_dir is not None:
+        run_until_done(master.reject_stream(landing.text_source(spark, landing_dir), rejects_dir,
+                                            f"{checkpoint.rstrip('/')}-rejects"))
     return views.upsert_view(spark, view_from_master(spark, master_dir, grains), view_path)

@@ -43,19 +43,11 @@ from eventrollup.plans.cover import (
     slot_count,
     top_step,
 )
-from eventrollup.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, join_small
 
 CUT_FIRST_SPEED = "first_speed_bucket"
 CUT_HORIZON = "horizon"
 # Response date format.
 DATE_FORMAT = "yyyy-MM-dd HH:mm"
-# The reference's event catalogue for the "all events" query.
-EVENT_CATALOGUE = (
-    "LOGIN_WEB", "LOGIN_MOBILE", "BANK_TRANSFER",
-    "PAY_BILL", "REQUEST_CREDIT_CARD", "VIEW_STATEMENT",
-    "REQUEST_MORTGAGE", "PAY_CREDIT_CARD", "CREATE_ACCOUNT",
-    "ENABLE_APPLE_PAY", "REQUEST_SMS", "REQUEST_PAPER_STATEMENT",
-)
 
 VIEW_COLUMNS = ("event", "bucket", "bdate", "count")
 
@@ -101,8 +93,7 @@ def merged_cover(batch: DataFrame, speed: DataFrame | None, left, right,
                  levels: Sequence[str] = REFERENCE_LEVELS, events=None,
                  cutover: str = CUT_FIRST_SPEED, horizon=None,
                  batch_grains: Sequence[str] = GRAIN_CODES,
-                 speed_grains: Sequence[str] = SPEED_GRAINS,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 speed_grains: Sequence[str] = SPEED_GRAINS) -> DataFrame:
     """Cover rows of batch and speed views together.
 
     Batch rows then speed rows (UNION ALL); sort by (event, bdate) for the
@@ -131,12 +122,14 @@ def merged_cover(batch: DataFrame, speed: DataFrame | None, left, right,
     speed_cover = speed.where(cover_predicate(s_chain, lo, hi))
     if not b_chain:
         return speed_cover
-    # One row per event: the start of its first speed bucket.
+    # One row per event: the start of its first speed bucket.  Computed inside
+    # the query each time (a new micro-batch moves it); AQE broadcasts it if
+    # the finished stage is small, else the join stays a shuffle join.
     cut = speed_cover.groupBy("event").agg(F.min("bdate").alias("_cut"))
     lo_lit, hi_lit = ts_literal(lo), ts_literal(hi)
     candidates = batch.where((F.col("bdate") >= lo_lit) & (F.col("bdate") < hi_lit)
                              & F.col("bucket").isin(list(b_chain)))
-    joined = join_small(candidates, cut, "event", "left", max_broadcast_rows)
+    joined = candidates.join(cut, "event", "left")
     batch_cover = (joined.where(cover_predicate(b_chain, lo_lit, F.coalesce(F.col("_cut"), hi_lit)))
                    .select(*VIEW_COLUMNS))
     return batch_cover.unionByName(speed_cover)
@@ -205,8 +198,8 @@ def get_events(batch: DataFrame, speed: DataFrame | None, left, right, event=Non
     """The cover rows themselves (Q3); an empty ``event`` means every
     catalogue event (Q4, J5, C5).
 
-    ``catalogue``: a list of names (the reference uses a fixed list of 12),
-    a one-column DataFrame of names, or None for all events present.
+    ``catalogue``: a list of names, a one-column DataFrame of names, or None
+    for all events present.
     """
     if event is None or (isinstance(event, str) and event.strip() == ""):
         names = None
@@ -215,9 +208,8 @@ def get_events(batch: DataFrame, speed: DataFrame | None, left, right, event=Non
                 cat = catalogue.select("event")
             else:
                 cat = _requested(batch.sparkSession, list(catalogue)).select("event")
-            # The catalogue is small: semi joins behind a size check.
-            batch = join_small(batch, cat, "event", "left_semi")
-            speed = None if speed is None else join_small(speed, cat, "event", "left_semi")
+            batch = batch.join(cat, "event", "left_semi")
+            speed = None if speed is None else speed.join(cat, "event", "left_semi")
     else:
         names = _events_list(event)
     rows = merged_cover(batch, speed, left, right, levels, events=names, **merge)
@@ -263,12 +255,27 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     whole-stage-codegen stage.  A hot lookup key is split by AQE's skew
     join; the profile side is broadcast only when AQE has measured it below
     its threshold.  Invalid requests (to < from) get a null count.
+
+    Every request row gives one result row, also where ids are null or rows
+    repeat.  The years that the requests span (one small aggregate of the
+    request table) prune the ``period`` folders of both views, if they were
+    read with them.  A speed view needs ``horizon``: without it the cut
+    between the views would differ per request, so it is refused.
     """
-    req_cols = ["_id", "event", "_lo", "_hi"]
-    req = requests.select(F.col(id_col).alias("_id"), F.col(event_col).alias("event"),
+    if speed is not None and horizon is None:
+        raise ValueError("a speed view needs a horizon here; use count_by_period for the first-bucket cut")
+    req_cols = ["_row", "_id", "event", "_lo", "_hi"]
+    req = requests.select(F.monotonically_increasing_id().alias("_row"),
+                          F.col(id_col).alias("_id"), F.col(event_col).alias("event"),
                           F.col(from_col).alias("_lo"), F.col(to_col).alias("_hi"))
+    if any("period" in v.columns for v in (batch, speed) if v is not None):
+        first, last = req.agg(F.min(F.year("_lo")), F.max(F.year("_hi"))).first()
+        if first is not None and last is not None:
+            years = F.col("period").between(first, last)
+            batch = batch.where(years) if "period" in batch.columns else batch
+            speed = speed.where(years) if speed is not None and "period" in speed.columns else speed
     sides = []
-    if speed is None or horizon is None:
+    if speed is None:
         sides.append(("b", batch, F.col("_lo"), F.col("_hi"), GRAIN_CODES))
     else:
         h = ts_literal(horizon)
@@ -314,7 +321,7 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
 
 
 __all__ = [
-    "CUT_FIRST_SPEED", "CUT_HORIZON", "EVENT_CATALOGUE", "as_bound",
+    "CUT_FIRST_SPEED", "CUT_HORIZON", "as_bound",
     "compare_events", "count_by_period", "count_many_ranges", "get_events",
     "merged_cover", "shape_rows", "split_event_list", "timeseries", "view_cover",
 ]

@@ -8,6 +8,7 @@ SURVEY section 2.12; the DuckDB equivalents live in ``eventrollup.oracles``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from eventrollup.functions.buckets import (
     bucket_end,
     bucket_start,
     calendar_columns,
+    tag,
 )
 from eventrollup.functions.ranges import (
     range_ends_with,
@@ -46,6 +48,11 @@ COMPARE_LIST = "view, nope, click ,purchase"
 REQUEST_BEFORE_HOURS = 20
 REQUEST_AFTER_HOURS = 40
 SPEED_FILES_PER_TRIGGER = 2
+SPEED_DROPS = 8                       # landing drops of the speed queries, cut across time
+SPEED_EARLIER = "2024-01-12 03:41:00"  # a later micro-batch brings events from this on
+ONE_EVENT, UNKNOWN_EVENT = "click", "nope"
+CATALOGUE = ("view", "nope", "purchase")  # leaves most events out
+DAY_MS = 86_400_000
 WATERMARK_MINUTES = 10               # windowed speed variant: allowed lateness
 
 
@@ -126,7 +133,23 @@ def q_batch_view_lineitem(spark, sf_dir):
 
 
 def q_event_types(spark, sf_dir):
-    return rollup.event_types(rollup.multi_grain_view(_events(spark, sf_dir)))
+    return rollup.event_types(_events(spark, sf_dir))
+
+
+def q_bucket_tags(spark, sf_dir):
+    """Grain code and start rebuilt from calendar columns, for all five grains."""
+    ev = _events(spark, sf_dir)
+    cal = ev.select("event", *[c.alias(n) for n, c in calendar_columns("ts").items()])
+    tagged = [tag(cal, code).select("event", "bucket", "bdate") for code in GRAIN_CODES]
+    return reduce(DataFrame.unionByName, tagged).groupBy("event", "bucket", "bdate") \
+        .agg(F.count(F.lit(1)).alias("count"))
+
+
+def q_unfloored_rows(spark, sf_dir):
+    """The data-quality check over a good view and rows that carry raw times."""
+    ev = _events(spark, sf_dir)
+    raw = ev.select("event", F.lit("H").alias("bucket"), F.col("ts").alias("bdate"), F.lit(1).cast("bigint").alias("count"))
+    return views.check_floored(rollup.multi_grain_view(ev).unionByName(raw))
 
 
 # --- landing, JSON, master ---------------------------------------------------
@@ -157,6 +180,40 @@ def q_json_rejects(spark, sf_dir):
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("count"))
 
 
+def q_json_rejects_all_reasons(spark, sf_dir):
+    """One row in five stays good, the others are spoilt in one way each."""
+    _prepare(spark)
+    src = read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("event"),
+                                                     F.date_format("ts", landing.RAW_TS_FORMAT).alias("timestamp"))
+    whole = F.to_json(F.struct("event", "timestamp"))
+    kind = F.col("event_id") % 5
+    line = (F.when(kind == 1, F.expr("substr(to_json(struct(event, timestamp)), 1, 12)"))
+            .when(kind == 2, F.to_json(F.struct("timestamp")))
+            .when(kind == 3, F.to_json(F.struct("event")))
+            .when(kind == 4, F.to_json(F.struct("event", F.concat("timestamp", F.lit("+02:00")).alias("timestamp"))))
+            .otherwise(whole))
+    folder = work_dir(spark, "landing")
+    landing.land_batch(src.select(line.alias("value")), folder)
+    out, rejects = work_dir(spark, "master"), work_dir(spark, "rejects")
+    batch_runs.refresh(spark, folder, out, work_dir(spark, "batch-view"), work_dir(spark, "ckpt"), rejects_dir=rejects)
+    return spark.read.parquet(rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("count"))
+
+
+def q_master_keeps_fields(spark, sf_dir):
+    """Fields beyond event and timestamp are still there after the landing file."""
+    _prepare(spark)
+    src = read_table(spark, sf_dir, "events")
+    lines = src.select(F.to_json(F.struct(
+        F.col("event_type").alias("event"), F.date_format("ts", landing.RAW_TS_FORMAT).alias("timestamp"),
+        "user_id", "props")).alias("value"))
+    folder, out = work_dir(spark, "landing"), work_dir(spark, "master")
+    landing.land_batch(lines, folder)
+    master.ingest(spark, folder, out, mode="overwrite")
+    user = F.get_json_object("raw", "$.user_id").cast("bigint")
+    return master.read_master(spark, out).groupBy("event").agg(
+        F.sum(user).alias("users"), F.count(F.get_json_object("raw", "$.props")).alias("with_props"))
+
+
 def q_master_dataset(spark, sf_dir):
     _prepare(spark)
     folder = _land_events(spark, sf_dir, "landing")
@@ -215,6 +272,60 @@ def q_batch_refresh(spark, sf_dir):
     return views.read_view(spark, view_path)
 
 
+def _hadoop(spark, folder):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return jvm, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _landed_files(spark, folder):
+    _, path, fs = _hadoop(spark, folder)
+    found, it = [], fs.listFiles(path, True)
+    while it.hasNext():
+        found.append(it.next().getPath().toString())
+    return [f for f in found if "/part-" in f]
+
+
+def q_refresh_tmp_and_old_files(spark, sf_dir):
+    """A file still being written counts once, under its final name; a file dated a
+    month back is read like any other."""
+    _prepare(spark)
+    src = read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("event"), "ts")
+    folder, master_dir = work_dir(spark, "landing"), work_dir(spark, "master")
+    view_path, ckpt = work_dir(spark, "batch-view"), work_dir(spark, "ckpt-ingest")
+
+    def land(k):
+        before = set(_landed_files(spark, folder)) if k else set()
+        landing.land_batch(landing.to_raw_json(src.where(F.col("event_id") % 3 == k)), folder)
+        return [f for f in _landed_files(spark, folder) if f not in before]
+
+    land(0)
+    jvm, _, fs = _hadoop(spark, folder)
+    path = jvm.org.apache.hadoop.fs.Path
+    waiting = land(1)
+    for f in waiting:
+        fs.rename(path(f), path(f + landing.IN_PROGRESS_SUFFIX))
+    batch_runs.refresh(spark, folder, master_dir, view_path, ckpt)
+    for f in waiting:
+        fs.rename(path(f + landing.IN_PROGRESS_SUFFIX), path(f))
+    for f in land(2):
+        fs.setTimes(path(f), fs.getFileStatus(path(f)).getModificationTime() - 30 * DAY_MS, -1)
+    batch_runs.refresh(spark, folder, master_dir, view_path, ckpt)
+    return views.read_view(spark, view_path)
+
+
+def q_rebuild_corrected_landing(spark, sf_dir):
+    """A second rebuild from a corrected landing folder leaves no day of the first."""
+    _prepare(spark)
+    src = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("event"), "ts")
+    master_dir, view_path = work_dir(spark, "master"), work_dir(spark, "batch-view")
+    for rows in (src, src.where(F.col("ts") < ts_literal(BATCH_BEFORE))):
+        folder = work_dir(spark, "landing")
+        landing.land_batch(landing.to_raw_json(rows), folder)
+        batch_runs.rebuild(spark, folder, master_dir, view_path)
+    return views.read_view(spark, view_path)
+
+
 # --- views: upsert and changes -----------------------------------------------
 
 def q_changed_rows(spark, sf_dir):
@@ -244,28 +355,47 @@ def q_view_range_read(spark, sf_dir):
 
 # --- speed layer ---------------------------------------------------------------
 
-def _run_speed(spark, sf_dir, replay: bool = False) -> str:
-    _prepare(spark)
-    folder = _land_events(spark, sf_dir, "landing")
-    view_path, ckpt = work_dir(spark, "speed-view"), work_dir(spark, "ckpt-speed")
+def _speed_stream(spark, folder, view_path, ckpt, twice=False) -> None:
+    """Read what is new in ``folder``; ``twice`` stores every batch a second time,
+    as a retry after a failure between write and commit does."""
     lines = landing.text_source(spark, folder, max_files_per_trigger=SPEED_FILES_PER_TRIGGER)
-    if not replay:
-        query = speed.start_speed_layer(lines, view_path, ckpt, available_now=True, reset=True)
-        speed.run_until_done(query)
-        return view_path
+    if not twice:
+        speed.run_until_done(speed.start_speed_layer(lines, view_path, ckpt, available_now=True))
+        return
 
-    def twice(df, batch_id):
-        # A batch retried after a failure between write and commit.
+    def both(df, batch_id):
         speed.process_batch(df, batch_id, view_path)
         speed.process_batch(df, batch_id, view_path)
 
-    query = lines.writeStream.foreachBatch(twice).option("checkpointLocation", ckpt) \
-        .trigger(availableNow=True).start()
-    speed.run_until_done(query)
+    speed.run_until_done(lines.writeStream.foreachBatch(both).option("checkpointLocation", ckpt)
+                         .trigger(availableNow=True).start())
+
+
+def _run_speed(spark, sf_dir, replay: bool = False, compact: bool = False) -> str:
+    """An empty drop, then drops that each hold events of all times (so buckets
+    overlap between micro-batches), the last one landed after the others were
+    counted; optionally a compaction and a retry of a folded batch in between."""
+    _prepare(spark)
+    src = read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("event"), "ts")
+    folder, view_path, ckpt = work_dir(spark, "landing"), work_dir(spark, "speed-view"), work_dir(spark, "ckpt-speed")
+    spark.createDataFrame([], landing.LINE_SCHEMA).write.text(f"{folder}/ingest_day=empty")
+    _speed_stream(spark, folder, view_path, ckpt, replay)
+    for k in range(SPEED_DROPS):
+        landing.land_batch(landing.to_raw_json(src.where(F.col("event_id") % SPEED_DROPS == k)), folder)
+        if k == SPEED_DROPS - 2:
+            _speed_stream(spark, folder, view_path, ckpt, replay)
+            if compact:
+                top = views.compact_partials(spark, view_path, ckpt)
+                again = views.read_stored_batch(spark, view_path, top).checkpoint()
+                views.write_partials(again, view_path, top)
+    _speed_stream(spark, folder, view_path, ckpt, replay)
+    if compact:
+        views.compact_partials(spark, view_path, ckpt)
+    ids = views.batch_ids(spark, view_path)
+    if len(ids) < 4 or 0 in ids:
+        raise AssertionError(f"expected several batches after an empty one, got {ids}")
     # Restart on the same checkpoint with no new files: nothing changes.
-    again = speed.start_speed_layer(landing.text_source(spark, folder), view_path, ckpt,
-                                    available_now=True)
-    speed.run_until_done(again)
+    _speed_stream(spark, folder, view_path, ckpt)
     return view_path
 
 
@@ -278,10 +408,7 @@ def q_speed_view_replay(spark, sf_dir):
 
 
 def q_speed_view_compacted(spark, sf_dir):
-    path = _run_speed(spark, sf_dir)
-    out = work_dir(spark, "speed-compacted")
-    views.compact_partials(spark, path, out)
-    return views.read_speed_view(spark, out)
+    return views.read_speed_view(spark, _run_speed(spark, sf_dir, compact=True))
 
 
 def q_speed_windowed_append(spark, sf_dir):
@@ -331,6 +458,44 @@ def q_count_by_period(spark, sf_dir):
     return serving.count_by_period(batch, spd, RANGE[0], RANGE[1])
 
 
+def q_merge_after_new_batch(spark, sf_dir):
+    """Ask, add a micro-batch with earlier events, ask again in the same session."""
+    ev = _events(spark, sf_dir)
+    batch_path, speed_path = work_dir(spark, "batch-view"), work_dir(spark, "speed-view")
+    views.write_view(rollup.multi_grain_view(ev.where(F.col("ts") < ts_literal(BATCH_BEFORE))), batch_path)
+    first = F.col("event") != ONE_EVENT
+    steps = (ev.where((F.col("ts") >= ts_literal(SPEED_FROM)) & first),
+             ev.where((F.col("ts") >= ts_literal(SPEED_EARLIER)) & (F.col("ts") < ts_literal(SPEED_FROM)) & first)
+             .unionByName(ev.where((F.col("ts") >= ts_literal(SPEED_FROM)) & ~first)))
+    for i, rows in enumerate(steps):
+        views.write_partials(speed.speed_view_from_events(spark, rows), speed_path, i)
+        out = serving.merged_cover(views.read_view(spark, batch_path, with_period=True),
+                                   views.read_speed_view(spark, speed_path, with_period=True), RANGE[0], RANGE[1])
+        out.count()
+    return out
+
+
+def q_count_by_period_one(spark, sf_dir):
+    batch, spd = _batch_speed(spark, sf_dir)
+    return serving.count_by_period(batch, spd, RANGE[0], RANGE[1], event=ONE_EVENT).unionByName(
+        serving.count_by_period(batch, spd, RANGE[0], RANGE[1], event=UNKNOWN_EVENT))
+
+
+def q_timeseries_one(spark, sf_dir):
+    batch, spd = _batch_speed(spark, sf_dir)
+    return serving.timeseries(batch, spd, RANGE[0], RANGE[1], "H", event=ONE_EVENT)
+
+
+def q_get_events_one(spark, sf_dir):
+    batch, spd = _batch_speed(spark, sf_dir)
+    return serving.get_events(batch, spd, RANGE[0], RANGE[1], event=ONE_EVENT)
+
+
+def q_get_events_catalogue(spark, sf_dir):
+    batch, spd = _batch_speed(spark, sf_dir)
+    return serving.get_events(batch, spd, RANGE[0], RANGE[1], event="", catalogue=CATALOGUE)
+
+
 def q_timeseries_hour(spark, sf_dir):
     batch, spd = _batch_speed(spark, sf_dir)
     return serving.timeseries(batch, spd, RANGE[0], RANGE[1], "H")
@@ -364,6 +529,9 @@ def q_count_many_ranges(spark, sf_dir):
         F.col("event_id").alias("request_id"), F.col("event_type").alias("event"),
         F.timestamp_add("HOUR", F.lit(-REQUEST_BEFORE_HOURS), "ts").alias("from_ts"),
         F.timestamp_add("HOUR", F.lit(REQUEST_AFTER_HOURS), "ts").alias("to_ts"))
+    # Some requests come twice, some without an id: each row has its own answer.
+    requests = requests.unionByName(requests.where("request_id % 7 = 0")).unionByName(
+        requests.where("request_id % 11 = 0").withColumn("request_id", F.lit(None).cast("bigint")))
     return serving.count_many_ranges(requests, batch, spd, horizon=BATCH_BEFORE)
 
 
@@ -397,13 +565,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_view_orders": q_batch_view_orders,
     "batch_view_lineitem": q_batch_view_lineitem,
     "event_types": q_event_types,
+    "bucket_tags": q_bucket_tags,
+    "unfloored_rows": q_unfloored_rows,
     "json_roundtrip": q_json_roundtrip,
     "json_rejects": q_json_rejects,
+    "json_rejects_all_reasons": q_json_rejects_all_reasons,
+    "master_keeps_fields": q_master_keeps_fields,
     "master_dataset": q_master_dataset,
     "master_range": q_master_range,
     "raw_landing": q_raw_landing,
     "batch_rebuild": q_batch_rebuild,
     "batch_refresh": q_batch_refresh,
+    "refresh_tmp_and_old_files": q_refresh_tmp_and_old_files,
+    "rebuild_corrected_landing": q_rebuild_corrected_landing,
     "changed_rows": q_changed_rows,
     "upsert_batch_view": q_upsert_batch_view,
     "view_range_read": q_view_range_read,
@@ -417,7 +591,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_cover_equals_minutes": q_range_cover_equals_minutes,
     "merge_batch_speed": q_merge_batch_speed,
     "merge_batch_speed_horizon": q_merge_batch_speed_horizon,
+    "merge_after_new_batch": q_merge_after_new_batch,
     "count_by_period": q_count_by_period,
+    "count_by_period_one": q_count_by_period_one,
+    "timeseries_one": q_timeseries_one,
+    "get_events_one": q_get_events_one,
+    "get_events_catalogue": q_get_events_catalogue,
     "timeseries_hour": q_timeseries_hour,
     "timeseries_day": q_timeseries_day,
     "get_events": q_get_events,

@@ -22,6 +22,10 @@ from eventrollup.functions.ranges import try_parse_timestamp
 RAW_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 INGEST_DAY_FORMAT = "yy-MM-dd"
 IN_PROGRESS_SUFFIX = ".tmp"
+# Far beyond any retention: no landing file is skipped for its age.
+MAX_FILE_AGE = "36500d"
+# The whole text of a raw timestamp: a wall-clock time without zone or offset.
+RAW_TS_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 RAW_SCHEMA = T.StructType([
     T.StructField("event", T.StringType()),
@@ -66,20 +70,30 @@ def topic_source(spark: SparkSession, bootstrap_servers: str, topic: str,
 
 
 def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
+                clean_source: str | None = None, archive_dir: str | None = None,
+                max_file_age: str = MAX_FILE_AGE) -> DataFrame:
     """Raw lines from files appearing under ``path`` (stand-in for a topic in tests).
 
     ``clean_source`` = ``delete`` or ``archive`` removes consumed files once
     their batch commits (S5); the checkpoint makes each file count once.
+    Files still being written (``*.tmp``) give no rows; under their final name
+    they are new files and are read then.  ``max_file_age`` is how far a file's
+    time may lie behind the newest one: Spark's own default of a week would
+    skip files that are delivered late.
     """
-    reader = spark.readStream.schema(LINE_SCHEMA).option("recursiveFileLookup", "true")
+    reader = (spark.readStream.schema(LINE_SCHEMA).option("recursiveFileLookup", "true")
+              .option("maxFileAge", max_file_age))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if clean_source:
         reader = reader.option("cleanSource", clean_source)
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
-    return reader.text(path)
+    return reader.text(path).where(_finished()).select("value")
+
+
+def _finished() -> Column:
+    return ~F.col("_metadata.file_name").endswith(IN_PROGRESS_SUFFIX)
 
 
 def land_stream(lines: DataFrame, landing_dir: str, checkpoint: str,
@@ -111,20 +125,20 @@ def read_landing(spark: SparkSession, landing_dir: str) -> DataFrame:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return spark.createDataFrame([], LINE_SCHEMA)
         raise
-    return (lines.where(~F.col("_metadata.file_name").endswith(IN_PROGRESS_SUFFIX))
-            .select("value"))
+    return lines.where(_finished()).select("value")
 
 
 def parse_raw(lines: DataFrame, value: str = "value") -> DataFrame:
     """Parse raw lines into (value, event, timestamp, ts, reason).
 
     ``reason`` is null for good rows.  ``ts`` is TIMESTAMP_NTZ: the raw text
-    is a wall-clock time, so no time zone is applied.
+    is a wall-clock time, so no time zone is applied, and any other form (a
+    date alone, an offset, a fraction) is a bad timestamp.
     """
     parsed = F.from_json(F.col(value), RAW_SCHEMA,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     df = lines.select(F.col(value).alias("value"), parsed.alias("p"))
-    ts = try_parse_timestamp(F.col("p.timestamp"))
+    ts = F.when(F.col("p.timestamp").rlike(RAW_TS_PATTERN), try_parse_timestamp(F.col("p.timestamp")))
     reason = (F.when(F.col("p").isNull() | F.col("p._corrupt_record").isNotNull(), F.lit("malformed json"))
               .when(F.col("p.event").isNull(), F.lit("missing event"))
               .when(F.col("p.timestamp").isNull(), F.lit("missing timestamp"))
@@ -139,7 +153,7 @@ def parse_raw(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNull()).select("event", "timestamp", "ts")
+    return parsed.where(F.col("reason").isNull()).select("event", "timestamp", "ts", "value")
 
 
 def reject_rows(parsed: DataFrame) -> DataFrame:

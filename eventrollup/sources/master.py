@@ -1,8 +1,9 @@
 """Master dataset: parsed events as Parquet partitioned by calendar day.
 
-Layout: ``event STRING, timestamp STRING, hour INT, minute INT`` with
-partition columns ``year, month, day``.  The roll-up needs only the calendar
-fields, so it never re-parses the timestamp text.
+Layout: ``event STRING, timestamp STRING, hour INT, minute INT, raw STRING``
+with partition columns ``year, month, day``.  The roll-up needs only the
+calendar fields, so it never re-parses the timestamp text; ``raw`` is the whole
+landed record, so fields beyond these two outlive the landing file.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventrollup.functions.buckets import calendar_columns
 from eventrollup.functions.ranges import as_bound, partition_bounds, try_parse_timestamp
-from eventrollup.sources.landing import good_rows, parse_raw, read_landing
+from eventrollup.sources.landing import good_rows, parse_raw, read_landing, reject_rows
 
 PARTITION_COLUMNS = ("year", "month", "day")
 MASTER_SCHEMA = T.StructType([
@@ -22,6 +23,7 @@ MASTER_SCHEMA = T.StructType([
     T.StructField("timestamp", T.StringType()),
     T.StructField("hour", T.IntegerType()),
     T.StructField("minute", T.IntegerType()),
+    T.StructField("raw", T.StringType()),
     T.StructField("year", T.IntegerType()),
     T.StructField("month", T.IntegerType()),
     T.StructField("day", T.IntegerType()),
@@ -29,38 +31,34 @@ MASTER_SCHEMA = T.StructType([
 
 
 def to_master(events: DataFrame) -> DataFrame:
-    """Good parsed rows (event, timestamp, ts) to the master layout."""
+    """Good parsed rows (event, timestamp, ts, value) to the master layout."""
     cal = calendar_columns("ts")
-    return events.select("event", "timestamp", *[cal[c].alias(c) for c in
-                                                 ("hour", "minute", "year", "month", "day")])
+    return events.select("event", "timestamp", cal["hour"].alias("hour"), cal["minute"].alias("minute"),
+                         F.col("value").alias("raw"), *[cal[c].alias(c) for c in PARTITION_COLUMNS])
 
 
-def write_master(master: DataFrame, master_dir: str, mode: str = "append",
-                 max_records_per_file: int | None = None) -> None:
+def write_master(master: DataFrame, master_dir: str, mode: str = "append") -> None:
     """One write for all input files.
 
     No shuffle: the writer sorts each task's rows by the partition columns
     and opens one file per day the task holds.  Landing input is already
     grouped by ingest day, so a task touches few day folders, and a hot day
     is spread over as many tasks as its input splits (no single-task day).
+    ``overwrite`` replaces every day, also those absent from ``master``,
+    whatever the session's overwrite mode.
     """
-    writer = master.write.mode(mode).partitionBy(*PARTITION_COLUMNS)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    writer.parquet(master_dir)
+    (master.write.mode(mode).option("partitionOverwriteMode", "static")
+     .partitionBy(*PARTITION_COLUMNS).parquet(master_dir))
 
 
 def ingest(spark: SparkSession, landing_dir: str, master_dir: str, mode: str = "append",
            rejects_dir: str | None = None) -> None:
-    """Landing JSON -> master Parquet in one job; rejects written aside if asked."""
+    """Landing JSON -> master Parquet in one job; rejects written aside if asked
+    (a second scan: parsing is cheaper than keeping the raw rows)."""
     parsed = parse_raw(read_landing(spark, landing_dir))
     if rejects_dir is not None:
-        parsed = parsed.persist()
-        parsed.where(F.col("reason").isNotNull()).select("value", "reason") \
-            .write.mode(mode).parquet(rejects_dir)
+        reject_rows(parsed).write.mode(mode).parquet(rejects_dir)
     write_master(to_master(good_rows(parsed)), master_dir, mode=mode)
-    if rejects_dir is not None:
-        parsed.unpersist()
 
 
 def ingest_stream(lines: DataFrame, master_dir: str, checkpoint: str,
@@ -82,6 +80,13 @@ def ingest_stream(lines: DataFrame, master_dir: str, checkpoint: str,
     return writer.start()
 
 
+def reject_stream(lines: DataFrame, rejects_dir: str, checkpoint: str) -> StreamingQuery:
+    """Rejected lines of new landing files, with their reasons."""
+    return (reject_rows(parse_raw(lines)).writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint).option("path", rejects_dir)
+            .trigger(availableNow=True).start())
+
+
 def read_master(spark: SparkSession, master_dir: str, left=None, right=None) -> DataFrame:
     """Master scan (S6) with optional [left, right) bounds on the event time.
 

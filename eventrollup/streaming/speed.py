@@ -18,13 +18,16 @@ append mode; the last open window is emitted only once the watermark passes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventrollup.functions.buckets import SPEED_GRAINS
 from eventrollup.operators.rollup import multi_grain_view
-from eventrollup.operators.views import empty_speed_view, write_partials
+from eventrollup.operators.views import batch_ids, compacted_upto, empty_speed_view, write_partials
+from eventrollup.session import child_names
 from eventrollup.sources.landing import good_rows, parse_raw
 
 
@@ -34,31 +37,43 @@ def speed_counts(raw_lines: DataFrame) -> DataFrame:
     return multi_grain_view(events, SPEED_GRAINS)
 
 
-def process_batch(raw_lines: DataFrame, batch_id: int, view_path: str) -> None:
-    """One micro-batch: count and overwrite its partials folder.
+def process_batch(raw_lines: DataFrame, batch_id: int, view_path: str) -> int:
+    """One micro-batch: count and overwrite its partials folder; returns the
+    number of rows written.
 
-    The row count is an ``observe`` metric of the write job itself (A12),
-    not a second job.  An empty batch writes nothing (P18).  Minute and hour
+    The row count is an ``Observation`` of the write job itself (A12), not a
+    second job.  An empty batch writes nothing (P18).  Minute and hour
     rows leave one plan in one write, so the minute counts are computed once
     and need no cache between two writes (T6).
     """
     if raw_lines.isEmpty():
-        return
-    counts = speed_counts(raw_lines)
-    observed = counts.observe(f"speed_rows_{int(batch_id)}", F.count(F.lit(1)).alias("rows"))
-    write_partials(observed, view_path, batch_id)
+        return 0
+    rows = Observation()
+    write_partials(speed_counts(raw_lines).observe(rows, F.count(F.lit(1)).alias("rows")), view_path, batch_id)
+    return int(rows.get["rows"])
 
 
 def start_speed_layer(lines: DataFrame, view_path: str, checkpoint: str,
                       processing_time: str | None = "1 second", available_now: bool = False,
-                      reset: bool = False, query_name: str | None = None) -> StreamingQuery:
-    """Run the speed layer over a stream of raw lines."""
+                      reset: bool = False, query_name: str | None = None,
+                      on_batch: Callable[[int, int], None] | None = None) -> StreamingQuery:
+    """Run the speed layer over a stream of raw lines.
+
+    Batch ids count from 0 in every new checkpoint, so a view that has rows
+    accepts only the checkpoint that wrote it; ``reset`` empties it first.
+    ``on_batch`` gets every batch id with the number of rows it wrote.
+    """
     spark = lines.sparkSession
     if reset:
         empty_speed_view(spark, view_path)
+    elif (batch_ids(spark, view_path) or compacted_upto(spark, view_path) >= 0) and not child_names(spark, checkpoint):
+        raise ValueError(f"{view_path} has rows of another stream run and {checkpoint} is new; "
+                         "restart with the old checkpoint, or reset the view")
 
     def _each(batch_df: DataFrame, batch_id: int) -> None:
-        process_batch(batch_df, batch_id, view_path)
+        rows = process_batch(batch_df, batch_id, view_path)
+        if on_batch is not None:
+            on_batch(batch_id, rows)
 
     writer = lines.writeStream.foreachBatch(_each).option("checkpointLocation", checkpoint)
     if query_name:

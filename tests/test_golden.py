@@ -13,6 +13,8 @@ from eventrollup.plans import serving
 from eventrollup.sources import landing, master
 from eventrollup.streaming import speed
 
+CATALOGUE = ("LOGIN_WEB", "LOGIN_MOBILE", "BANK_TRANSFER", "PAY_BILL", "VIEW_STATEMENT", "CREATE_ACCOUNT")
+
 
 def _counts(df):
     return {(r["bucket"], r["bdate"]): r["count"] for r in df.collect()}
@@ -200,7 +202,7 @@ def test_catalogue_list_semi_join(spark):
     view = rollup.multi_grain_view(events_df(spark, [("LOGIN_WEB", "2024-01-01 10:00:10"),
                                                      ("OTHER", "2024-01-01 10:00:10")]))
     rows = serving.get_events(view, None, "2024-01-01", "2024-01-02", event="",
-                              catalogue=serving.EVENT_CATALOGUE).collect()
+                              catalogue=CATALOGUE).collect()
     assert {r["event"] for r in rows} == {"LOGIN_WEB"}
 
 
@@ -237,17 +239,16 @@ def test_rebuild_is_idempotent_and_refresh_is_incremental(spark, tmp_dir):
 def test_tags_from_calendar_columns(spark):
     """Bucket code and start rebuilt from the master's calendar fields
     (lower fields default to 1/1 00:00) equal the floor of the timestamp."""
-    from eventrollup.functions.buckets import GRAIN_CODES, with_bucket, with_bucket_and_bdate
+    from eventrollup.functions.buckets import GRAIN_CODES, tag
     from eventrollup.sources.tables import event_frame
 
     ev = event_frame(spark, SF001).select("event", "ts",
                                           *[F.expr(f"{f}(ts)").alias(f) for f in
                                             ("year", "month", "day", "hour", "minute")])
     for code in GRAIN_CODES:
-        tagged = with_bucket_and_bdate(ev, code)
+        tagged = tag(ev, code)
         bad = tagged.where((F.col("bucket") != code) | (F.col("bdate") != bucket_start(code, "ts")))
         assert bad.count() == 0, code
-    assert with_bucket(ev, "Y").select("bucket").distinct().collect()[0][0] == "Y"
 
 
 def test_rebuild_and_refresh_refuse_each_others_master(spark, tmp_dir):
@@ -283,3 +284,58 @@ def test_windowed_variant_with_cluster_state_store(spark):
     finally:
         spark.conf.set(key, before)
     assert got == want and len(got) > 0
+
+
+def test_speed_layer_refuses_a_new_checkpoint_on_an_old_view(spark, tmp_dir):
+    src, view_path = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "speed")
+    _write_lines(src, "1.json", ['{"event":"A","timestamp":"2024-01-01 10:00:00"}'])
+    rows = []
+
+    def start(ckpt, **more):
+        return speed.start_speed_layer(landing.text_source(spark, src), view_path, os.path.join(tmp_dir, ckpt),
+                                       available_now=True, on_batch=lambda i, n: rows.append((i, n)), **more)
+
+    speed.run_until_done(start("c1"))
+    assert rows == [(0, 2)]            # one minute row and one hour row were written
+    with pytest.raises(ValueError, match="another stream run"):
+        start("c2")
+    speed.run_until_done(start("c3", reset=True))
+    assert sum(_counts(views.read_speed_view(spark, view_path)).values()) == 2
+
+
+def test_compaction_folds_committed_batches_only(spark, tmp_dir):
+    path, ckpt = os.path.join(tmp_dir, "speed"), os.path.join(tmp_dir, "ckpt")
+    one = rollup.multi_grain_view(events_df(spark, [("A", "2024-01-01 10:00:00")]), ("m", "H"))
+    for i in range(3):
+        views.write_partials(one, path, i)
+    assert views.compact_partials(spark, path, ckpt) == -1
+    os.makedirs(os.path.join(ckpt, "commits"))
+    for i in (0, 1):
+        open(os.path.join(ckpt, "commits", str(i)), "w").close()
+    assert views.compact_partials(spark, path, ckpt) == 1
+    want = {("m", dt.datetime(2024, 1, 1, 10, 0)): 3, ("H", dt.datetime(2024, 1, 1, 10, 0)): 3}
+    assert _counts(views.read_speed_view(spark, path)) == want
+    views.write_partials(one, path, 1)         # a retry of a folded batch
+    assert _counts(views.read_speed_view(spark, path)) == want
+
+
+def test_many_ranges_refuses_a_speed_view_without_horizon(spark):
+    view = rollup.multi_grain_view(events_df(spark, [("A", "2024-01-01 10:00:00")]))
+    req = spark.createDataFrame([(1, "A")], "request_id int, event string").selectExpr(
+        "request_id", "event", "timestamp_ntz'2024-01-01 00:00:00' from_ts", "timestamp_ntz'2024-01-02 00:00:00' to_ts")
+    with pytest.raises(ValueError, match="horizon"):
+        serving.count_many_ranges(req, view, view)
+
+
+def test_rebuild_refuses_a_missing_landing_folder(spark, tmp_dir):
+    from eventrollup.plans import batch as runs
+
+    with pytest.raises(FileNotFoundError):
+        runs.rebuild(spark, os.path.join(tmp_dir, "nowhere"), os.path.join(tmp_dir, "m"), os.path.join(tmp_dir, "v"))
+
+
+def test_only_the_raw_timestamp_form_is_good(spark):
+    texts = ["2024-01-01 10:00:00", "2024", "2024-01-01", "2024-01-01 10:00:00+02:00", "2024-01-01T10:00:00", "2024-13-01 10:00:00"]
+    lines = spark.createDataFrame([(f'{{"event":"A","timestamp":"{t}"}}',) for t in texts], "value string")
+    reasons = {r["timestamp"]: r["reason"] for r in landing.parse_raw(lines).collect()}
+    assert reasons.pop(texts[0]) is None and set(reasons.values()) == {"bad timestamp"}
