@@ -17,6 +17,7 @@ batch changes nothing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,6 +161,17 @@ def changed_rows(new: DataFrame, old: DataFrame) -> DataFrame:
             .select(*KEY, "count"))
 
 
+def _folders(stored: DataFrame) -> list[tuple[str, int]]:
+    return sorted(tuple(r) for r in stored.select("grain", "period").distinct().collect())
+
+
+def _in_folders(folders: list[tuple[str, int]]):
+    """Partition filter for some (grain, period) folders."""
+    terms = [(F.col("grain") == g) & F.col("period").isin([p for gg, p in folders if gg == g])
+             for g in sorted({g for g, _ in folders})]
+    return reduce(lambda a, b: a | b, terms)
+
+
 def upsert_view(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
     """Apply ``new`` to the stored view: set count where it differs, insert missing.
 
@@ -169,13 +181,18 @@ def upsert_view(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
     they are read from the folders being overwritten.  Returns the changes.
     """
     create_view(spark, path)
-    old = read_view(spark, path)
-    changes = changed_rows(new, old).checkpoint()
-    touched = _to_stored(changes).select("grain", "period").distinct()
-    old_stored = spark.read.schema(STORED_SCHEMA).parquet(path)
-    kept = (old_stored.join(touched, ["grain", "period"], "left_semi")
-            .join(_to_stored(changes).select("event", "bdate", "grain"),
-                  ["event", "bdate", "grain"], "left_anti"))
+    new = new.checkpoint()
+    # Folders are named by five grains and calendar years: a short list.
+    held = _folders(_to_stored(new))
+    if not held:
+        return new
+    old_stored = spark.read.schema(STORED_SCHEMA).parquet(path).where(_in_folders(held))
+    changes = changed_rows(new, _from_stored(old_stored)).checkpoint()
+    touched = _folders(_to_stored(changes))
+    if not touched:
+        return changes
+    kept = old_stored.where(_in_folders(touched)).join(
+        _to_stored(changes).select("event", "bdate", "grain"), ["event", "bdate", "grain"], "left_anti")
     merged = kept.unionByName(_to_stored(changes)).checkpoint()
     (merged.hint("rebalance", "grain", "period")
      .sortWithinPartitions("grain", "period", "event", "bdate")

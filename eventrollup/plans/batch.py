@@ -16,8 +16,10 @@ Both runs therefore refuse a folder written by the other one.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventrollup.functions.buckets import GRAIN_CODES
 from eventrollup.operators import rollup, views
@@ -55,19 +57,60 @@ def rebuild(spark: SparkSession, landing_dir: str, master_dir: str, view_path: s
 def refresh(spark: SparkSession, landing_dir: str, master_dir: str, view_path: str,
             checkpoint: str, grains: Sequence[str] = GRAIN_CODES,
             rejects_dir: str | None = None) -> DataFrame:
-    """Incremental run: ingest new landing files once, then upsert the view.
+    """Incremental run: ingest new landing files once, then bring the view up to date.
 
-    Returns the view rows that changed.  Rejected lines of the new files go to
-    ``rejects_dir`` if one is given.
+    Returns the view rows that changed.
+
+    The view is driven by a second stream over the master's own committed
+    files: each of its batches names the days that got new rows, only those
+    days are read again from the master, and only view folders with a changed
+    count are rewritten.  A batch that is retried recounts the same days, so a
+    failure at any point leaves nothing counted twice or missed.  Rejected
+    lines of the new files go to ``rejects_dir`` if one is given.
     """
     names = child_names(spark, master_dir)
     if names and SINK_LOG not in names:
         raise ValueError(f"{master_dir} was written by a batch rebuild; readers would lose its files "
                          "once the streaming sink log exists, so refresh needs its own master folder")
-    query = master.ingest_stream(landing.text_source(spark, landing_dir), master_dir,
-                                 checkpoint, available_now=True)
-    run_until_done(query)
+    base = checkpoint.rstrip("/")
+    run_until_done(master.ingest_stream(landing.text_source(spark, landing_dir), master_dir, checkpoint,
+                                        available_now=True))
     if rejects_dir is not None:
-        run_until_done(master.reject_stream(landing.text_source(spark, landing_dir), rejects_dir,
-                                            f"{checkpoint.rstrip('/')}-rejects"))
-    return views.upsert_view(spark, view_from_master(spark, master_dir, grains), view_path)
+        run_until_done(master.reject_stream(landing.text_source(spark, landing_dir), rejects_dir, f"{base}-rejects"))
+    views.create_view(spark, view_path)
+    changed = [spark.createDataFrame([], views.VIEW_SCHEMA)]
+
+    def update(new_rows: DataFrame, batch_id: int) -> None:
+        # Calendar days, so their number is bounded by the calendar.
+        days = [tuple(r) for r in new_rows.select(*master.PARTITION_COLUMNS).distinct().collect()]
+        if days:
+            changed.append(views.upsert_view(spark, recount(spark, master_dir, view_path, days, grains), view_path)
+                           .select(*views.VIEW_SCHEMA.names))
+
+    run_until_done(master.master_stream(spark, master_dir).writeStream.foreachBatch(update)
+                   .option("checkpointLocation", f"{base}-view").trigger(availableNow=True).start())
+    return reduce(DataFrame.unionByName, changed)
+
+
+def recount(spark: SparkSession, master_dir: str, view_path: str, days: list[tuple[int, int, int]],
+            grains: Sequence[str] = GRAIN_CODES) -> DataFrame:
+    """View rows of the given days, and of the months and years around them.
+
+    Minutes, hours and days come from those day folders of the master; months
+    and years from day rows: the recounted ones and, for the other days of the
+    touched years, the stored ones.
+    """
+    fine = rollup.multi_grain_view(master.read_days(spark, master_dir, days), ("m", "H", "D"))
+    parts = [fine.where(F.col("bucket").isin([g for g in grains if g in ("m", "H", "D")]))]
+    coarse = [g for g in grains if g in ("M", "Y")]
+    if coarse:
+        years = sorted({y for y, _, _ in days})
+        touched = [f"{y:04d}-{m:02d}-{d:02d}" for y, m, d in days]
+        stored = views.read_view(spark, view_path, codes=("D",), with_period=True) \
+            .where(F.col("period").isin(years) & ~F.date_format("bdate", "yyyy-MM-dd").isin(touched))
+        day_rows = stored.select("event", "bdate", "count").unionByName(
+            fine.where(F.col("bucket") == "D").select("event", "bdate", "count"))
+        rows = rollup.expand_counts(day_rows, coarse).select(*views.VIEW_SCHEMA.names)
+        months = sorted({f"{y:04d}-{m:02d}" for y, m, _ in days})
+        parts.append(rows.where((F.col("bucket") == "Y") | F.date_format("bdate", "yyyy-MM").isin(months)))
+    return reduce(DataFrame.unionByName, parts)

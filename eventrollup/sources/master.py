@@ -8,6 +8,8 @@ landed record, so fields beyond these two outlive the landing file.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventrollup.functions.buckets import calendar_columns
 from eventrollup.functions.ranges import as_bound, partition_bounds, try_parse_timestamp
-from eventrollup.sources.landing import good_rows, parse_raw, read_landing, reject_rows
+from eventrollup.sources.landing import MAX_FILE_AGE, good_rows, parse_raw, read_landing, reject_rows
 
 PARTITION_COLUMNS = ("year", "month", "day")
 MASTER_SCHEMA = T.StructType([
@@ -87,6 +89,19 @@ def reject_stream(lines: DataFrame, rejects_dir: str, checkpoint: str) -> Stream
             .trigger(availableNow=True).start())
 
 
+def master_stream(spark: SparkSession, master_dir: str) -> DataFrame:
+    """The files that ``ingest_stream`` commits, as a stream (each once)."""
+    return (spark.readStream.schema(MASTER_SCHEMA).option("maxFileAge", MAX_FILE_AGE).parquet(master_dir))
+
+
+def read_days(spark: SparkSession, master_dir: str, days: list[tuple[int, int, int]]) -> DataFrame:
+    """The master rows of some (year, month, day) folders; no other is read."""
+    wanted = reduce(lambda a, b: a | b, [
+        (F.col("year") == y) & (F.col("month") == m) & F.col("day").isin(sorted(d for yy, mm, d in days if (yy, mm) == (y, m)))
+        for y, m in sorted({(y, m) for y, m, _ in days})])
+    return read_master(spark, master_dir).where(wanted)
+
+
 def read_master(spark: SparkSession, master_dir: str, left=None, right=None) -> DataFrame:
     """Master scan (S6) with optional [left, right) bounds on the event time.
 

@@ -78,3 +78,25 @@ def test_serving_prunes_year_folders(spark):
     scans = [line for line in plan.split("\n") if "PartitionFilters" in line and "grain" in line]
     pruned = [line for line in scans if "period" in line and ">= 2024" in line and "<= 2024" in line]
     assert len(pruned) >= 2
+
+
+def test_refresh_reads_only_the_touched_days(spark, tmp_dir):
+    from eventrollup.plans import batch as runs
+    from eventrollup.sources import landing
+
+    land, mdir, vpath, ckpt = (os.path.join(tmp_dir, n) for n in ("l", "m", "v", "c"))
+    ev = event_frame(spark, SF001)
+    landing.land_batch(landing.to_raw_json(ev.where("ts < timestamp_ntz'2024-01-15 12:00:00'")), land)
+    runs.refresh(spark, land, mdir, vpath, ckpt)
+    rows = runs.recount(spark, mdir, vpath, [(2024, 1, 3), (2024, 1, 9)])
+    scans = [line for line in _plan(rows).split("\n") if "FileScan" in line and "minute" in line]
+    assert scans and all("PartitionFilters" in s and "day" in s for s in scans)
+    read = set()
+    for f in runs.master.read_days(spark, mdir, [(2024, 1, 3), (2024, 1, 9)]).select("_metadata.file_path").distinct().collect():
+        read.add(f[0].split("/day=")[1].split("/")[0])
+    assert read == {"3", "9"}
+    # A late file for one day, then nothing new: the view stays exact.
+    landing.land_batch(landing.to_raw_json(ev.where("ts >= timestamp_ntz'2024-01-15 12:00:00'")), land)
+    for _ in range(2):
+        runs.refresh(spark, land, mdir, vpath, ckpt)
+        assert views.read_view(spark, vpath).exceptAll(rollup.multi_grain_view(ev)).isEmpty()
