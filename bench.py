@@ -30,6 +30,7 @@ HEADLINE = (
     "master_dataset",        # landing JSON -> master Parquet -> counts
     "speed_view",            # Structured Streaming foreachBatch partials
     "upsert_batch_view",     # conditional upsert, three rounds
+    "batch_refresh",         # two landing drops, incremental ingest and recount
 )
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
