@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventrollup.functions.buckets import (
-    GRAIN_CODES,
     GRAIN_NAMES,
     bucket_code_for,
     bucket_start_for,
