@@ -4,17 +4,20 @@ Texts become sets of distinct word shingles.  Equal sets form a class, so copies
 count once.  Each tree branches the classes by a chosen coordinate of their
 minwise signature: classes with equal selected tokens share a child node.  A
 node of at most ``LEAF`` classes is compared exhaustively on full sets; a larger
-one branches again, up to ``DEPTH`` levels, with a second coordinate in half of
-the nodes.  Independent trees repeat this: a pair of similarity 0.8 shares the
+one branches again, up to ``DEPTH`` levels, with a second coordinate in a quarter
+of the nodes.  Independent trees repeat this: a pair of similarity 0.8 shares the
 root split of one tree with probability 0.8, and of none of ``TREES`` with
 0.2 ** TREES.
 
 What stays large after ``DEPTH`` levels is a group whose members resemble one
-another.  It is dealt into blocks of bounded size that share pivots, every block
-compared exhaustively, and each member that did not join the node's main
-component is compared with all blocks, so no link inside a node is lost and no
-group meets in one task.  The first tree runs alone and the components it finds
-drop every node that is already whole, so large groups are not compared again.
+another.  It is dealt into blocks of bounded size, and every block is compared
+exhaustively together with the same ``PIVOTS`` members: the most central ones of
+the node, by the agreement of a longer signature with the consensus of a block.
+Members that differ from the group in ways of their own are nearest to its
+centre, so the pivots tie the blocks together; members that share a difference
+meet in small nodes, where a selected token is part of it.  No group meets in
+one task.  The first tree runs alone, and the components it finds drop every
+node that is already whole, so large groups are not compared again.
 
 A comparison walks the links of a bounded group breadth first and emits only
 links that reach a new member: components are complete, pairs are not listed.
@@ -22,7 +25,8 @@ links that reach a new member: components are complete, pairs are not listed.
 Defined results: null and empty texts have no shingles, link with nothing and
 stay; rows without an id are grouped like others and show a null id; rows that
 share an id are one document (linked); an empty table gives no rows; other
-columns are not read.  Words and shingles are compared by 64-bit hashes.
+columns are not read.  Shingles are counted by 64-bit hashes and compared by 40
+bits of them.
 """
 
 from __future__ import annotations
@@ -43,12 +47,15 @@ PERCENT = 80
 TREES = 10
 DEPTH = 4
 LEAF = 64
-PIVOTS = 2
+FILTER_BITS = 26              # 8 MB of bits
+PIVOTS = 16
 COORDINATES = 32
+LONG = 256                    # coordinates of the signature that ranks the members of a large node
 
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(33))
 _ODD = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) * _U(2) + _U(1)
+_LONG = _RNG.integers(0, 2**63, LONG, dtype=np.uint64) * _U(2) + _U(1)
 _SALT = _RNG.integers(0, 2**63, 8, dtype=np.uint64) * _U(2) + _U(1)
 
 SIGNED = "doc_id bigint, n_shingles bigint, content binary, sig binary"
@@ -83,14 +90,60 @@ def _signer(k: int):
     return run
 
 
-def _sets(k: int):
+def _pack(hashes: np.ndarray) -> bytes:
+    """The upper 40 bits of each hash."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:]).tobytes()
+
+
+def _unpack(body: bytes) -> np.ndarray:
+    out = np.zeros((len(body) // 5, 8), dtype=np.uint8)
+    out[:, :5] = np.frombuffer(body, dtype=np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    return (W.mix(ids.view(np.uint64)) >> _U(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Wanted ids -> non-zero words of the bit filter."""
+    for batch in batches:
+        at = np.unique(_places(batch.column(0).to_numpy()))
+        if len(at):
+            word, first = np.unique(at >> 6, return_index=True)
+            mask = np.bitwise_or.reduceat(_U(1) << (at & 63).astype(np.uint64), first)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask.view(np.int64))], names=["word", "mask"])
+
+
+def _bit_filter(wanted: DataFrame) -> np.ndarray:
+    """Bit filter of the wanted ids: of fixed size, whatever their number."""
+    words = wanted.select("cls").mapInArrow(_filter_words, "word bigint, mask bigint") \
+        .groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    bits[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
+    return bits
+
+
+def _passing(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = _places(batch.column(0).to_numpy())
+        keep = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & _U(1)
+        yield batch.filter(pa.array(keep == 1))
+
+
+def _sets(k: int, bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, hashes, offsets in _document_sets(batches, k):
+        for ids, hashes, offsets in _document_sets(_passing(batches, bits), k):
             some = np.flatnonzero(np.diff(offsets))
+            long = np.zeros((len(some), LONG), dtype="<u4")
+            if len(some):
+                for i, odd in enumerate(_LONG):
+                    long[:, i] = np.minimum.reduceat(hashes * odd, offsets[:-1][some]) >> _U(32)
             yield pa.RecordBatch.from_arrays([
                 ids.take(pa.array(some)),
-                pa.array([hashes[offsets[i]:offsets[i + 1]].astype("<u8").tobytes() for i in some], pa.binary())],
-                names=["cls", "set"])
+                pa.array([_pack(hashes[offsets[i]:offsets[i + 1]]) for i in some], pa.binary()),
+                pa.array([x.tobytes() for x in long], pa.binary())],
+                names=["cls", "set", "long"])
     return run
 
 
@@ -126,7 +179,7 @@ def _branch(second: bool):
             first = (lot % _U(COORDINATES)).astype(np.int64)
             out, cls = [_child(node, first, sig)], [batch.column(1)]
             if second:
-                more = np.flatnonzero((lot >> _U(40)) & _U(1))
+                more = np.flatnonzero(((lot >> _U(40)) & _U(3)) == 0)
                 other = ((lot >> _U(20)) % _U(COORDINATES)).astype(np.int64)
                 other = np.where(other == first, (other + 1) % COORDINATES, other)
                 out.append(_child(node[more], other[more], sig[more]))
@@ -136,6 +189,29 @@ def _branch(second: bool):
     return run
 
 
+def _consensus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The commonest value of every coordinate among the signatures of a node."""
+    for batch in batches:
+        out = []
+        for sigs in batch.column(1).to_pylist():
+            rows = np.sort(np.frombuffer(b"".join(sigs), dtype="<u4").reshape(-1, LONG), axis=0)
+            # The longest run of equal values in each sorted column.
+            run = np.zeros(rows.shape, dtype=np.int64)
+            for i in range(1, len(rows)):
+                run[i] = np.where(rows[i] == rows[i - 1], run[i - 1] + 1, 0)
+            out.append(rows[run.argmax(axis=0), np.arange(LONG)].tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["node", "centre"])
+
+
+def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many coordinates of a member equal the consensus of its node."""
+    for batch in batches:
+        sig, centre = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype="<u4").reshape(-1, LONG) for i in (2, 3))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array((sig == centre).sum(axis=1).astype(np.int32))],
+            names=["node", "cls", "score"])
+
+
 def _linked(names: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links of a bounded group, breadth first: each joins a new member."""
     size = np.array([len(s) for s in sets], dtype=np.int64)
@@ -177,7 +253,7 @@ def _comparer(percent: int):
                         yield done()
                     group, names, sets = g.as_py(), [], []
                 names.append(c.as_py())
-                sets.append(np.frombuffer(s.as_py(), dtype="<u8"))
+                sets.append(_unpack(s.as_py()))
         yield done()
     return run
 
@@ -219,31 +295,20 @@ class _Join:
 
     def blocks(self, large: DataFrame) -> DataFrame:
         """Large nodes dealt into blocks of about ``LEAF`` members with shared pivots."""
-        per = large.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("lo"), F.max("cls").alias("hi"))
-        per = store(per.withColumn("parts", F.ceil(F.col("n") / LEAF).cast("int")), "path-parts")
-        dealt = large.join(per, "node").select(
-            "node", "cls", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part"))
-        pivots = per.select("node", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("cls"), "parts")
-        spread = pivots.select("node", "cls", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        every = dealt.unionByName(spread.select("node", "cls", F.col("part").cast("bigint").alias("part")))
-        return store(every.distinct(), "path-blocks")
-
-    def strays(self, large: DataFrame, blocks: DataFrame, labels: DataFrame) -> DataFrame:
-        """Groups that compare every member outside its node's main component with
-        all blocks of the node."""
-        known = labels.withColumnRenamed("node", "cls")
-        member = store(large.join(known, "cls", "left").select("node", "cls", F.coalesce("component", "cls").alias("component")),
-                       "path-member")
-        counts = member.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
-        main = store(counts.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("main")), "path-main")
-        apart = store(member.join(main, "node").where("component <> main").select("node", "cls"),
-                      "path-apart")
-        parts = blocks.select("node", "part").distinct()
-        # A group: one stray and one block, both bounded.
-        pairs = store(apart.join(parts, "node").select(
-            "node", "part", "cls", F.xxhash64("node", "part", "cls").alias("grp")), "path-stray")
-        members = pairs.select("node", "part", "grp").join(blocks, ["node", "part"]).select("grp", "cls")
-        return pairs.select("grp", "cls").unionByName(members).distinct()
+        per = store(large.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts")), "path-parts")
+        dealt = store(large.join(per, "node").select("node", "cls", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part")),
+                      "path-dealt")
+        long = self.sets.select("cls", "long")
+        # One block is a random sample of its node, of bounded size.
+        centre = dealt.where("part = 0").join(long, "cls").groupBy("node").agg(F.collect_list("long").alias("sigs")) \
+            .mapInArrow(_consensus, "node bigint, centre binary")
+        scored = dealt.join(store(centre, "path-centre"), "node").join(long, "cls") \
+            .select("node", "cls", "long", "centre").mapInArrow(_agreement, "node bigint, cls bigint, score int")
+        best = scored.groupBy("node", F.pmod(F.xxhash64("cls", F.lit(3)), F.lit(PIVOTS)).alias("lot")) \
+            .agg(F.max(F.struct("score", "cls"))["cls"].alias("cls"))
+        spread = store(best.select("node", "cls"), "path-pivots").join(per, "node") \
+            .select("node", "cls", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+        return store(dealt.select("node", "cls", "part").unionByName(spread).distinct(), "path-blocks")
 
     def compare(self, groups: DataFrame) -> DataFrame:
         """groups(grp, cls) -> stored links."""
@@ -254,31 +319,24 @@ class _Join:
     def fetch(self, wanted: DataFrame) -> DataFrame:
         """Full sets of the wanted classes, from the texts of their first documents."""
         wanted = store(wanted.select("cls").distinct(), "wanted")
-        texts = self.docs.join(wanted, self.docs["doc_id"] == wanted["cls"], "left_semi").select("doc_id", "text")
+        # The texts stay where they are read: a bit filter of fixed size leaves out
+        # most others, and the join on the sets is exact.
+        sets = self.docs.select("doc_id", "text").mapInArrow(
+            _sets(self.k, _bit_filter(wanted)), "cls bigint, set binary, long binary")
         # Repeated rows of one document are one set.
-        return store(texts.dropDuplicates(["doc_id", "text"]).mapInArrow(_sets(self.k), "cls bigint, set binary"), "sets")
+        return store(sets.join(wanted, "cls", "left_semi").withColumn("tie", F.xxhash64("set"))
+                     .dropDuplicates(["cls", "tie"]).drop("tie"), "sets")
 
     def run(self, links: DataFrame) -> DataFrame:
         """Components (node, component) of the classes, with some links given."""
         leaves, large = self.branch(range(0, 1), False, None)
-        blocks = self.blocks(large)
-        first = self._groups(leaves, blocks)
-        self.sets = self.fetch(first)
-        links = links.unionByName(self.compare(first))
-        labels = components(links)
-        leaves2, large2 = self.branch(range(1, TREES), True, labels)
-        blocks2 = self.blocks(large2)
-        second = store(self._groups(leaves2, blocks2), "groups")
-        more = second.select("cls").distinct().join(self.sets.select("cls").distinct(), "cls", "left_anti")
-        self.sets = self.sets.unionByName(self.fetch(more))
-        links = links.unionByName(self.compare(second))
+        self.sets = self.fetch(leaves.select("cls").unionByName(large.select("cls")))
+        links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large))))
         labels = components(links)
-        stray = [self.strays(x, y, labels) for x, y in ((large, blocks), (large2, blocks2)) if not x.isEmpty()]
-        if stray:
-            for s in stray:
-                links = links.unionByName(self.compare(s))
-            labels = components(links)
-        return labels
+        leaves, large = self.branch(range(1, TREES), True, labels)
+        more = leaves.select("cls").unionByName(large.select("cls")).distinct()
+        self.sets = self.sets.unionByName(self.fetch(more.join(self.sets.select("cls"), "cls", "left_anti")))
+        return components(links.unionByName(self.compare(self._groups(leaves, self.blocks(large)))))
 
     @staticmethod
     def _groups(leaves: DataFrame, blocks: DataFrame) -> DataFrame:
