@@ -38,12 +38,16 @@ from eventrollup.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-SHARD_TOKENS = 1 << 20
-CACHE_ENTRIES = 400_000
-
-# A cut before a run of plain white space that follows another character never
-# parts a token; texts with any other white space are encoded in one piece.
-_PIECES = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
+SHARD_TOKENS = 1 << 18
+CACHE_ENTRIES = 500_000       # pieces in each of the two generations of the memory
+
+# Cuts that never part a token: before a run of plain white space that follows
+# another character, and behind a run of letters that ends at an ASCII sign or
+# at the end.  Texts with any other white space are encoded in one piece.
+_PIECES = re.compile("[ \\n\\r\\t]*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?![A-Za-z\x80-\U0010ffff])"
+                     "|[ \\n\\r\\t]*[^ \\n\\r\\t]+|[ \\n\\r\\t]+")
+# One blank at most, then no white space at all.
+_PLAIN = re.compile("[ ]?[^ \\n\\r\\t]+$")
 _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
 
@@ -59,22 +63,43 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_lines(self, pieces: list[str]) -> list[bytes]:
+        """Plain pieces encoded in one call, as the lines of a text: a line end
+        between them is a token of its own, found nowhere else."""
+        ids = np.array(self.tokenizer.encode("\n".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) * 4
+        starts = np.append(0, ends[:-1] + 4)
+        body = ids.tobytes()
+        return [body[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         pieces = [None if _OTHER_SPACE.search(t) else _PIECES.findall(t) for t in texts]
         if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        known = self.known
-        new = list({p for row in pieces if row for p in row if p not in known})
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            known.update(zip(part, self._encode(part), strict=True))
+            # Pieces that are met again move on; the rest is forgotten next time.
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for p in {p for row in pieces if row for p in row}.difference(known):
+            ids = older.get(p)
+            if ids is None:
+                new.append(p)
+            else:
+                known[p] = ids
+        plain = [p for p in new if _PLAIN.match(p)]
+        for at in range(0, len(plain), 2_000):
+            part = plain[at:at + 2_000]
+            known.update(zip(part, self._encode_lines(part), strict=True))
+        other = [p for p in new if p not in known]
+        known.update(zip(other, self._encode(other), strict=True))
         return [self._encode([t])[0] if row is None else b"".join([known[p] for p in row])
                 for t, row in zip(texts, pieces, strict=True)]
 
