@@ -19,7 +19,9 @@ meet in small nodes, where a selected token is part of it.  No group meets in
 one task.  The first tree runs alone, and the components it finds drop every
 node that is already whole, so large groups are not compared again.
 
-A comparison walks the links of a bounded group breadth first and emits only
+Inside a group, two-bit sketches of 256 minwise values first leave out members
+that no member of another component comes near (a pair of similarity 0.8 falls
+under the cut with a probability of about one in a billion).  A comparison walks the links of a bounded group breadth first and emits only
 links that reach a new member: components are complete, pairs are not listed.
 
 Defined results: null and empty texts have no shingles, link with nothing and
@@ -49,6 +51,10 @@ DEPTH = 4
 LEAF = 64
 FILTER_BITS = 26              # 8 MB of bits
 PIVOTS = 16
+# Equal values, of LONG coordinates cut to two bits, below which two members of a
+# group are not compared on full sets: six standard deviations under the mean
+# of a pair of similarity 0.8.
+SKETCH_SIGMAS = 6
 COORDINATES = 32
 LONG = 256                    # coordinates of the signature that ranks the members of a large node
 
@@ -101,6 +107,43 @@ def _unpack(body: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _sketch(long: np.ndarray) -> np.ndarray:
+    """Two bits of every coordinate, four to a byte."""
+    two = (long & np.uint32(3)).astype(np.uint8).reshape(len(long), LONG // 4, 4)
+    return two[:, :, 0] | (two[:, :, 1] << 2) | (two[:, :, 2] << 4) | (two[:, :, 3] << 6)
+
+
+def _near(percent: int):
+    """Rows (grp, cls, component, sketch) sorted by grp -> those with a member of
+    another component that may be similar enough."""
+    p = percent / 100 + (1 - percent / 100) / 4
+    least = int(LONG * p - SKETCH_SIGMAS * (LONG * p * (1 - p)) ** 0.5)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("grp", pa.int64()), ("cls", pa.int64())])
+        group, rows = None, []
+
+        def done() -> pa.RecordBatch:
+            sketch = np.frombuffer(b"".join(x for _, _, x in rows), dtype=np.uint8).reshape(len(rows), LONG // 4)
+            label = np.array([c for _, c, _ in rows])
+            two = np.concatenate([(sketch >> s) & 3 for s in (0, 2, 4, 6)], axis=1)
+            keep = [i for i in range(len(rows))
+                    if (((two == two[i]).sum(axis=1) >= least) & (label != label[i])).any()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([group] * len(keep), pa.int64()), pa.array([rows[i][0] for i in keep], pa.int64())], schema=schema)
+
+        for batch in batches:
+            for g, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if g != group:
+                    if len(rows) > 1:
+                        yield done()
+                    group, rows = g, []
+                rows.append(row)
+        if len(rows) > 1:
+            yield done()
+    return run
+
+
 def _places(ids: np.ndarray) -> np.ndarray:
     return (W.mix(ids.view(np.uint64)) >> _U(64 - FILTER_BITS)).astype(np.int64)
 
@@ -142,8 +185,9 @@ def _sets(k: int, bits: np.ndarray):
             yield pa.RecordBatch.from_arrays([
                 ids.take(pa.array(some)),
                 pa.array([_pack(hashes[offsets[i]:offsets[i + 1]]) for i in some], pa.binary()),
-                pa.array([x.tobytes() for x in long], pa.binary())],
-                names=["cls", "set", "long"])
+                pa.array([x.tobytes() for x in long], pa.binary()),
+                pa.array([x.tobytes() for x in _sketch(long)], pa.binary())],
+                names=["cls", "set", "long", "sketch"])
     return run
 
 
@@ -310,9 +354,18 @@ class _Join:
             .select("node", "cls", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
         return store(dealt.select("node", "cls", "part").unionByName(spread).distinct(), "path-blocks")
 
-    def compare(self, groups: DataFrame) -> DataFrame:
-        """groups(grp, cls) -> stored links."""
-        return store(groups.join(self.sets, "cls").select("grp", "cls", "set")
+    def compare(self, groups: DataFrame, known: DataFrame | None) -> DataFrame:
+        """groups(grp, cls) -> stored links.  Sketches first leave out the members
+        that no member of another component comes near; the rest bring their sets."""
+        component = F.col("cls").alias("component")
+        if known is not None:
+            groups = groups.join(known.withColumnRenamed("node", "cls"), "cls", "left")
+            component = F.coalesce("component", "cls").alias("component")
+        near = groups.select("grp", "cls", component).join(self.sets.select("cls", "sketch"), "cls") \
+            .select("grp", "cls", "component", "sketch").repartition("grp").sortWithinPartitions("grp") \
+            .mapInArrow(_near(self.percent), "grp bigint, cls bigint")
+        groups = store(near, "path-near")
+        return store(groups.join(self.sets.select("cls", "set"), "cls").select("grp", "cls", "set")
                      .repartition("grp").sortWithinPartitions("grp")
                      .mapInArrow(_comparer(self.percent), "a bigint, b bigint"), "links")
 
@@ -322,7 +375,7 @@ class _Join:
         # The texts stay where they are read: a bit filter of fixed size leaves out
         # most others, and the join on the sets is exact.
         sets = self.docs.select("doc_id", "text").mapInArrow(
-            _sets(self.k, _bit_filter(wanted)), "cls bigint, set binary, long binary")
+            _sets(self.k, _bit_filter(wanted)), "cls bigint, set binary, long binary, sketch binary")
         # Repeated rows of one document are one set.
         return store(sets.join(wanted, "cls", "left_semi").withColumn("tie", F.xxhash64("set"))
                      .dropDuplicates(["cls", "tie"]).drop("tie"), "sets")
@@ -331,12 +384,12 @@ class _Join:
         """Components (node, component) of the classes, with some links given."""
         leaves, large = self.branch(range(0, 1), False, None)
         self.sets = self.fetch(leaves.select("cls").unionByName(large.select("cls")))
-        links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large))))
+        links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), None))
         labels = components(links)
         leaves, large = self.branch(range(1, TREES), True, labels)
         more = leaves.select("cls").unionByName(large.select("cls")).distinct()
         self.sets = self.sets.unionByName(self.fetch(more.join(self.sets.select("cls"), "cls", "left_anti")))
-        return components(links.unionByName(self.compare(self._groups(leaves, self.blocks(large)))))
+        return components(links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), labels)))
 
     @staticmethod
     def _groups(leaves: DataFrame, blocks: DataFrame) -> DataFrame:
