@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from eventrollup.session import work_dir
 
 # Text bytes handled at once inside a task; a single longer text is one batch.
-BATCH_BYTES = 4 * 1024 * 1024
+BATCH_BYTES = 1024 * 1024
 
 
 def read_input(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

@@ -13,7 +13,7 @@ is decided by undoing merges on both sides of the seam, from the latest merge
 back, and looking for an earlier merge across the seam; verdicts are kept in a
 table.  Tokens that merging never produces are left out of the automaton.
 
-Special tokens in a text are ids of their own, as in the reference library.
+Special tokens in a text are ids of their own, as in the tokenizers library.
 Normalising and splitting into words uses patterns here for texts of code points
 up to U+00FF, and the library's own normaliser and splitter for all others.
 
@@ -42,7 +42,7 @@ from eventrollup.llm.words import ramp
 
 TOKENIZER = "word_bpe_49k.json"
 END = "</w>"
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 BATCH = 1 << 20
 
 # Words of a lower-cased text of code points up to U+00FF.
