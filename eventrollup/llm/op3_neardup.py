@@ -19,6 +19,13 @@ meet in small nodes, where a selected token is part of it.  No group meets in
 one task.  The first tree runs alone, and the components it finds drop every
 node that is already whole, so large groups are not compared again.
 
+The remainder is exact: members of large nodes that are not yet one component
+enter a prefix-filtered join.  A pair of the wanted similarity shares one at least
+of the rarest shingles of either set (rarest in this remainder, so a passage of
+the whole group comes last).  The documents of a rare shingle are one group; those
+of a frequent one are compared in tiles of bounded size, every member outside the
+largest component with all others.
+
 Inside a group, two-bit sketches of 256 minwise values first leave out members
 that no member of another component comes near (a pair of similarity 0.8 falls
 under the cut with a probability of about one in a billion).  A comparison walks the links of a bounded group breadth first and emits only
@@ -56,6 +63,8 @@ PIVOTS = 16
 # of a pair of similarity 0.8.
 SKETCH_SIGMAS = 6
 COORDINATES = 32
+TILE = 256                    # members on either side of a tile of a frequent shingle
+LEVEL_BITS = 22               # 4 MB of shingle frequencies
 LONG = 256                    # coordinates of the signature that ranks the members of a large node
 
 _U = np.uint64
@@ -191,6 +200,57 @@ def _sets(k: int, bits: np.ndarray):
     return run
 
 
+def _bucket(tokens: np.ndarray) -> np.ndarray:
+    return (W.mix(tokens) >> _U(64 - LEVEL_BITS)).astype(np.int64)
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (set) -> shingles and the number of sets that hold them, summed per slice."""
+    for batch in slices(batches, "set"):
+        names, n = np.unique(np.concatenate([_unpack(x) for x in batch.column(0).to_pylist()]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n, pa.int64())], names=["token", "n"])
+
+
+def _leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counted shingles -> buckets and quarter powers of two of the counts."""
+    for batch in batches:
+        level = np.minimum(4 * np.log2(batch.column(1).to_numpy()), 127).astype(np.int8)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(_bucket(batch.column(0).to_numpy().view(np.uint64)).astype(np.int32)), pa.array(level)],
+            names=["bucket", "level"])
+
+
+def _levels(sets: DataFrame) -> np.ndarray:
+    """How frequent the commonest shingle of every bucket is, 0 where none is in
+    two sets.  Of fixed size; buckets that shingles share only make the order of
+    the shingles worse, and any order gives the same links."""
+    often = sets.select("set").mapInArrow(_tokens, "token bigint, n bigint") \
+        .groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
+    rows = often.mapInArrow(_leveled, "bucket int, level tinyint").groupBy("bucket").agg(F.max("level").alias("level")).toArrow()
+    out = np.zeros(1 << LEVEL_BITS, dtype=np.int8)
+    out[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return out
+
+
+def _prefixes(percent: int, levels: np.ndarray):
+    """Rows (cls, component, set) -> the rarest shingles of each set, one of which
+    any set of the wanted similarity shares; those of a single set are left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "set"):
+            tokens, n = [], []
+            for body in batch.column(2).to_pylist():
+                own = _unpack(body)
+                level = levels[_bucket(own)]
+                first = np.lexsort((own, level))[:len(own) + 1 - -(-percent * len(own) // 100)]
+                tokens.append(own[first[level[first] > 0]])
+                n.append(len(tokens[-1]))
+            at = pa.array(np.repeat(np.arange(len(n)), n))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)],
+                names=["token", "cls", "component"])
+    return run
+
+
 def _child(node: np.ndarray, coordinate: np.ndarray, sig: np.ndarray) -> np.ndarray:
     value = sig[np.arange(len(sig)), coordinate]
     return W.mix(W.mix(node + (coordinate.astype(np.uint64) + _U(1)) * _SALT[1]) ^ value)
@@ -369,6 +429,38 @@ class _Join:
                      .repartition("grp").sortWithinPartitions("grp")
                      .mapInArrow(_comparer(self.percent), "a bigint, b bigint"), "links")
 
+    def remainder(self, large: DataFrame, known: DataFrame) -> DataFrame:
+        """Stored links of the members of large nodes that are not yet one component."""
+        labelled = store(large.join(known.withColumnRenamed("node", "cls"), "cls", "left")
+                         .select("node", "cls", F.coalesce("component", "cls").alias("component")), "rest-labelled")
+        apart = labelled.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+        members = labelled.join(apart.select("node"), "node", "left_semi").select("cls", "component").distinct()
+        sets = store(members.join(self.sets.select("cls", "set"), "cls").select("cls", "component", "set"), "rest-sets")
+        rows = store(sets.mapInArrow(_prefixes(self.percent, _levels(sets)), "token bigint, cls bigint, component bigint"),
+                     "rest-prefixes")
+        sizes = rows.groupBy("token").agg(
+            F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"),
+            F.expr("bit_xor(xxhash64(cls))").alias("who")).where("n > 1 and x <> y")
+        # Shingles of the same members are one.
+        sizes = store(sizes.groupBy("n", "who").agg(F.min("token").alias("token")).select("token", "n"), "rest-sizes")
+        rows = store(rows.join(sizes, "token"), "rest-rows")
+        often = rows.where(F.col("n") > LEAF)
+        groups = rows.where(F.col("n") <= LEAF).select(F.col("token").alias("grp"), "cls")
+        main = often.groupBy("token", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("token").agg(
+            F.max_by("component", F.struct("m", "component")).alias("main"),
+            F.ceil(F.sum("m") / TILE).alias("parts"), F.ceil((F.sum("m") - F.max("m")) / TILE).alias("lots"))
+        dealt = store(often.join(main, "token").select(
+            "token", "cls", "parts", "lots", (F.col("component") != F.col("main")).alias("stray"),
+            F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part"),
+            F.pmod(F.xxhash64("cls", F.lit(5)), F.col("lots")).alias("lot")), "rest-dealt")
+
+        def every(n):
+            return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+        tiles = dealt.select("token", "cls", "part", every("lots").alias("lot")).unionByName(
+            dealt.where("stray").select("token", "cls", every("parts").alias("part"), "lot")).distinct()
+        return self.compare(groups.unionByName(tiles.select(F.xxhash64("token", "part", "lot").alias("grp"), "cls")), known)
+
     def fetch(self, wanted: DataFrame) -> DataFrame:
         """Full sets of the wanted classes, from the texts of their first documents."""
         wanted = store(wanted.select("cls").distinct(), "wanted")
@@ -386,10 +478,14 @@ class _Join:
         self.sets = self.fetch(leaves.select("cls").unionByName(large.select("cls")))
         links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), None))
         labels = components(links)
+        first = large
         leaves, large = self.branch(range(1, TREES), True, labels)
         more = leaves.select("cls").unionByName(large.select("cls")).distinct()
         self.sets = self.sets.unionByName(self.fetch(more.join(self.sets.select("cls"), "cls", "left_anti")))
-        return components(links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), labels)))
+        links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), labels))
+        labels = components(links)
+        more = self.remainder(first.unionByName(large), labels)
+        return labels if more.isEmpty() else components(links.unionByName(more))
 
     @staticmethod
     def _groups(leaves: DataFrame, blocks: DataFrame) -> DataFrame:

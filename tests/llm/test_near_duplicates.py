@@ -44,6 +44,24 @@ def test_a_group_far_larger_than_a_leaf(spark):
     assert got == where
 
 
+def test_linked_pairs_inside_a_group_of_alike_members(spark):
+    """Pages of one template, three quarters of each pair's words, of which only
+    the planted pairs are linked."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(225)]
+    docs = []
+    for i in range(600):
+        own = [f"o{i}x{j}" for j in range(32)]
+        pair = [*own[:7], *(f"y{i}x{j}" for j in range(25))]
+        docs += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + pair))]
+    rng.shuffle(docs)
+    where, _ = B.components(docs, 4)
+    assert len(set(where.values())) == 600
+    got = {r["doc_id"]: r["component_id"] for r in op3_neardup.near_duplicates(
+        spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == where
+
+
 def test_awkward_rows(spark):
     docs = B.awkward(spark)
     rows = op3_neardup.near_duplicates(docs).collect()
