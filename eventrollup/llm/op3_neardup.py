@@ -19,8 +19,9 @@ meet in small nodes, where a selected token is part of it.  No group meets in
 one task.  The first tree runs alone, and the components it finds drop every
 node that is already whole, so large groups are not compared again.
 
-The remainder is exact: members of large nodes that are not yet one component
-enter a prefix-filtered join.  A pair of the wanted similarity shares one at least
+A pair that shares a root split but not the further ones is not lost, because
+the remainder is exact: the members of all root nodes above ``LEAF`` that are not
+yet one component enter a prefix-filtered join.  A pair of the wanted similarity shares one at least
 of the rarest shingles of either set (rarest in this remainder, so a passage of
 the whole group comes last).  The documents of a rare shingle are one group; those
 of a frequent one are compared in tiles of bounded size, every member outside the
@@ -369,9 +370,10 @@ class _Join:
         self.docs, self.classes, self.k, self.percent = docs, classes, k, percent
         self.sets: DataFrame | None = None
 
-    def branch(self, trees: range, second: bool, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """(leaves, large) as rows (node, cls): nodes with two classes at least that
-        are not yet one component; large ones exceed ``LEAF`` after ``DEPTH`` levels."""
+    def branch(self, trees: range, second: bool, known: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(leaves, large, wide) as rows (node, cls): nodes with two classes at least
+        that are not yet one component; large ones exceed ``LEAF`` after ``DEPTH``
+        levels, wide ones are the root nodes that do."""
         rows = store(self.classes.select("cls", "sig").mapInArrow(_roots(trees), "node bigint, cls bigint"), "path-rows")
         leaves = None
         for level in range(1, DEPTH + 1):
@@ -387,6 +389,7 @@ class _Join:
             small = rows.where(F.col("n") <= LEAF).select("node", "cls")
             leaves = small if leaves is None else leaves.unionByName(small)
             large = rows.where(F.col("n") > LEAF).select("node", "cls")
+            wide = large if level == 1 else wide
             if sizes.where(F.col("n") > LEAF).isEmpty() or level == DEPTH:
                 break
             rows = store(large.join(self.classes.select("cls", "sig"), "cls").select("node", "cls", "sig")
@@ -395,7 +398,7 @@ class _Join:
         members = leaves.groupBy("node").agg(F.array_sort(F.collect_list("cls")).alias("members"))
         once = members.select(F.xxhash64("members").alias("grp"), "members").dropDuplicates(["grp", "members"])
         groups = once.select(F.col("grp").alias("node"), F.explode("members").alias("cls"))
-        return store(groups, "path-leaves"), store(large, "path-large")
+        return store(groups, "path-leaves"), store(large, "path-large"), wide
 
     def blocks(self, large: DataFrame) -> DataFrame:
         """Large nodes dealt into blocks of about ``LEAF`` members with shared pivots."""
@@ -429,9 +432,9 @@ class _Join:
                      .repartition("grp").sortWithinPartitions("grp")
                      .mapInArrow(_comparer(self.percent), "a bigint, b bigint"), "links")
 
-    def remainder(self, large: DataFrame, known: DataFrame) -> DataFrame:
-        """Stored links of the members of large nodes that are not yet one component."""
-        labelled = store(large.join(known.withColumnRenamed("node", "cls"), "cls", "left")
+    def remainder(self, wide: DataFrame, known: DataFrame) -> DataFrame:
+        """Stored links of the members of large root nodes that are not yet one component."""
+        labelled = store(wide.join(known.withColumnRenamed("node", "cls"), "cls", "left")
                          .select("node", "cls", F.coalesce("component", "cls").alias("component")), "rest-labelled")
         apart = labelled.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
         members = labelled.join(apart.select("node"), "node", "left_semi").select("cls", "component").distinct()
@@ -474,17 +477,16 @@ class _Join:
 
     def run(self, links: DataFrame) -> DataFrame:
         """Components (node, component) of the classes, with some links given."""
-        leaves, large = self.branch(range(0, 1), False, None)
-        self.sets = self.fetch(leaves.select("cls").unionByName(large.select("cls")))
+        leaves, large, first = self.branch(range(0, 1), False, None)
+        self.sets = self.fetch(leaves.select("cls").unionByName(first.select("cls")))
         links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), None))
         labels = components(links)
-        first = large
-        leaves, large = self.branch(range(1, TREES), True, labels)
-        more = leaves.select("cls").unionByName(large.select("cls")).distinct()
+        leaves, large, wide = self.branch(range(1, TREES), True, labels)
+        more = leaves.select("cls").unionByName(wide.select("cls")).distinct()
         self.sets = self.sets.unionByName(self.fetch(more.join(self.sets.select("cls"), "cls", "left_anti")))
         links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), labels))
         labels = components(links)
-        more = self.remainder(first.unionByName(large), labels)
+        more = self.remainder(first.unionByName(wide), labels)
         return labels if more.isEmpty() else components(links.unionByName(more))
 
     @staticmethod

@@ -62,6 +62,23 @@ def test_linked_pairs_inside_a_group_of_alike_members(spark):
     assert got == where
 
 
+def test_pairs_in_documents_that_share_a_long_passage(spark):
+    """2,000 documents, 70 percent of each pair's shingles in the common passage:
+    further splits part most pairs, their root splits do not."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(70)]
+    docs = []
+    for i in range(1000):
+        own = [f"o{i}x{j}" for j in range(19)]
+        docs += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:10] + [f"y{i}x{j}" for j in range(9)]))]
+    rng.shuffle(docs)
+    where, _ = B.components(docs, 4)
+    assert len(set(where.values())) == 1000
+    got = {r["doc_id"]: r["component_id"] for r in op3_neardup.near_duplicates(
+        spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == where
+
+
 def test_awkward_rows(spark):
     docs = B.awkward(spark)
     rows = op3_neardup.near_duplicates(docs).collect()
