@@ -12,12 +12,14 @@ that is, the pointwise mutual information of term and entity as a part of the
 entity's information content: 0 if the term says nothing, 1 if it gives the
 entity away.  Terms that occur with an entity in ``MIN_DOCS`` documents or more
 and disclose more than ``MAX_DISCLOSURE`` of it are added as spans of kind
-``term`` wherever they stand in its contexts.  In sanitised texts, values are
+``term`` wherever they stand outside the base spans, in any document.  In sanitised texts, values are
 replaced by the name of their kind, terms by ``[TERM]`` (words) or ``[NUMBER]``
 (with a digit).
 
 Term counts are taken over all words of all documents, summed inside each task
-before anything is shuffled; only terms that reach the support are joined.
+before anything is shuffled; only terms that reach the support are joined.  The
+places of disclosing terms come from a second pass over the texts: a bit filter of
+fixed size leaves out most other words, and a salted join is exact.
 
 Defined results: null and empty texts have no spans (a null text stays null);
 rows without an id are scanned like others; repeated rows give repeated rows; an
@@ -45,6 +47,8 @@ WINDOW_CHARS = 400            # characters searched for the window on either sid
 MIN_DOCS = 3
 MAX_DISCLOSURE = 0.8
 MIN_TERM = 3                  # shortest term, in characters
+FILTER_BITS = 26              # 8 MB of bits
+SALTS = 16                    # lots that the documents of one term are dealt into
 HELD_TERMS = 2_000_000        # distinct terms that a counting task holds at once
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -176,6 +180,64 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(np.zeros(1, np.uint64), np.array([total], dtype=np.int64))
 
 
+def _bits(terms: np.ndarray) -> np.ndarray:
+    return (W.mix(terms.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms -> non-zero words of the bit filter."""
+    for batch in batches:
+        at = np.unique(_bits(batch.column(0).to_numpy()))
+        if len(at):
+            word, first = np.unique(at >> 6, return_index=True)
+            mask = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask.view(np.int64))], names=["word", "mask"])
+
+
+def _bit_filter(terms: DataFrame) -> np.ndarray:
+    words = terms.mapInArrow(_filter_words, "word bigint, mask bigint") \
+        .groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    bits[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
+    return bits
+
+
+def _finder(bits: np.ndarray):
+    """Rows (key, text) -> (key, term, start, stop) of the words that pass the
+    filter and touch no base span; places in characters."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            data, offsets = W.text_bytes(batch.column(1))
+            starts, ends, _ = W.word_spans(data, offsets, W.ALPHANUMERIC)
+            names = W.word_hashes(data, starts, ends).view(np.int64)
+            at = _bits(names)
+            hit = np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+            # Characters before every byte: bytes that continue one are not counted.
+            chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            row = np.searchsorted(offsets, starts[hit], side="right") - 1
+            low, high = (chars[x[hit]] - chars[offsets[row]] for x in (starts, ends))
+            free = np.ones(len(hit), dtype=bool)
+            for i in np.unique(row).tolist():
+                own = slice(*np.searchsorted(row, [i, i + 1]))
+                for _, p, q in base_spans(batch.column(1)[i].as_py()):
+                    free[own] &= (low[own] >= q) | (high[own] <= p)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row[free])), pa.array(names[hit][free]),
+                 pa.array(low[free].astype(np.int32)), pa.array(high[free].astype(np.int32))],
+                names=["key", "term", "start", "stop"])
+    return run
+
+
+def _places(docs: DataFrame, flagged: DataFrame) -> DataFrame:
+    """(key, start, stop) of every occurrence of the flagged terms."""
+    terms = store(flagged.select("term").distinct(), "pii-flagged")
+    found = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text") \
+        .mapInArrow(_finder(_bit_filter(terms)), "key bigint, term bigint, start int, stop int") \
+        .withColumn("salt", F.pmod("key", F.lit(SALTS)))
+    salted = terms.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return found.join(salted, ["term", "salt"], "left_semi").select("key", "start", "stop").distinct()
+
+
 def _scanned(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     return store(docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text").mapInArrow(_scan, SCAN), "pii-scan")
@@ -207,9 +269,7 @@ def find_personal(docs: DataFrame, min_docs: int = MIN_DOCS, max_disclosure: flo
     the base patterns by kind, then start, and spans of disclosing terms by start."""
     scanned = _scanned(docs)
     flagged = disclosing_terms(docs, scanned, min_docs, max_disclosure)
-    places = scanned.select("key", F.explode("contexts").alias("c")) \
-        .select("key", "c.entity", F.explode("c.terms").alias("t")).select("key", "entity", "t.term", "t.start", "t.stop")
-    hit = places.join(flagged.select("entity", "term"), ["entity", "term"], "left_semi").select("key", "start", "stop").distinct()
+    hit = _places(docs, flagged)
     terms = store(hit.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("terms")), "pii-places")
     none = F.array().cast("array<struct<start:int,stop:int>>")
     return scanned.select("key", "doc_id", "spans").join(terms, "key", "left") \

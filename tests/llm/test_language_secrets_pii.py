@@ -111,6 +111,22 @@ def test_disclosing_terms_are_found(spark):
     assert clean[100] == rows[5][1]
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark):
+    filler = "plain words of the corpus that stand in every document of this table "
+    far = filler * 3 + "é Zanzibarov, zanzibarov@example.com "
+    rows = [(i, f"Zanzibarov writes from jan.doe@example.org {far}") for i in range(5)]
+    rows += [(50, far), (51, "ZANZIBAROV alone"), (52, "Zanzibarova is another word")]
+    rows += [(100 + i, filler * 3 + f"unique{i}") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r["doc_id"]: [(s["start"], s["stop"]) for s in r["terms"]] for r in op10_pii.find_personal(frame).collect()}
+    at = far.index("Zanzibarov")
+    assert out[50] == [(at, at + 10)] and out[51] == [(0, 10)] and out[52] == []
+    assert all((0, 10) in out[i] and any(a > 100 for a, _ in out[i]) for i in range(5))
+    clean = {r["doc_id"]: r["text"] for r in op10_pii.sanitise(frame).collect()}
+    assert clean[51] == "[TERM] alone" and "[TERM], [EMAIL]" in clean[50] and clean[52] == rows[7][1]
+    assert not any("zanzibarov" in clean[i].lower() for i in [*range(5), 50])
+
+
 def test_personal_awkward_rows(spark):
     docs = B.awkward(spark)
     out = op10_pii.sanitise(docs)
