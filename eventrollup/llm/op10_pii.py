@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ from eventrollup.llm.common import read_input, ship, slices, store
 # Kinds in their order.
 KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 10
-WINDOW_CHARS = 400            # characters searched for the window on either side
+WINDOW_CHARS = 400            # characters searched first for the words before a place
 MIN_DOCS = 3
 MAX_DISCLOSURE = 0.8
 MIN_TERM = 3                  # shortest term, in characters
@@ -109,15 +110,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def _around(text: str, start: int, stop: int) -> list[tuple[int, int]]:
     """Spans of the ``WINDOW`` words before and after a place."""
-    low, high = max(0, start - WINDOW_CHARS), min(len(text), stop + WINDOW_CHARS)
-    before = [m.span() for m in _TERM.finditer(text, low, start)]
-    # A word cut by the edge of the search is left out.
-    if low and before and before[0][0] == low and _TERM.match(text[low - 1]):
-        before = before[1:]
-    after = [m.span() for m in _TERM.finditer(text, stop, high)]
-    if high < len(text) and after and after[-1][1] == high and _TERM.match(text[high]):
-        after = after[:-1]
-    return before[-WINDOW:] + after[:WINDOW]
+    reach, before = WINDOW_CHARS, []
+    while True:
+        low = max(0, start - reach)
+        before = [m.span() for m in _TERM.finditer(text, low, start)]
+        # The first word may be cut by the edge of the search.
+        if not low or len(before) > WINDOW:
+            break
+        reach *= 4
+    after = [m.span() for m in islice(_TERM.finditer(text, stop), WINDOW)]
+    return before[-WINDOW:] + after
 
 
 def hashes(strings: list[str]) -> np.ndarray:

@@ -111,6 +111,16 @@ def test_disclosing_terms_are_found(spark):
     assert clean[100] == rows[5][1]
 
 
+def test_context_has_ten_words_however_far():
+    for gap in (" ", " " * 500, "-" * 3000):
+        for word in ("w", "語" * 700):
+            words = [f"{word}{i}" for i in range(24)]
+            text = gap.join([*words[:12], "a@b.c", *words[12:]])
+            start = text.index("a@b.c")
+            near = [text[x:y] for x, y in op10_pii._around(text, start, start + 5)]
+            assert near == words[2:22]
+
+
 def test_disclosing_terms_go_wherever_they_stand(spark):
     filler = "plain words of the corpus that stand in every document of this table "
     far = filler * 3 + "é Zanzibarov, zanzibarov@example.com "
