@@ -12,6 +12,9 @@ from eventrollup.llm.op7_secrets import op7_secrets
 from eventrollup.llm.op8_quality import op8_quality
 from eventrollup.llm.op9_chat import op9_chat
 from eventrollup.llm.op10_pii import op10_pii
+from eventrollup.llm.op11_repair import op11_repair
+from eventrollup.llm.op12_fim import op12_fim
+from eventrollup.llm.op13_simhash import op13_simhash
 from eventrollup.llm.sql import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -27,4 +30,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_chat": op9_chat,
     "op10_pii": op10_pii,
+    "op11_repair": op11_repair,
+    "op12_fim": op12_fim,
+    "op13_simhash": op13_simhash,
 }

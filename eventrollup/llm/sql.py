@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventrollup.llm import op1_shard, op3_neardup, op6_decontaminate, op8_quality, op9_chat
+from eventrollup.llm import op1_shard, op3_neardup, op6_decontaminate, op8_quality, op9_chat, op12_fim
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -197,7 +197,117 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+_SPACE = "[\\x20\\x09-\\x0D]"
+# A state of the walk: cost, letters, messages so far.
+_NEVER = "{'c': 1000000, 'a': '', 'b': []::VARCHAR[]}"
+
+
+def _edit(state: str, cost: str, letter: str, message: str | None) -> str:
+    body = f"list_append({state}.b, {message})" if message else f"{state}.b"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'b': {body}}}"
+
+
+def _least(*states: str) -> str:
+    return f"list_sort([{', '.join(states)}])[1]"
+
+
+def _if(cond: str, state: str) -> str:
+    return f"CASE WHEN {cond} THEN {state} ELSE {_NEVER} END"
+
+
+_USER, _ASSISTANT = "'user:'", "'assistant:'"
+_KEEP, _GO = "role || ':' || text", "fault IN ('blank', 'duplicate')"
+
+
+def _kept(state: str, initial: str) -> str:
+    return _if(f"NOT {_GO} AND initial = '{initial}'", _edit(state, "extra", "K", _KEEP))
+
+
+def _reroled(state: str, role: str) -> str:
+    return _if(f"NOT {_GO}", _edit(state, "2 + extra", "R", f"{role} || text"))
+
+
+def _gone(state: str) -> str:
+    return _edit(state, "3", "D", None)
+
+
+OP11 = f"""
+WITH RECURSIVE lots AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_CRC32.format(t="(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS lot
+    FROM conversations),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+           CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN lot = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM lots WHERE lot <> 0),
+placed AS (
+    SELECT *, row_number() OVER w AS i, lag(left(role, 1)) OVER w AS before
+    FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text))),
+judged AS (
+    SELECT conv_id, turn, role, text, i, before, left(role, 1) AS initial,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS k,
+           CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN k > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?]{_SPACE}*$') THEN 'truncated' ELSE '' END AS fault,
+           (fault = 'truncated')::INTEGER AS extra
+    FROM placed),
+walk AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 'b': []::VARCHAR[]}} AS n, {_NEVER} AS s,
+           {{'c': 2, 'a': 'I', 'b': [{_USER}]}} AS u, {{'c': 4, 'a': 'II', 'b': [{_USER}, {_ASSISTANT}]}} AS a
+    FROM damaged
+    UNION ALL
+    SELECT conv_id, i, n, s, u,
+           {_least("a", _edit("u", "2", "I", _ASSISTANT))}
+    FROM (SELECT conv_id, i, n, s, a,
+                 {_least("u", _edit("n", "2", "I", _USER), _edit("s", "2", "I", _USER), _edit("a", "2", "I", _USER))} AS u
+          FROM (SELECT w.conv_id, j.i, {_gone("w.n")} AS n,
+                       {_least(_gone("w.s"), _kept("w.n", "s"))} AS s,
+                       {_least(_gone("w.u"), *[_kept(f"w.{q}", "u") for q in "nsa"], *[_reroled(f"w.{q}", _USER) for q in "nsa"])} AS u,
+                       {_least(_gone("w.a"), _kept("w.u", "a"), _reroled("w.u", _ASSISTANT))} AS a
+                FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1))),
+ended AS (
+    SELECT conv_id, {_least("n", "a")} AS best
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM walk) WHERE back = 1),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.b, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+OP12 = f"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('{op12_fim.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+cut AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, len(w)::BIGINT AS n,
+           ('0x' || h[1:8])::UBIGINT::BIGINT % (n + 1) AS x, ('0x' || h[9:16])::UBIGINT::BIGINT % (n + 1) AS y,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                  OR ('0x' || h[17:24])::UBIGINT % 100 >= {op12_fim.FIM_PERCENT} THEN 'plain'
+                WHEN ('0x' || h[25:32])::UBIGINT % 100 < {op12_fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn),
+made AS (
+    SELECT doc_id, t, n, form, coalesce(array_to_string(w[1:least(x, y)], ''), '') AS p,
+           coalesce(array_to_string(w[least(x, y) + 1:greatest(x, y)], ''), '') AS m,
+           coalesce(array_to_string(w[greatest(x, y) + 1:], ''), '') AS s
+    FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM made
+"""
+
 ORACLES = {
+    "op11_repair": OP11,
+    "op12_fim": OP12,
     "op1_shard": OP1,
     "op3_neardup": OP3,
     "op6_decontaminate": OP6,

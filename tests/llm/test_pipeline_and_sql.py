@@ -16,7 +16,7 @@ from eventrollup.llm.registry import ORACLES, QUERIES
 
 
 def test_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
     assert [n for n, _ in P.STAGES] == ["language_id", "near_dedup", "decontaminate", "pii", "bpe"]
 
