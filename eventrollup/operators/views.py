@@ -141,6 +141,12 @@ def read_view(spark: SparkSession, path: str, codes: Sequence[str] | None = None
     return _from_stored(stored, with_period)
 
 
+def stored_grains(spark: SparkSession, path: str) -> set[str]:
+    """Codes of the grains that have a folder under ``path``."""
+    codes = {name: code for code, name in GRAIN_NAMES.items()}
+    return {codes[n.removeprefix("grain=")] for n in child_names(spark, path) if n.startswith("grain=")}
+
+
 def check_floored(view: DataFrame) -> DataFrame:
     """Rows whose bdate is not the start of its bucket (D1 data-quality check)."""
     return view.where(F.col("bdate") != bucket_start_for("bucket", "bdate"))

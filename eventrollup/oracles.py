@@ -129,6 +129,40 @@ FROM r LEFT JOIN m ON m.event = r.event AND m.bdate >= r.from_ts AND m.bdate + I
 GROUP BY r.row, r.request_id, r.event, r.from_ts, r.to_ts"""
 
 
+def _requests_sql() -> str:
+    b, a = R.REQUEST_BEFORE_HOURS, R.REQUEST_AFTER_HOURS
+    return f"""
+     q AS (SELECT event_id AS request_id, event_type AS event,
+                  ts - INTERVAL {b} HOUR AS from_ts, ts + INTERVAL {a} HOUR AS to_ts FROM events),
+     r AS (SELECT *, row_number() OVER () AS row FROM (
+               SELECT * FROM q UNION ALL SELECT * FROM q WHERE request_id % 7 = 0
+               UNION ALL SELECT NULL, event, from_ts, to_ts FROM q WHERE request_id % 11 = 0))"""
+
+
+def _many_ranges_default_cut_sql() -> str:
+    """Per request: its speed cover, the first bucket of it, batch minutes before."""
+    b, s = _split_sources()
+    return f"""
+WITH {_requests_sql().strip()},
+     sv AS ({_view_sql(s, ('m', 'H'))}),
+     bm AS ({_grain_sql(b, 'm')}),
+     d AS (SELECT DISTINCT event, from_ts, to_ts FROM r),
+     c AS (SELECT d.event, d.from_ts, d.to_ts, min(sv.bdate) AS cut, sum(sv.count) AS n
+           FROM d LEFT JOIN sv ON sv.event = d.event
+                AND {_cover_where(('H', 'm'), 'd.from_ts', 'd.to_ts').replace('bdate', 'sv.bdate').replace('bucket', 'sv.bucket')}
+           GROUP BY ALL),
+     t AS (SELECT c.event, c.from_ts, c.to_ts, coalesce(any_value(c.n), 0) + coalesce(sum(bm.count), 0) AS n
+           FROM c LEFT JOIN bm ON bm.event = c.event AND bm.bdate >= c.from_ts
+                AND bm.bdate + INTERVAL 1 MINUTE <= coalesce(c.cut, c.to_ts)
+           GROUP BY c.event, c.from_ts, c.to_ts)
+SELECT r.request_id, r.event, r.from_ts, r.to_ts, CAST(t.n AS BIGINT) AS count
+FROM r JOIN t ON t.event = r.event AND t.from_ts = r.from_ts AND t.to_ts = r.to_ts"""
+
+
+def _good_drop() -> str:
+    return "SELECT event_type AS event, ts FROM events WHERE event_id % 5 = 0"
+
+
 def _later_speed() -> str:
     """Speed source after the second micro-batch of ``merge_after_new_batch``."""
     return (f"SELECT * FROM ({EV}) WHERE ts >= {_ts(R.SPEED_FROM)} "
@@ -180,6 +214,25 @@ FROM events WHERE event_id % 5 <> 0 GROUP BY ALL""",
     "master_keeps_fields": ("SELECT event_type AS event, CAST(sum(user_id) AS BIGINT) AS users, "
                             "count(props) AS with_props FROM events GROUP BY ALL"),
     "refresh_tmp_and_old_files": _view_sql(EV),
+    "rebuild_unfinished_landing": _view_sql(EV),
+    "rebuild_snapshot": (f"SELECT *, 'before' AS reader FROM ({_view_sql(_split_sources()[0])}) "
+                         f"UNION ALL SELECT *, 'after' AS reader FROM ({_view_sql(EV)})"),
+    "refresh_without_days": _view_sql(EV, ("H", "M")),
+    "refresh_merge_on_read": _view_sql(EV),
+    "upsert_merge_on_read": _view_sql(EV),
+    "speed_view_tiered": _view_sql(_good_drop(), ("m", "H")),
+    "speed_rejects": f"""
+SELECT (event_id // 5) % {R.SPEED_DROPS} AS batch_id,
+       CASE event_id % 5 WHEN 1 THEN 'malformed json' WHEN 2 THEN 'missing event'
+                         WHEN 3 THEN 'missing timestamp' ELSE 'bad timestamp' END AS reason,
+       CAST(count(*) AS BIGINT) AS count
+FROM events WHERE event_id % 5 <> 0 GROUP BY ALL""",
+    "speed_batch_rows": f"""
+WITH e AS (SELECT (event_id // 5) % {R.SPEED_DROPS} AS batch_id, event_id % 5 = 0 AS good, event_type AS event, ts FROM events)
+SELECT batch_id, count(*) AS rows_in, count(*) FILTER (NOT good) AS rejected,
+       count(DISTINCT (event, date_trunc('minute', ts))) FILTER (good)
+       + count(DISTINCT (event, date_trunc('hour', ts))) FILTER (good) AS written
+FROM e GROUP BY batch_id""",
     "rebuild_corrected_landing": _view_sql(_split_sources()[0]),
     "merge_after_new_batch": _merge_sql(("D", "H", "m"), ("H", "m"), LO, HI, _later_speed()),
     "count_by_period_one": f"""
@@ -241,4 +294,5 @@ FROM e LEFT JOIN t ON e.event = t.event""",
     "get_events_all": _shaped(_merge_sql(("D", "H", "m"), ("H", "m"), LO, HI)),
     "compare_events": _compare_sql(),
     "count_many_ranges": _many_ranges_sql(),
+    "count_many_ranges_default_cut": _many_ranges_default_cut_sql(),
 }

@@ -43,6 +43,7 @@ from eventrollup.plans.cover import (
     slot_count,
     top_step,
 )
+from eventrollup.plans.successor import first_buckets
 
 CUT_FIRST_SPEED = "first_speed_bucket"
 CUT_HORIZON = "horizon"
@@ -259,16 +260,18 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     Every request row gives one result row, also where ids are null or rows
     repeat.  The years that the requests span (one small aggregate of the
     request table) prune the ``period`` folders of both views, if they were
-    read with them.  A speed view needs ``horizon``: without it the cut
-    between the views would differ per request, so it is refused.
+    read with them.
+
+    With a speed view and no ``horizon`` each request has the cut of
+    ``count_by_period``: the first speed bucket of its own cover, found by keyed
+    lookups in an index of the speed view (``successor``).
     """
-    if speed is not None and horizon is None:
-        raise ValueError("a speed view needs a horizon here; use count_by_period for the first-bucket cut")
     req_cols = ["_row", "_id", "event", "_lo", "_hi"]
     req = requests.select(F.monotonically_increasing_id().alias("_row"),
                           F.col(id_col).alias("_id"), F.col(event_col).alias("event"),
                           F.col(from_col).alias("_lo"), F.col(to_col).alias("_hi"))
-    if any("period" in v.columns for v in (batch, speed) if v is not None):
+    own_cut = speed is not None and horizon is None
+    if own_cut or any("period" in v.columns for v in (batch, speed) if v is not None):
         first, last = req.agg(F.min(F.year("_lo")), F.max(F.year("_hi"))).first()
         if first is not None and last is not None:
             years = F.col("period").between(first, last)
@@ -277,6 +280,16 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     sides = []
     if speed is None:
         sides.append(("b", batch, F.col("_lo"), F.col("_hi"), GRAIN_CODES))
+    elif own_cut:
+        if _chain(levels, SPEED_GRAINS) != ("H", "m"):
+            raise ValueError("the first-bucket cut of many ranges needs hours and minutes among the levels")
+        if first is not None and last is not None:
+            req = first_buckets(req, speed.select(*VIEW_COLUMNS), req_cols, (first, last))
+        else:
+            req = req.withColumn("_cut", F.lit(None).cast("timestamp_ntz"))
+        req_cols = [*req_cols, "_cut"]
+        sides.append(("b", batch, F.col("_lo"), F.coalesce("_cut", "_hi"), GRAIN_CODES))
+        sides.append(("s", complete_grains(speed, SPEED_GRAINS), F.col("_lo"), F.col("_hi"), GRAIN_CODES))
     else:
         h = ts_literal(horizon)
         b_hi = F.least(F.col("_hi"), F.greatest(F.col("_lo"), h))

@@ -30,9 +30,9 @@ from eventrollup.functions.ranges import (
     range_starts_with,
     ts_literal,
 )
-from eventrollup.operators import rollup, views
+from eventrollup.operators import deltas, rollup, runs, tiers, views
 from eventrollup.plans import batch as batch_runs
-from eventrollup.plans import serving
+from eventrollup.plans import serving, snapshots
 from eventrollup.plans.cover import cover_predicate
 from eventrollup.session import work_dir
 from eventrollup.sources import landing, master
@@ -180,20 +180,24 @@ def q_json_rejects(spark, sf_dir):
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("count"))
 
 
-def q_json_rejects_all_reasons(spark, sf_dir):
-    """One row in five stays good, the others are spoilt in one way each."""
-    _prepare(spark)
-    src = read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("event"),
-                                                     F.date_format("ts", landing.RAW_TS_FORMAT).alias("timestamp"))
+def _spoilt_line():
+    """The raw line of (event_id, event, timestamp): four of five are spoilt."""
     whole = F.to_json(F.struct("event", "timestamp"))
     kind = F.col("event_id") % 5
-    line = (F.when(kind == 1, F.expr("substr(to_json(struct(event, timestamp)), 1, 12)"))
+    return (F.when(kind == 1, F.expr("substr(to_json(struct(event, timestamp)), 1, 12)"))
             .when(kind == 2, F.to_json(F.struct("timestamp")))
             .when(kind == 3, F.to_json(F.struct("event")))
             .when(kind == 4, F.to_json(F.struct("event", F.concat("timestamp", F.lit("+02:00")).alias("timestamp"))))
             .otherwise(whole))
+
+
+def q_json_rejects_all_reasons(spark, sf_dir):
+    """One row in five stays good, the others are spoilt in one way each."""
+    _prepare(spark)
+    src = read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("event"),
+                                                     F.date_format("ts", landing.RAW_TS_FORMAT).alias("timestamp"))
     folder = work_dir(spark, "landing")
-    landing.land_batch(src.select(line.alias("value")), folder)
+    landing.land_batch(src.select(_spoilt_line().alias("value")), folder)
     out, rejects = work_dir(spark, "master"), work_dir(spark, "rejects")
     batch_runs.refresh(spark, folder, out, work_dir(spark, "batch-view"), work_dir(spark, "ckpt"), rejects_dir=rejects)
     return spark.read.parquet(rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("count"))
@@ -326,6 +330,76 @@ def q_rebuild_corrected_landing(spark, sf_dir):
     return views.read_view(spark, view_path)
 
 
+def _events_by_cut(spark, sf_dir):
+    src = read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("event"), "ts")
+    return src, src.where(F.col("ts") < ts_literal(BATCH_BEFORE))
+
+
+def _landed(spark, rows):
+    folder = work_dir(spark, "landing")
+    landing.land_batch(landing.to_raw_json(rows.select("event", "ts")), folder)
+    return folder
+
+
+def q_refresh_without_days(spark, sf_dir):
+    """Two drops refreshed into a view of hours and months only; the second drop
+    falls into a month that the first one counted."""
+    _prepare(spark)
+    src, early = _events_by_cut(spark, sf_dir)
+    folder, master_dir = work_dir(spark, "landing"), work_dir(spark, "master")
+    view_path, ckpt = work_dir(spark, "batch-view"), work_dir(spark, "ckpt-ingest")
+    for rows in (early, src.where(F.col("ts") >= ts_literal(BATCH_BEFORE))):
+        landing.land_batch(landing.to_raw_json(rows.select("event", "ts")), folder)
+        batch_runs.refresh(spark, folder, master_dir, view_path, ckpt, grains=("H", "M"))
+    return views.read_view(spark, view_path)
+
+
+def q_rebuild_unfinished_landing(spark, sf_dir):
+    """A rebuild from a landing folder whose files are all still being written is
+    refused, and the stores stay as they were."""
+    _prepare(spark)
+    src, early = _events_by_cut(spark, sf_dir)
+    master_dir, view_path = work_dir(spark, "master"), work_dir(spark, "batch-view")
+    batch_runs.rebuild(spark, _landed(spark, src), master_dir, view_path)
+    folder = _landed(spark, early)
+    jvm, _, fs = _hadoop(spark, folder)
+    for f in _landed_files(spark, folder):
+        fs.rename(jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.hadoop.fs.Path(f + landing.IN_PROGRESS_SUFFIX))
+    try:
+        batch_runs.rebuild(spark, folder, master_dir, view_path)
+    except FileNotFoundError:
+        return views.read_view(spark, view_path)
+    raise AssertionError("a landing folder without a finished file was taken")
+
+
+def q_rebuild_snapshot(spark, sf_dir):
+    """A reader opened before the second rebuild, and one after a third that never
+    finished; versions out of use are retired in between."""
+    _prepare(spark)
+    src, early = _events_by_cut(spark, sf_dir)
+    root = work_dir(spark, "snapshots")
+    snapshots.rebuild(spark, _landed(spark, early), root)
+    before = snapshots.read_view(spark, root)
+    snapshots.rebuild(spark, _landed(spark, src), root)
+    unfinished = snapshots.begin(spark, root)
+    views.write_view(before.where(F.col("bucket") == "Y"), unfinished.view)
+    snapshots.retire(spark, root, keep=2, grace_seconds=0)
+    after = snapshots.read_view(spark, root)
+    return before.withColumn("reader", F.lit("before")).unionByName(after.withColumn("reader", F.lit("after")))
+
+
+def q_refresh_merge_on_read(spark, sf_dir):
+    """Two landing drops refreshed into a view whose changes are deltas."""
+    _prepare(spark)
+    src, early = _events_by_cut(spark, sf_dir)
+    folder, master_dir = work_dir(spark, "landing"), work_dir(spark, "master")
+    root, ckpt = work_dir(spark, "delta-view"), work_dir(spark, "ckpt-ingest")
+    for rows in (early, src.where(F.col("ts") >= ts_literal(BATCH_BEFORE))):
+        landing.land_batch(landing.to_raw_json(rows.select("event", "ts")), folder)
+        batch_runs.refresh(spark, folder, master_dir, root, ckpt, merge_on_read=True)
+    return deltas.read_store(spark, root)
+
+
 # --- views: upsert and changes -----------------------------------------------
 
 def q_changed_rows(spark, sf_dir):
@@ -345,6 +419,25 @@ def q_upsert_batch_view(spark, sf_dir):
     return views.read_view(spark, path)
 
 
+def q_upsert_merge_on_read(spark, sf_dir):
+    """As ``upsert_batch_view``, with changes as deltas: a base, then one upsert per
+    residue of the event id (few rows change each time), all again without a change."""
+    ev, _ = _events_by_cut(spark, sf_dir)
+    _prepare(spark)
+    root = work_dir(spark, "delta-view")
+    deltas.upsert(rollup.multi_grain_view(ev.where(F.col("ts") < ts_literal(BATCH_BEFORE))), root)
+    for late in (4, 2):
+        some = (F.col("ts") < ts_literal(BATCH_BEFORE)) | (F.col("event_id") % late == 0)
+        deltas.upsert(rollup.multi_grain_view(ev.where(some)), root, fanout=2)
+    deltas.upsert(rollup.multi_grain_view(ev), root, fanout=2)
+    live = runs.manifest(spark, root)
+    deltas.upsert(rollup.multi_grain_view(ev), root, fanout=2)
+    if runs.manifest(spark, root) != live:
+        raise AssertionError("an upsert without a change wrote one")
+    runs.vacuum(spark, root, grace_seconds=0)
+    return deltas.read_store(spark, root)
+
+
 def q_view_range_read(spark, sf_dir):
     ev = _events(spark, sf_dir)
     path = work_dir(spark, "batch-view")
@@ -411,6 +504,49 @@ def q_speed_view_compacted(spark, sf_dir):
     return views.read_speed_view(spark, _run_speed(spark, sf_dir, compact=True))
 
 
+def _run_tiered(spark, sf_dir) -> speed.SpeedStore:
+    """Drops that hold events of all times and lines spoilt in four ways, one batch
+    each, the third stored twice as after a failure; tiers merge by two on the way,
+    and what they replaced is removed."""
+    _prepare(spark)
+    src = read_table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("event"),
+                                                     F.date_format("ts", landing.RAW_TS_FORMAT).alias("timestamp"))
+    src = src.select(_spoilt_line().alias("value"), F.expr(f"event_id div 5 % {SPEED_DROPS}").alias("drop"))
+    folder, ckpt = work_dir(spark, "landing"), work_dir(spark, "ckpt-speed")
+    store = speed.SpeedStore(work_dir(spark, "speed-store"))
+
+    def twice(batch, batch_id):
+        speed.process_tiered(batch, batch_id, store, 2)
+        speed.process_tiered(batch, batch_id, store, 2)
+
+    for k in range(SPEED_DROPS):
+        landing.land_batch(src.where(F.col("drop") == k).select("value"), folder)
+        lines = landing.text_source(spark, folder)
+        query = lines.writeStream.foreachBatch(twice).option("checkpointLocation", ckpt).trigger(availableNow=True).start() \
+            if k == 2 else speed.start_tiered(lines, store, ckpt, fanout=2, available_now=True)
+        speed.run_until_done(query)
+    runs.vacuum(spark, store.counts, grace_seconds=0)
+    live = runs.manifest(spark, store.counts).runs
+    if len(live) > 2 + SPEED_DROPS.bit_length():
+        raise AssertionError(f"expected few live runs, got {live}")
+    return store
+
+
+def q_speed_view_tiered(spark, sf_dir):
+    return tiers.read_speed_store(spark, _run_tiered(spark, sf_dir).counts)
+
+
+def q_speed_rejects(spark, sf_dir):
+    """Rejected lines of the stream by batch and reason."""
+    rows = speed.read_rejects(spark, _run_tiered(spark, sf_dir))
+    return rows.groupBy("batch_id", "reason").agg(F.count(F.lit(1)).alias("count"))
+
+
+def q_speed_batch_rows(spark, sf_dir):
+    """Rows in, rejected and written of every batch."""
+    return speed.read_figures(spark, _run_tiered(spark, sf_dir))
+
+
 def q_speed_windowed_append(spark, sf_dir):
     _prepare(spark)
     folder = _land_events(spark, sf_dir, "landing")
@@ -522,17 +658,26 @@ def q_compare_events(spark, sf_dir):
     return serving.compare_events(batch, spd, COMPARE_LIST, RANGE[0], RANGE[1])
 
 
-def q_count_many_ranges(spark, sf_dir):
-    batch, spd = _batch_speed(spark, sf_dir)
+def _range_requests(spark, sf_dir):
     src = read_table(spark, sf_dir, "events")
     requests = src.select(
         F.col("event_id").alias("request_id"), F.col("event_type").alias("event"),
         F.timestamp_add("HOUR", F.lit(-REQUEST_BEFORE_HOURS), "ts").alias("from_ts"),
         F.timestamp_add("HOUR", F.lit(REQUEST_AFTER_HOURS), "ts").alias("to_ts"))
     # Some requests come twice, some without an id: each row has its own answer.
-    requests = requests.unionByName(requests.where("request_id % 7 = 0")).unionByName(
+    return requests.unionByName(requests.where("request_id % 7 = 0")).unionByName(
         requests.where("request_id % 11 = 0").withColumn("request_id", F.lit(None).cast("bigint")))
-    return serving.count_many_ranges(requests, batch, spd, horizon=BATCH_BEFORE)
+
+
+def q_count_many_ranges(spark, sf_dir):
+    batch, spd = _batch_speed(spark, sf_dir)
+    return serving.count_many_ranges(_range_requests(spark, sf_dir), batch, spd, horizon=BATCH_BEFORE)
+
+
+def q_count_many_ranges_default_cut(spark, sf_dir):
+    """Every request with the cut of its own first speed bucket."""
+    batch, spd = _batch_speed(spark, sf_dir)
+    return serving.count_many_ranges(_range_requests(spark, sf_dir), batch, spd)
 
 
 def q_range_predicates(spark, sf_dir):
@@ -578,12 +723,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_refresh": q_batch_refresh,
     "refresh_tmp_and_old_files": q_refresh_tmp_and_old_files,
     "rebuild_corrected_landing": q_rebuild_corrected_landing,
+    "rebuild_unfinished_landing": q_rebuild_unfinished_landing,
+    "rebuild_snapshot": q_rebuild_snapshot,
+    "refresh_without_days": q_refresh_without_days,
+    "refresh_merge_on_read": q_refresh_merge_on_read,
     "changed_rows": q_changed_rows,
     "upsert_batch_view": q_upsert_batch_view,
+    "upsert_merge_on_read": q_upsert_merge_on_read,
     "view_range_read": q_view_range_read,
     "speed_view": q_speed_view,
     "speed_view_replay": q_speed_view_replay,
     "speed_view_compacted": q_speed_view_compacted,
+    "speed_view_tiered": q_speed_view_tiered,
+    "speed_rejects": q_speed_rejects,
+    "speed_batch_rows": q_speed_batch_rows,
     "speed_windowed_append": q_speed_windowed_append,
     "range_predicates": q_range_predicates,
     "range_cover_dhm": q_range_cover_dhm,
@@ -603,4 +756,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "get_events_all": q_get_events_all,
     "compare_events": q_compare_events,
     "count_many_ranges": q_count_many_ranges,
+    "count_many_ranges_default_cut": q_count_many_ranges_default_cut,
 }

@@ -102,6 +102,11 @@ def read_days(spark: SparkSession, master_dir: str, days: list[tuple[int, int, i
     return read_master(spark, master_dir).where(wanted)
 
 
+def read_years(spark: SparkSession, master_dir: str, years: list[int]) -> DataFrame:
+    """The master rows of some year folders."""
+    return read_master(spark, master_dir).where(F.col("year").isin(years))
+
+
 def read_master(spark: SparkSession, master_dir: str, left=None, right=None) -> DataFrame:
     """Master scan (S6) with optional [left, right) bounds on the event time.
 

@@ -19,16 +19,18 @@ append mode; the last open window is emitted only once the watermark passes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventrollup.functions.buckets import SPEED_GRAINS
+from eventrollup.operators import runs, tiers
 from eventrollup.operators.rollup import multi_grain_view
 from eventrollup.operators.views import batch_ids, compacted_upto, empty_speed_view, write_partials
 from eventrollup.session import child_names
-from eventrollup.sources.landing import good_rows, parse_raw
+from eventrollup.sources.landing import REJECT_SCHEMA, good_rows, parse_raw, reject_rows
 
 
 def speed_counts(raw_lines: DataFrame) -> DataFrame:
@@ -85,6 +87,97 @@ def start_speed_layer(lines: DataFrame, view_path: str, checkpoint: str,
     return writer.start()
 
 
+# --- tiered store, rejects and figures of every batch (S10, X2, X3, A12) --------
+
+FIGURES_SCHEMA = "batch_id bigint, rows_in bigint, rejected bigint, written bigint"
+
+
+@dataclass(frozen=True)
+class SpeedStore:
+    """The folders one stream writes: counts, rejected lines, figures of batches."""
+
+    root: str
+
+    @property
+    def counts(self) -> str:
+        return f"{self.root.rstrip('/')}/counts"
+
+    @property
+    def rejects(self) -> str:
+        return f"{self.root.rstrip('/')}/rejects"
+
+    @property
+    def figures(self) -> str:
+        return f"{self.root.rstrip('/')}/figures"
+
+
+def process_tiered(raw_lines: DataFrame, batch_id: int, store: SpeedStore, fanout: int = runs.FANOUT) -> tuple[int, int, int]:
+    """One micro-batch into counts, rejects and figures; returns (rows in,
+    rejected, rows written).
+
+    The source is read and parsed once: both sinks and the row counts read the
+    parsed rows that the first job kept (memory, then disk; lost pieces are parsed
+    again).  Every sink is keyed by the batch id, the figures last, so a retry at
+    any point leaves each line in one place once.  Then full levels of the batches
+    before this one, which the stream has committed, are merged.
+    """
+    spark = raw_lines.sparkSession
+    parsed = parse_raw(raw_lines).persist()
+    try:
+        seen = parsed.agg(F.count(F.lit(1)).alias("rows_in"), F.count("reason").alias("rejected")).first()
+        written = 0
+        if seen["rows_in"] > seen["rejected"]:
+            written = tiers.commit_batch(multi_grain_view(good_rows(parsed), SPEED_GRAINS), store.counts, batch_id)
+        if seen["rows_in"]:
+            for rows, path in ((reject_rows(parsed), store.rejects),
+                               (spark.createDataFrame([(batch_id, seen["rows_in"], seen["rejected"], written)], FIGURES_SCHEMA)
+                                .drop("batch_id").coalesce(1), store.figures)):
+                if path != store.rejects or seen["rejected"]:
+                    rows.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+    finally:
+        parsed.unpersist()
+    tiers.merge_tiers(spark, store.counts, batch_id - 1, fanout)
+    return seen["rows_in"], seen["rejected"], written
+
+
+def start_tiered(lines: DataFrame, store: SpeedStore, checkpoint: str, fanout: int = runs.FANOUT,
+                 processing_time: str | None = "1 second", available_now: bool = False,
+                 on_batch: Callable[[int, tuple[int, int, int]], None] | None = None) -> StreamingQuery:
+    """Run the speed layer into a ``SpeedStore`` (T1, T2).  A store that has
+    batches accepts only the checkpoint that wrote it."""
+    if child_names(lines.sparkSession, store.figures) and not child_names(lines.sparkSession, checkpoint):
+        raise ValueError(f"{store.root} has rows of another stream run and {checkpoint} is new")
+
+    def _each(batch_df: DataFrame, batch_id: int) -> None:
+        figures = process_tiered(batch_df, batch_id, store, fanout)
+        if on_batch is not None:
+            on_batch(batch_id, figures)
+
+    writer = lines.writeStream.foreachBatch(_each).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
+def _side_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    if not child_names(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
+def read_rejects(spark: SparkSession, store: SpeedStore) -> DataFrame:
+    """Rejected lines of the stream: value, reason, batch_id."""
+    columns = ", ".join(f"{f.name} string" for f in REJECT_SCHEMA.fields)
+    return _side_rows(spark, store.rejects, f"{columns}, batch_id bigint")
+
+
+def read_figures(spark: SparkSession, store: SpeedStore) -> DataFrame:
+    """Rows in, rejected and written of every batch that had any."""
+    return _side_rows(spark, store.figures, FIGURES_SCHEMA)
+
+
 def windowed_counts(lines: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Stateful variant: minute windows, then hour windows chained on them.
 

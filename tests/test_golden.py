@@ -319,12 +319,13 @@ def test_compaction_folds_committed_batches_only(spark, tmp_dir):
     assert _counts(views.read_speed_view(spark, path)) == want
 
 
-def test_many_ranges_refuses_a_speed_view_without_horizon(spark):
+def test_many_ranges_default_cut_needs_hours_and_minutes(spark):
     view = rollup.multi_grain_view(events_df(spark, [("A", "2024-01-01 10:00:00")]))
     req = spark.createDataFrame([(1, "A")], "request_id int, event string").selectExpr(
         "request_id", "event", "timestamp_ntz'2024-01-01 00:00:00' from_ts", "timestamp_ntz'2024-01-02 00:00:00' to_ts")
-    with pytest.raises(ValueError, match="horizon"):
-        serving.count_many_ranges(req, view, view)
+    with pytest.raises(ValueError, match="hours and minutes"):
+        serving.count_many_ranges(req, view, view, levels=("D", "H"))
+    assert serving.count_many_ranges(req, view, view).first()["count"] == 1
 
 
 def test_rebuild_refuses_a_missing_landing_folder(spark, tmp_dir):
