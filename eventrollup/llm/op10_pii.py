@@ -297,21 +297,24 @@ def sanitise(docs: DataFrame, min_docs: int = MIN_DOCS, max_disclosure: float =
     """The documents with personal data and disclosing terms replaced in their texts."""
     columns = docs.columns
     found = find_personal(docs, min_docs, max_disclosure)
-    terms = found.where(F.size("terms") > 0).select(F.col("key").alias("__key"), F.col("terms").alias("__terms")) \
-        .dropDuplicates(["__key"])
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text")).join(store(terms, "pii-found"), "__key", "left")
+    terms = store(found.where(F.size("terms") > 0).select("key", "terms").dropDuplicates(["key"]), "pii-found")
+    # The document is one struct, so its columns can have any names.
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.struct("*").alias("document")).join(terms, "key", "left")
     place = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            texts = batch.column(place)
+        for batch in slices(batches, columns[place]):
+            texts = batch.column(place + 1)
             new = [sanitise_text(t, [(s["start"], s["stop"]) for s in spans or []])
-                   for t, spans in zip(texts.to_pylist(), batch.column(len(columns)).to_pylist(), strict=True)]
-            arrays = list(batch.columns[:len(columns)])
+                   for t, spans in zip(texts.to_pylist(), batch.column(0).to_pylist(), strict=True)]
+            arrays = list(batch.columns[1:])
             arrays[place] = pa.array(new, texts.type)
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    out = keyed.select(*columns, "__terms").mapInArrow(run, docs.schema)
+    spans = "terms"
+    while spans.lower() in {c.lower() for c in columns}:
+        spans += "_"
+    out = keyed.select(F.col("terms").alias(spans), "document.*").mapInArrow(run, docs.schema)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

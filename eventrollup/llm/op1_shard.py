@@ -1,9 +1,11 @@
 """Sharding by proportional stratified interleaving (DataFrame functions only).
 
 Rows are shuffled with a seed inside each source, ranked, and given the
-fractional rank (2r + 1) / 2n of their source.  Sorting all rows by that number
-interleaves the sources in proportion, and cutting the sorted sequence into
-equal runs gives shards that each match the mixture of the whole.
+fractional rank (r + phase) / n of their source.  The phase, a seeded hash of the
+source in [0, 1), spreads sources of equal size, a long tail of single rows
+above all, over the whole range instead of stacking them on one number.  Sorting
+all rows by that rank interleaves the sources in proportion, and cutting the
+sorted sequence into equal runs gives shards that each match the mixture.
 
 The law of the shards is ``rows``: with N rows and S shards the shard of the
 row at place p is floor(p * S / N), so counts differ by one at most.
@@ -41,6 +43,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> Da
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("stratum"),
         F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")).cast("binary")).alias("lot"),
     ), "shard-slim")
+    draw = F.substring(F.md5(F.concat(F.lit(f"{seed}/"), "stratum").cast("binary")), 1, 8)
+    phase = F.conv(draw, 16, 10).cast("bigint") / F.lit(float(1 << 32))
 
     order = ["stratum", "lot", "doc_id", "text_crc32", "size"]
     dealt = slim.repartitionByRange(*order).sortWithinPartitions(*order) \
@@ -57,7 +61,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> Da
     # Keyed by (stratum, partition): a hot source is spread over its partitions.
     keyed = runs.select("stratum", "__part").join(totals, "stratum")
     ranked = placed.join(keyed, ["stratum", "__part"]) \
-        .withColumn("fraction", (F.lit(2) * (F.col("place") - F.col("first")) + 1) / (F.lit(2) * F.col("n"))) \
+        .withColumn("fraction", (F.col("place") - F.col("first") + phase) / F.col("n")) \
         .drop("place", "first", "n", "__part")
     placed = with_position(ranked, ["fraction", "stratum", "lot", "doc_id", "text_crc32", "size"],
                            "shard-placed")
@@ -72,10 +76,13 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, seed: str = SEED) -> Da
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str) -> None:
     """Write the documents as one folder per shard, each file in slot order.
 
-    ``doc_id`` must identify a row here; the join is a plain shuffle join.
+    The document is one struct column ``document``, so none of its columns can
+    clash with the folder's ``shard`` or the ``slot``.  ``doc_id`` must identify a
+    row here; the join is a plain shuffle join.
     """
     keys = assigned.select("doc_id", "shard", "slot")
-    body = docs.drop("shard", "slot").join(keys, "doc_id")
+    body = docs.select(F.col("doc_id").alias("id"), F.struct("*").alias("document"))
+    body = body.join(keys, F.col("id") == F.col("doc_id")).select("shard", "slot", "document")
     body.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot") \
         .write.partitionBy("shard").parquet(path)
 

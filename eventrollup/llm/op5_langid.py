@@ -125,7 +125,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     spark = docs.sparkSession
     ship(spark)
     learn = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    learn = learn.withColumn("lot", F.xxhash64(F.col("doc_id"), F.lit(5)))
+    # Id and text: rows without an id are drawn one by one as well.
+    learn = learn.withColumn("lot", F.xxhash64("doc_id", "text", F.lit(5)))
     sizes = store(learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-sizes")
     share = F.least(F.lit(1.0), F.lit(2.0 * sample) / F.col("n"))
     near = learn.join(sizes, "lang").where(

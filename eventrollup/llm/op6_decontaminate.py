@@ -317,10 +317,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, all columns kept.  Rows are told
     apart by a hash of id and text, so equal ids with other texts are judged apart."""
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    judged = contamination(keyed.select(F.col("__row").alias("doc_id"), "text"), items, window)
-    bad = store(judged.where("contaminated").select(F.col("doc_id").alias("__row")).distinct(), "contaminated")
-    return keyed.join(bad, "__row", "left_anti").drop("__row")
+    # The document is one struct, so its columns can have any names.
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text", F.struct("*").alias("document"))
+    judged = contamination(keyed.select(F.col("row").alias("doc_id"), "text"), items, window)
+    bad = store(judged.where("contaminated").select(F.col("doc_id").alias("row")).distinct(), "contaminated")
+    return keyed.select("row", "document").join(bad, "row", "left_anti").select("document.*")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 Every document gets the base rules (word and symbol counts, duplicate lines,
 repeated three-word windows) and two histograms: seven character classes, and
-the common words of the written languages.  Both are compared by
+the common words of the table's languages.  Which words are common is counted:
+the ``TOP_WORDS`` most frequent ones, in lower case and without the punctuation
+around them, over all documents of a language that pass the base rules, whatever
+languages the table holds.  Both histograms are compared by
 Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) with a
 reference histogram of the document's language, pooled over all documents of
 that language that pass the base rules.  A document is kept if it passes the
@@ -11,8 +14,8 @@ only above a minimum length, as short texts scatter.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null language, or one with fewer than ``MIN_REFERENCE_DOCS`` passing documents,
-is compared with the reference pooled over all languages; repeated rows are
-judged one by one; an empty table gives no rows; other columns are not read.
+is compared with the reference pooled over all languages; a text without
+characters has no class distance; repeated rows are judged one by one; an empty table gives no rows; other columns are not read.
 Equality of three-word windows is decided on 64-bit hashes inside one text.
 """
 
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventrollup.llm.common import read_input, store
@@ -34,14 +37,8 @@ MIN_COMMON_WORDS = 100
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
 
-# Common words of the languages, by language.
-COMMON_WORDS = {
-    "en": "the of and to in is a that for it as was with be on by this are from or an at not have",
-    "de": "der die und den von zu das mit sich des auf ist im dem nicht ein eine als für in",
-    "fr": "de la le et les des en un une du que est pour qui dans par pas sur avec au",
-    "es": "de la que el en y a los se del las un por con no una su para es lo",
-}
-VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words.split()})
+TOP_WORDS = 50                    # of every language, and of all together
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SPACE = "[\\x20\\x09-\\x0D]+"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punct", "other")
 
@@ -79,7 +76,8 @@ def measure(docs: DataFrame) -> DataFrame:
             F.sequence(F.lit(0), F.size(words) - 3),
             lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
             .otherwise(F.array().cast("array<bigint>"))) \
-        .withColumn("common", F.filter(words, lambda w: w.isin(VOCABULARY)))
+        .withColumn("terms", F.filter(F.transform(
+            F.split(F.lower(t), SPACE), lambda w: F.trim(w, F.lit(PUNCTUATION))), lambda w: w != ""))
     d = d.drop("rest", "n_rest", "text", "lines", "words")
     # Only a text that repeats a window needs the windows' places.
     d = d.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows"))
@@ -94,16 +92,37 @@ def measure(docs: DataFrame) -> DataFrame:
     d = d.withColumn("n_repeat_words", F.coalesce(_total(F.transform(
         starts, lambda p, k: F.coalesce(F.least(F.lit(3), F.get(starts, k + 1) - p), F.lit(3)).cast("bigint"))),
         F.lit(0).cast("bigint")))
-    distinct = F.array_distinct("common")
     return d.select(
         "doc_id", "stratum", "n_words", (F.col("n_chars") - F.col("space")).cast("bigint").alias("word_chars"),
         F.col("symbol").cast("bigint").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < MIN_WORDS)
          | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
-        F.array(*[F.col(c).cast("bigint") for c in CLASSES]).alias("classes"),
-        F.transform(distinct, lambda w: F.struct(
-            w.alias("word"),
-            (F.size("common") - F.size(F.array_remove("common", w))).cast("bigint").alias("n"))).alias("common"))
+        F.array(*[F.col(c).cast("bigint") for c in CLASSES]).alias("classes"), "terms")
+
+
+def vocabulary(measured: DataFrame) -> list[str]:
+    """The most frequent words of every language and of all languages together.
+
+    Only ``TOP_WORDS`` rows per language reach the driver: as many as the table
+    has languages, not documents.
+    """
+    counts = measured.where(~F.col("base_failed")).select("stratum", F.explode("terms").alias("word")) \
+        .groupBy("stratum", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = store(counts, "quality-words")
+    pool = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("*").alias("stratum"), "word", "n")
+    # The rank limit is applied before the rows of a language meet.
+    by = Window.partitionBy("stratum").orderBy(F.desc("n"), "word")
+    top = counts.select("stratum", "word", "n").unionByName(pool).withColumn("rank", F.row_number().over(by)) \
+        .where(F.col("rank") <= TOP_WORDS)
+    return sorted(r["word"] for r in top.select("word").distinct().collect())
+
+
+def with_common(measured: DataFrame, words: list[str]) -> DataFrame:
+    """The histogram of the common words, in place of all terms."""
+    d = measured.withColumn("common", F.filter("terms", lambda w: w.isin(words)) if words
+                            else F.array().cast("array<string>")).drop("terms")
+    return d.withColumn("common", F.transform(F.array_distinct("common"), lambda w: F.struct(
+        w.alias("word"), (F.size("common") - F.size(F.array_remove("common", w))).cast("bigint").alias("n"))))
 
 
 def _term(p: Column, q: Column) -> Column:
@@ -132,7 +151,7 @@ def references(measured: DataFrame) -> DataFrame:
     joined = by_class.unionByName(pool_class).join(words.unionByName(pool_words), "stratum", "left")
     total = reduce(lambda a, b: a + b, [F.col(c) for c in CLASSES])
     return joined.select(
-        "stratum", "ref_docs", F.array(*[F.col(c) / total for c in CLASSES]).alias("ref_classes"),
+        "stratum", "ref_docs", F.array(*[F.try_divide(F.col(c), total) for c in CLASSES]).alias("ref_classes"),
         F.map_from_entries(F.transform(F.coalesce("counts", F.array().cast("array<struct<word:string,n:bigint>>")),
                                        lambda x: F.struct(x["word"], x["n"] / F.col("ref_n")))).alias("ref_words"))
 
@@ -150,7 +169,7 @@ def judge(measured: DataFrame, refs: DataFrame) -> DataFrame:
     classes, common, r, q = F.col("classes"), F.col("common"), F.col("r"), F.col("q")
     zero = F.lit(0.0)
     by_class = F.aggregate(F.transform(
-        classes, lambda n, i: _term(n / F.col("chars"), F.get(q, i))), zero, lambda a, x: a + F.coalesce(x, zero))
+        classes, lambda n, i: _term(F.try_divide(n, F.col("chars")), F.get(q, i))), zero, lambda a, x: a + F.coalesce(x, zero))
     # Bins the text lacks add half the reference's share each; so only its own
     # bins are visited.  All words outside the list form one bin.
     seen = F.transform(common, lambda c: F.struct(
@@ -174,7 +193,8 @@ def judge(measured: DataFrame, refs: DataFrame) -> DataFrame:
 
 def quality(docs: DataFrame) -> DataFrame:
     """Texts are read once: the measured rows are stored, then pooled and judged."""
-    measured = store(measure(docs), "quality-measured")
+    terms = store(measure(docs), "quality-terms")
+    measured = store(with_common(terms, vocabulary(terms)), "quality-measured")
     return judge(measured, store(references(measured), "quality-references"))
 
 

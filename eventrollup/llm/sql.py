@@ -21,8 +21,9 @@ WITH slim AS (
            md5('{op1_shard.SEED}' || coalesce(':' || doc_id, '')) AS lot
     FROM documents),
 ranked AS (
-    SELECT *, (2 * (row_number() OVER (PARTITION BY stratum ORDER BY lot, doc_id, text_crc32, size) - 1) + 1)
-              / (2 * count(*) OVER (PARTITION BY stratum))::DOUBLE AS fraction
+    SELECT *, ((row_number() OVER (PARTITION BY stratum ORDER BY lot, doc_id, text_crc32, size) - 1)::DOUBLE
+               + ('0x' || md5('{op1_shard.SEED}/' || stratum)[1:8])::UBIGINT::DOUBLE / 4294967296.0::DOUBLE)
+              / (count(*) OVER (PARTITION BY stratum))::DOUBLE AS fraction
     FROM slim),
 placed AS (
     SELECT *, row_number() OVER (ORDER BY fraction, stratum, lot, doc_id, text_crc32, size) - 1 AS p,
@@ -106,7 +107,7 @@ _CLASS_PATTERNS = {
 _COUNTS = ",\n           ".join(
     f"length(t) - length(regexp_replace(t, '{p}', '', 'g')) AS c_{c}" for c, p in _CLASS_PATTERNS.items())
 _OTHER = " - ".join(["length(t)", *[f"c_{c}" for c in _CLASS_PATTERNS]])
-_VOCABULARY = ", ".join(f"'{w}'" for w in op8_quality.VOCABULARY)
+_PUNCTUATION = op8_quality.PUNCTUATION.replace("'", "''")
 
 
 def _bin(p: str, q: str) -> str:
@@ -134,10 +135,17 @@ m AS (
            len(w) < {op8_quality.MIN_WORDS} OR 100 * coalesce(n, 0) > {op8_quality.MAX_REPEAT_PERCENT} * len(w) AS base_failed,
            [c_lower, c_upper, c_digit, c_space, c_symbol, c_punct, {_OTHER}] AS classes, w
     FROM cut LEFT JOIN repeated USING (doc_id)),
-doc_word AS (
+term AS (
     SELECT doc_id, stratum, base_failed, n_words, word, count(*) AS n
-    FROM (SELECT doc_id, stratum, base_failed, n_words, unnest(w) AS word FROM m)
-    WHERE word IN ({_VOCABULARY}) GROUP BY ALL),
+    FROM (SELECT doc_id, stratum, base_failed, n_words, unnest(list_transform(w, lambda x: trim(lower(x), '{_PUNCTUATION}'))) AS word
+          FROM m) WHERE word <> '' GROUP BY ALL),
+counted AS (
+    SELECT stratum, word, sum(n) AS n FROM term WHERE NOT base_failed GROUP BY ALL
+    UNION ALL SELECT '*', word, sum(n) FROM term WHERE NOT base_failed GROUP BY ALL),
+vocabulary AS (
+    SELECT DISTINCT word FROM counted
+    QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY n DESC, word) <= {op8_quality.TOP_WORDS}),
+doc_word AS (SELECT * FROM term WHERE word IN (SELECT word FROM vocabulary)),
 doc_class AS (SELECT doc_id, stratum, base_failed, n_chars, unnest(range(1, 8)) AS bin, unnest(classes) AS n FROM m),
 enough AS (
     SELECT stratum, sum(n_words) AS total FROM m WHERE NOT base_failed GROUP BY stratum

@@ -1,5 +1,6 @@
 """Near-duplicates and components against brute force."""
 
+import collections
 import random
 
 import llm_brute as B
@@ -109,3 +110,20 @@ def test_ids_with_two_texts_are_linked(spark):
     frame = spark.createDataFrame([(1, a), (5, a), (5, b), (9, b)], "doc_id bigint, text string")
     assert {r["component_id"] for r in op3_neardup.near_duplicates(frame).collect()} == {1}
     assert frame.agg(F.count("*")).first()[0] == 4
+
+
+def test_all_longs_are_ids(spark):
+    """Ids up to the largest long, rows without an id among them, clashing columns kept."""
+    base = "one two three four five six seven eight nine ten eleven twelve"
+    top = 2**63 - 1
+    rows = [(top, base), (top - 5, base + " end"), (top - 6, "alone here with other words"), (-2**63, "far below zero it stands"),
+            (None, base), (None, base), (None, "no id and no friend at all"), (2**62 + 2**61, "a b c d e f")]
+    docs = spark.createDataFrame([(i, t, "mine") for i, t in rows], "doc_id bigint, text string, __id string")
+    got = {(r["doc_id"], r["n_shingles"]): r for r in op3_neardup.near_duplicates(docs).collect()}
+    assert all(r["component_id"] == top - 5 for (i, n), r in got.items() if n in (9, 10))
+    assert sum(r["kept"] for r in op3_neardup.near_duplicates(docs).collect()) == 5
+    for i in (top - 6, -2**63, 2**62 + 2**61):
+        assert [r["component_id"] for (j, _), r in got.items() if j == i] == [i]
+    kept = op3_neardup.keep_first(docs, 4, 80).collect()
+    assert collections.Counter(r["doc_id"] for r in kept) == collections.Counter([top - 5, top - 6, -2**63, None, 2**62 + 2**61])
+    assert {r["__id"] for r in kept} == {"mine"}

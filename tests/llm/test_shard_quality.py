@@ -1,6 +1,7 @@
 """Sharding and quality rules: laws, SQL, awkward rows."""
 
 import collections
+import random
 
 import llm_brute as B
 from conftest import SF0001
@@ -20,14 +21,25 @@ def _check_law(rows, shards):
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
+def _check_mixture(rows, shards):
+    """Every source in every shard as the mixture wants it.
+
+    Below a fractional rank x stand ``floor(n x - phase) + 1`` rows of a source:
+    within 1 of n x.  The rank at which shard k ends is off k / S by at most the
+    sum of these errors over all sources, divided by all rows.
+    """
+    per = collections.Counter((r["shard"], r["source"]) for r in rows)
+    sizes = collections.Counter(r["source"] for r in rows)
+    off = len(sizes) / len(rows)
+    for source, n in sizes.items():
+        for i in range(shards):
+            assert abs(per.get((i, source), 0) - n / shards) <= 2 * (1 + n * off)
+
+
 def test_shards_match_the_mixture(spark):
     rows = op1_shard.op1_shard(spark, SF0001).collect()
     _check_law(rows, 16)
-    per = collections.Counter((r["shard"], r["source"]) for r in rows)
-    for source in {r["source"] for r in rows}:
-        counts = [per.get((i, source), 0) for i in range(16)]
-        # Interleaving puts a source into consecutive shards evenly.
-        assert max(counts) - min(counts) <= 2
+    _check_mixture(rows, 16)
 
 
 def test_sharding_awkward_rows(spark):
@@ -44,18 +56,33 @@ def test_sharding_hot_source_and_repeats(spark):
         F.when(F.col("id") < 2000, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"))
     out = op1_shard.assign_shards(docs, shards=7).collect()
     _check_law(out, 7)
-    hot = collections.Counter(r["shard"] for r in out if r["source"] == "hot")
-    assert max(hot.values()) - min(hot.values()) <= 2
+    _check_mixture(out, 7)
     assert sorted((r["doc_id"], r["shard"], r["slot"]) for r in out) == sorted(
         (r["doc_id"], r["shard"], r["slot"]) for r in op1_shard.assign_shards(docs.repartition(5), shards=7).collect())
 
 
+def test_a_tail_of_single_rows_is_spread(spark):
+    docs = spark.range(2000).select(
+        F.col("id").alias("doc_id"), F.lit("t").alias("text"),
+        F.when(F.col("id") < 1000, "large").otherwise(F.concat(F.lit("s"), F.col("id"))).alias("source"))
+    out = op1_shard.assign_shards(docs, shards=16).collect()
+    _check_law(out, 16)
+    large = collections.Counter(r["shard"] for r in out if r["source"] == "large")
+    # Single rows fall where their phases do: of 1,000 even draws, those below any
+    # rank x are within 4 standard deviations (0.5 * sqrt(1000)) of 1000 x, so a
+    # shard's 125 rows hold 62.5 of the large source but for that.
+    bound = 1 + 4 * 0.5 * 1000 ** 0.5 / 2
+    assert all(abs(large[i] - 62.5) <= bound for i in range(16))
+
+
 def test_sharding_empty_and_written(spark):
     assert op1_shard.assign_shards(B.empty(spark)).collect() == []
-    docs = B.awkward(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
+    docs = B.awkward(spark).where("doc_id is not null").dropDuplicates(["doc_id"]) \
+        .withColumn("shard", F.lit("mine")).withColumn("slot", F.lit(-1))
     path = work_dir(spark, "shards")
     op1_shard.write_shards(docs, op1_shard.assign_shards(docs, 3), path)
     back = spark.read.parquet(path)
+    assert back.select("document.*").columns == docs.columns
     assert back.count() == docs.count() and {r["shard"] for r in back.select("shard").distinct().collect()} == {0, 1, 2}
 
 
@@ -76,14 +103,34 @@ def test_quality_awkward_rows(spark):
     assert op8_quality.quality(B.empty(spark)).collect() == []
 
 
+def _judged(spark, rows):
+    return {r["doc_id"]: r for r in op8_quality.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+
+
 def test_quality_distances(spark):
-    plain = "the house of the old man is not far from the river and it was a place to be for all that was on it "
-    rows = [(i, (plain + f"row{i} some{i} other{i} words{i} ") * 2, "en") for i in range(60)]
-    rows += [(100, " ".join(f"%%%{i}&&& $$${i}***" for i in range(80)), "en")]
-    out = {r["doc_id"]: r for r in op8_quality.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
-    assert all(0 <= r["class_distance"] <= 1 for r in out.values())
-    assert out[0]["class_distance"] < 0.1 < op8_quality.MAX_CLASS_DISTANCE < out[100]["class_distance"]
+    plain = "the house of the old man is not far from the river and it was a place to be for all that was on it ".split()
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.sample(plain * 4 + [f"some{i}", f"other{i}"], 4 * len(plain))), "en") for i in range(60)]
+    rows += [(100, " ".join(f"%%%{i}&&& $$${i}***" for i in range(80)), "en"), (101, "", "en"), (102, None, "en"), (103, " \n ", None)]
+    out = _judged(spark, rows)
+    assert all(0 <= out[i]["class_distance"] <= 1 for i in range(60))
+    assert out[0]["class_distance"] < 0.2 < op8_quality.MAX_CLASS_DISTANCE < out[100]["class_distance"]
     assert not out[100]["kept"]
+    assert all(out[i]["class_distance"] is None and out[i]["base_failed"] and not out[i]["kept"] for i in (101, 102, 103))
+
+
+def test_common_words_are_those_of_any_language(spark):
+    # A language of no list, in capitals and with punctuation; one text of its rare words alone.
+    frequent, rng = [f"{a}{b}u" for a in ("ol", "ke", "am", "vir", "tso") for b in "aeioy"], random.Random(2)
+    words = lambda i: rng.sample(frequent * 5, 120) + [f"zun{i}q{j}" for j in range(10)]
+    texts = {i: " ".join(words(i)) for i in range(30)}
+    texts[30] = " ".join(f"({w.upper()}," for w in words(30))
+    texts[40] = " ".join(f"wub{j}a" for j in range(120))
+    out = _judged(spark, [(i, t, "xx") for i, t in texts.items()])
+    far = {i: r["word_distance"] for i, r in out.items()}
+    assert all(d < 0.35 for i, d in far.items() if i != 40)
+    assert far[40] > op8_quality.MAX_WORD_DISTANCE
+    assert not out[40]["kept"]
 
 
 def test_native_plans(spark):
