@@ -366,8 +366,8 @@ def _comparer(percent: int):
 class _Join:
     """The chosen-path join over the stored classes(cls, sig) and documents."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, k: int, percent: int):
-        self.docs, self.classes, self.k, self.percent = docs, classes, k, percent
+    def __init__(self, docs: DataFrame, classes: DataFrame, k: int, percent: int, repeats: bool):
+        self.docs, self.classes, self.k, self.percent, self.repeats = docs, classes, k, percent, repeats
         self.sets: DataFrame | None = None
 
     def branch(self, trees: range, second: bool, known: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -405,7 +405,7 @@ class _Join:
         per = store(large.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts")), "path-parts")
         dealt = store(large.join(per, "node").select("node", "cls", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part")),
                       "path-dealt")
-        long = self.sets.select("cls", "long")
+        long = self.among(large, "cls bigint, long binary")
         # One block is a random sample of its node, of bounded size.
         centre = dealt.where("part = 0").join(long, "cls").groupBy("node").agg(F.collect_list("long").alias("sigs")) \
             .mapInArrow(_consensus, "node bigint, centre binary")
@@ -417,6 +417,13 @@ class _Join:
             .select("node", "cls", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
         return store(dealt.select("node", "cls", "part").unionByName(spread).distinct(), "path-blocks")
 
+    def among(self, wanted: DataFrame, columns: str) -> DataFrame:
+        """Columns of the sets whose class passes a bit filter of the wanted ones, so
+        that few others are shuffled to the join that follows (which is exact)."""
+        bits = _bit_filter(wanted.select("cls").distinct())
+        names = [c.split()[0] for c in columns.split(", ")]
+        return self.sets.select(*names).mapInArrow(lambda batches: _passing(batches, bits), columns)
+
     def compare(self, groups: DataFrame, known: DataFrame | None) -> DataFrame:
         """groups(grp, cls) -> stored links.  Sketches first leave out the members
         that no member of another component comes near; the rest bring their sets."""
@@ -424,11 +431,11 @@ class _Join:
         if known is not None:
             groups = groups.join(known.withColumnRenamed("node", "cls"), "cls", "left")
             component = F.coalesce("component", "cls").alias("component")
-        near = groups.select("grp", "cls", component).join(self.sets.select("cls", "sketch"), "cls") \
+        near = groups.select("grp", "cls", component).join(self.among(groups, "cls bigint, sketch binary"), "cls") \
             .select("grp", "cls", "component", "sketch").repartition("grp").sortWithinPartitions("grp") \
             .mapInArrow(_near(self.percent), "grp bigint, cls bigint")
         groups = store(near, "path-near")
-        return store(groups.join(self.sets.select("cls", "set"), "cls").select("grp", "cls", "set")
+        return store(groups.join(self.among(groups, "cls bigint, set binary"), "cls").select("grp", "cls", "set")
                      .repartition("grp").sortWithinPartitions("grp")
                      .mapInArrow(_comparer(self.percent), "a bigint, b bigint"), "links")
 
@@ -438,7 +445,8 @@ class _Join:
                          .select("node", "cls", F.coalesce("component", "cls").alias("component")), "rest-labelled")
         apart = labelled.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
         members = labelled.join(apart.select("node"), "node", "left_semi").select("cls", "component").distinct()
-        sets = store(members.join(self.sets.select("cls", "set"), "cls").select("cls", "component", "set"), "rest-sets")
+        members = store(members, "rest-members")
+        sets = store(members.join(self.among(members, "cls bigint, set binary"), "cls").select("cls", "component", "set"), "rest-sets")
         rows = store(sets.mapInArrow(_prefixes(self.percent, _levels(sets)), "token bigint, cls bigint, component bigint"),
                      "rest-prefixes")
         sizes = rows.groupBy("token").agg(
@@ -468,12 +476,14 @@ class _Join:
         """Full sets of the wanted classes, from the texts of their first documents."""
         wanted = store(wanted.select("cls").distinct(), "wanted")
         # The texts stay where they are read: a bit filter of fixed size leaves out
-        # most others, and the join on the sets is exact.
+        # most others.  Those that it lets through are sets like any other; every
+        # join on the sets is exact.
         sets = self.docs.select("doc_id", "text").mapInArrow(
             _sets(self.k, _bit_filter(wanted)), "cls bigint, set binary, long binary, sketch binary")
-        # Repeated rows of one document are one set.
-        return store(sets.join(wanted, "cls", "left_semi").withColumn("tie", F.xxhash64("set"))
-                     .dropDuplicates(["cls", "tie"]).drop("tie"), "sets")
+        if self.repeats:
+            # Repeated rows of one document are one set.
+            sets = sets.withColumn("tie", F.xxhash64("set")).dropDuplicates(["cls", "tie"]).drop("tie")
+        return store(sets, "sets")
 
     def run(self, links: DataFrame) -> DataFrame:
         """Components (node, component) of the classes, with some links given."""
@@ -495,9 +505,31 @@ class _Join:
             blocks.select(F.xxhash64("node", "part").alias("grp"), "cls"))
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    """Rows without an id get one above all real ids, equal for equal texts."""
-    return docs.withColumn("__id", F.coalesce("doc_id", _anonymous(F.xxhash64("text"))))
+def _surrogates(docs: DataFrame) -> DataFrame | None:
+    """(hash, id) for the texts of rows without an id, None if there are none.
+    The ids are drawn until no document has one of them: any long is a real id."""
+    nameless = docs.where(F.col("doc_id").isNull()).select(F.xxhash64("text").alias("hash")).distinct()
+    if nameless.isEmpty():
+        return None
+    taken = docs.where(F.col("doc_id").isNotNull()).select("doc_id")
+    salt = 0
+    while True:
+        made = store(nameless.select("hash", F.xxhash64("hash", F.lit(salt)).alias("id")), "surrogates")
+        again = made.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+        if made.select("id").join(taken, made["id"] == taken["doc_id"], "left_semi").unionByName(again).isEmpty():
+            return made
+        salt += 1
+
+
+def _identified(docs: DataFrame, made: DataFrame | None) -> DataFrame:
+    """docs(doc_id, text, ..) -> id, real, text, ..: rows without a doc_id get the
+    id of their text."""
+    named = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), F.lit(True).alias("real"), "*")
+    if made is None:
+        return docs.select(F.col("doc_id").alias("id"), F.lit(True).alias("real"), "*")
+    other = docs.where(F.col("doc_id").isNull()).withColumn("hash", F.xxhash64("text")) \
+        .join(made, "hash").select("id", F.lit(False).alias("real"), *docs.columns)
+    return named.unionByName(other)
 
 
 def _decide(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -512,40 +544,51 @@ def _decide(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # Rows that share an id are one document: link the classes they fall into.
     ids = rows.groupBy("doc_id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
     same = rows.join(ids, "doc_id").where("cls <> lo").select(F.col("cls").alias("a"), F.col("lo").alias("b"))
-    labels = _Join(docs, classes, k, percent).run(store(same.distinct(), "links"))
+    repeats = not rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    labels = _Join(docs, classes, k, percent, repeats).run(store(same.distinct(), "links"))
     return rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("doc_id", "n_shingles", F.coalesce("component", "cls", "doc_id").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept, one row per document row."""
-    docs = _identified(docs.select("doc_id", "text")).select(F.col("__id").alias("doc_id"), "text")
-    out = _decide(docs, k, percent)
-
-    def shown(c):
-        return F.when(F.col(c) < _FIRST_ANONYMOUS, F.col(c))
-
-    return out.select(shown("doc_id").alias("doc_id"), "n_shingles", shown("component").alias("component_id"),
-                      (F.col("doc_id") == F.col("component")).alias("kept"))
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    made = _surrogates(slim)
+    out = _decide(_identified(slim, made).select(F.col("id").alias("doc_id"), "text"), k, percent)
+    if made is None:
+        return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"),
+                          (F.col("doc_id") == F.col("component")).alias("kept"))
+    # Only real ids are shown, and the smallest real one names a component.
+    marked = store(out.join(made.select(F.col("id").alias("doc_id"), F.lit(True).alias("drawn")), "doc_id", "left")
+                   .withColumn("real", F.when(F.col("drawn").isNull(), F.col("doc_id"))), "named")
+    lowest = marked.groupBy("component").agg(F.min("real").alias("component_id"))
+    return marked.join(lowest, "component").select(
+        F.col("real").alias("doc_id"), "n_shingles", "component_id",
+        F.coalesce(F.col("real") == F.col("component_id"),
+                   F.col("component_id").isNull() & (F.col("doc_id") == F.col("component"))).alias("kept"))
 
 
 def keep_first(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns.
-    Rows that share an id are one document, so one of them stays."""
-    keyed = _identified(docs)
-    rows = store(_decide(keyed.select(F.col("__id").alias("doc_id"), "text"), k, percent), "decisions")
-    gone = store(rows.where("doc_id <> component").select(F.col("doc_id").alias("__id")).distinct(), "gone")
-    out = keyed.join(gone, "__id", "left_anti")
+    """The document with the smallest id of each group, with all its columns; of a
+    group without ids the one of the smallest drawn id.  Rows that share an id are
+    one document, so one of them stays."""
+    # The document is one struct, so its columns can have any names.
+    packed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.struct("*").alias("document"))
+    made = _surrogates(packed.select("doc_id", "text"))
+    keyed = _identified(packed, made)
+    rows = store(_decide(keyed.select(F.col("id").alias("doc_id"), "text"), k, percent), "decisions")
+    first = rows.select(F.col("doc_id").alias("id"), "component").distinct()
+    if made is not None:
+        # A group with real ids keeps the smallest of them.
+        drawn = made.select("id", F.lit(1).alias("drawn"))
+        first = first.join(drawn, "id", "left").withColumn("order", F.struct(F.coalesce("drawn", F.lit(0)).alias("drawn"), "id"))
+        least = first.groupBy("component").agg(F.min("order")["id"].alias("least"))
+        first = first.join(least, "component").select("id", F.col("least").alias("component"))
+    gone = store(first.where("id <> component").select("id"), "gone")
+    out = keyed.join(gone, "id", "left_anti")
     if not rows.groupBy("doc_id").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["__id"])
-    return out.select(*docs.columns)
-
-
-_FIRST_ANONYMOUS = (1 << 62) + (1 << 61)
-
-
-def _anonymous(h):
-    return F.lit(_FIRST_ANONYMOUS).cast("bigint") + F.pmod(h, F.lit(1 << 60).cast("bigint"))
+        out = out.dropDuplicates(["id"])
+    return out.select("document.*")
 
 
 def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
