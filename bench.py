@@ -31,6 +31,9 @@ HEADLINE = (
     "speed_view",            # Structured Streaming foreachBatch partials
     "upsert_batch_view",     # conditional upsert, three rounds
     "batch_refresh",         # two landing drops, incremental ingest and recount
+    "speed_view_tiered",     # eight drops, one stored twice, tiers merged
+    "upsert_merge_on_read",  # five upserts as deltas, folded, vacuumed
+    "count_many_ranges_default_cut",  # X5, each request with its own cut
 )
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 

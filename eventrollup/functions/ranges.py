@@ -60,6 +60,34 @@ def try_parse_timestamp(text: str | Column) -> Column:
     return t.try_cast("timestamp_ntz")
 
 
+# --- epoch seconds ---------------------------------------------------------------
+
+# Fixed value: where epoch seconds begin.
+EPOCH = _dt.datetime(1970, 1, 1)
+
+
+def epoch_seconds(ts: str | Column) -> Column:
+    """Whole seconds since 1970 of a TIMESTAMP_NTZ, whatever the session's zone.
+
+    Stored beside the timestamp because the Parquet reader skips row groups and
+    pages by the statistics of a long, but not by those of a TIMESTAMP_NTZ, although
+    the plan lists such a filter as pushed.
+    """
+    t = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_diff("SECOND", ts_literal(EPOCH), t)
+
+
+def epoch_bound(value) -> Column:
+    """The first whole second at or after a bound: for a column ``s`` of whole
+    seconds, ``s >= epoch_bound(b)`` is ``ts >= b`` and ``s < epoch_bound(b)`` is
+    ``ts < b``.  A literal bound is a literal here."""
+    if isinstance(value, Column):
+        floor = epoch_seconds(value)
+        return F.when(F.timestamp_add("SECOND", floor, ts_literal(EPOCH)) < value, floor + 1).otherwise(floor)
+    span = parse_instant(value) - EPOCH
+    return F.lit(span.days * 86400 + span.seconds + (1 if span.microseconds else 0)).cast("bigint")
+
+
 # --- range predicates over columns (P19-P24) ---------------------------------
 
 def range_is_empty(left, right) -> Column:

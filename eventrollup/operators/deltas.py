@@ -17,14 +17,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrollup.functions.ranges import as_bound
 from eventrollup.operators import runs
-from eventrollup.operators.views import _from_stored, _grain_filter, _to_stored, changed_rows
+from eventrollup.operators.views import _from_stored, _grain_filter, _to_stored, changed_rows, in_range
 from eventrollup.operators.views import stored_grains as run_grains
 
 BASE_LEVEL = 1 << 30
 FOLD_SHARE = 0.25
-KEY = ("event", "grain", "period", "bdate")
+KEY = ("event", "grain", "period", "bdate", "at")
 
 
 def latest(rows: DataFrame) -> DataFrame:
@@ -60,11 +59,7 @@ def read_store(spark: SparkSession, root: str, codes: Sequence[str] | None = Non
         keep = keep & cond
     if events is not None:
         keep = keep & F.col("event").isin(list(events))
-    if left is not None:
-        keep = keep & (F.col("bdate") >= as_bound(left)) & (F.col("period") >= F.year(as_bound(left)))
-    if right is not None:
-        keep = keep & (F.col("bdate") < as_bound(right)) & (F.col("period") <= F.year(as_bound(right)))
-    return _from_stored(_resolved(spark, root, runs.manifest(spark, root).runs, keep), with_period)
+    return _from_stored(_resolved(spark, root, runs.manifest(spark, root).runs, keep & in_range(left, right)), with_period)
 
 
 def stored_grains(spark: SparkSession, root: str) -> set[str]:
@@ -89,11 +84,11 @@ def upsert(new: DataFrame, root: str, fanout: int = runs.FANOUT, share: float =
     new = new.persist()
     try:
         # One row per (grain, year): a calendar-sized list.
-        held = _to_stored(new).groupBy("grain", "period").agg(F.min("bdate").alias("lo"), F.max("bdate").alias("hi")).collect()
+        held = _to_stored(new).groupBy("grain", "period").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).collect()
         if not held:
             return new.limit(0)
         keep = reduce(lambda a, b: a | b, [
-            (F.col("grain") == h["grain"]) & (F.col("period") == h["period"]) & F.col("bdate").between(F.lit(h["lo"]), F.lit(h["hi"]))
+            (F.col("grain") == h["grain"]) & (F.col("period") == h["period"]) & F.col("at").between(h["lo"], h["hi"])
             for h in held])
         old = _from_stored(_resolved(spark, root, now.runs, keep))
         seq = max((r.last for r in now.runs), default=0) + 1

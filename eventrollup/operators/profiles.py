@@ -44,7 +44,7 @@ def _by_bucket(make) -> Column:
     return expr
 
 
-def edge_profiles(view: DataFrame, grains: Sequence[str]) -> DataFrame:
+def edge_profiles(view: DataFrame, grains: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
     """(event, bucket, parent, cum) for the given child grains of a roll-up view.
 
     ``cum[k]`` is a conditional sum, ``sum(count) where index < k``, for
@@ -52,6 +52,10 @@ def edge_profiles(view: DataFrame, grains: Sequence[str]) -> DataFrame:
     buffers, partial before its shuffle and inside whole-stage codegen (no
     list of cells is collected per group).  Grains with fewer slots simply
     repeat their total past their last slot; lookups never index there.
+
+    ``wanted`` holds the keys (event, bucket, parent) that will be looked up: only
+    their cells enter the aggregate (a semi join, which AQE broadcasts while the
+    keys are few), so its input follows the requests and not the view.
     """
     grains = [g for g in grains if g in PARENT]
     width = max(SLOTS[g] for g in grains)
@@ -60,6 +64,8 @@ def edge_profiles(view: DataFrame, grains: Sequence[str]) -> DataFrame:
                      _by_bucket(lambda g: bucket_start(PARENT[g], F.col("bdate"))).alias("parent"),
                      _by_bucket(lambda g: index_in_parent(g, F.col("bdate"))).alias("i"),
                      F.col("count").cast("bigint").alias("c")))
+    if wanted is not None:
+        cells = cells.join(wanted, ["event", "bucket", "parent"], "left_semi")
     zero = F.lit(0).cast("bigint")
     sums = [F.sum(F.when(F.col("i") < k, F.col("c")).otherwise(zero)).alias(f"_cum{k}")
             for k in range(1, width + 1)]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventrollup import files
-from eventrollup.operators.views import STORED_SCHEMA
+from eventrollup.operators.views import STORED_SCHEMA, parquet_writer
 
 FANOUT = 8
 GRACE_SECONDS = 24 * 3600
@@ -98,9 +98,8 @@ def write_run(stored: DataFrame, root: str, level: int, first: int, last: int) -
     if level:
         # A merged run can be large: folders are split into advisory-sized tasks.
         rows = rows.hint("rebalance", "grain", "period")
-    (rows.sortWithinPartitions("grain", "period", "event", "bdate")
-     .observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.partitionBy("grain", "period").parquet(f"{_data(root)}/run={name}"))
+    (parquet_writer(rows.sortWithinPartitions("grain", "period", "event", "bdate")
+                    .observe(seen, F.count(F.lit(1)).alias("rows"))).partitionBy("grain", "period").parquet(f"{_data(root)}/run={name}"))
     return Run(name, level, first, last, int(seen.get["rows"]))
 
 

@@ -13,14 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrollup.functions.ranges import as_bound
 from eventrollup.operators import runs
-from eventrollup.operators.views import _from_stored, _grain_filter, _to_stored
+from eventrollup.operators.views import _from_stored, _grain_filter, _to_stored, in_range
 
 
 def summed(rows: DataFrame) -> DataFrame:
     """Counts per key over several runs."""
-    return rows.groupBy("event", "grain", "period", "bdate").agg(F.sum("count").cast("bigint").alias("count"))
+    return rows.groupBy("event", "grain", "period", "bdate", "at").agg(F.sum("count").cast("bigint").alias("count"))
 
 
 def commit_batch(counts: DataFrame, root: str, batch_id: int) -> int:
@@ -53,11 +52,7 @@ def read_speed_store(spark: SparkSession, root: str, codes: Sequence[str] | None
         rows = rows.where(cond)
     if events is not None:
         rows = rows.where(F.col("event").isin(list(events)))
-    if left is not None:
-        rows = rows.where((F.col("bdate") >= as_bound(left)) & (F.col("period") >= F.year(as_bound(left))))
-    if right is not None:
-        rows = rows.where((F.col("bdate") < as_bound(right)) & (F.col("period") <= F.year(as_bound(right))))
-    return _from_stored(summed(rows), with_period)
+    return _from_stored(summed(rows.where(in_range(left, right))), with_period)
 
 
 def last_batch(spark: SparkSession, root: str) -> int:

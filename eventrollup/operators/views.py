@@ -1,9 +1,11 @@
 """Serving views stored as Parquet.
 
-Batch view: ``event, bdate, count`` in folders ``grain=<name>/period=<year>``
+Batch view: ``event, bdate, at, count`` in folders ``grain=<name>/period=<year>``
 (grain names, not the one-letter codes, so ``m`` and ``M`` never collide on a
-case-insensitive store).  Files are sorted by (event, bdate) so range reads
-skip row groups.  ``bucket`` (the code) is added back on read.
+case-insensitive store).  ``at`` is ``bdate`` in epoch seconds: files are sorted by
+(event, bdate) and the reader skips row groups and pages by the statistics of
+``event`` and ``at`` (those of a TIMESTAMP_NTZ it does not use).  ``bucket`` (the
+code) is added back on read.
 
 Speed view: the same rows as *partial* counts under ``partials/batch_id=<n>/``.
 A micro-batch overwrites only its own folder, so a replayed batch id leaves the
@@ -19,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +32,7 @@ from eventrollup.functions.buckets import (
     check_grain,
     grain_name_for,
 )
-from eventrollup.functions.ranges import as_bound
+from eventrollup.functions.ranges import as_bound, epoch_bound, epoch_seconds
 from eventrollup.session import child_names
 
 KEY = ("event", "bucket", "bdate")
@@ -43,6 +45,7 @@ VIEW_SCHEMA = T.StructType([
 STORED_SCHEMA = T.StructType([
     T.StructField("event", T.StringType()),
     T.StructField("bdate", T.TimestampNTZType()),
+    T.StructField("at", T.LongType()),
     T.StructField("count", T.LongType()),
     T.StructField("grain", T.StringType()),
     T.StructField("period", T.IntegerType()),
@@ -57,13 +60,13 @@ def _is_missing(exc: Exception) -> bool:
 
 
 def _to_stored(view: DataFrame) -> DataFrame:
-    return view.select("event", "bdate", F.col("count").cast("bigint").alias("count"),
+    return view.select("event", "bdate", epoch_seconds("bdate").alias("at"), F.col("count").cast("bigint").alias("count"),
                        grain_name_for("bucket").alias("grain"),
                        F.year("bdate").alias("period"))
 
 
 def _from_stored(stored: DataFrame, with_period: bool = False) -> DataFrame:
-    extra = ["period"] if with_period else []
+    extra = ["period", "at"] if with_period else []
     return stored.select("event", bucket_code_for("grain").alias("bucket"), "bdate", "count", *extra)
 
 
@@ -73,6 +76,25 @@ def _grain_filter(codes: Sequence[str] | None):
     return F.col("grain").isin([GRAIN_NAMES[check_grain(c)] for c in codes])
 
 
+def in_range(left=None, right=None) -> Column:
+    """Stored rows with ``bdate`` in [left, right): year folders, statistics of
+    ``at``, and the exact bound."""
+    cond = F.lit(True)
+    if left is not None:
+        cond = cond & (F.col("bdate") >= as_bound(left)) & (F.col("at") >= epoch_bound(left)) & (F.col("period") >= F.year(as_bound(left)))
+    if right is not None:
+        cond = cond & (F.col("bdate") < as_bound(right)) & (F.col("at") < epoch_bound(right)) & (F.col("period") <= F.year(as_bound(right)))
+    return cond
+
+
+def parquet_writer(rows: DataFrame):
+    """Writer of stored rows.  A point read skips the row groups whose bloom filter
+    lacks its event.  Rows are sorted by event, so a row group holds few: the filter
+    is sized for a thousand, about 2 KB."""
+    return (rows.write.option("parquet.bloom.filter.enabled#event", "true")
+            .option("parquet.bloom.filter.expected.ndv#event", "1000"))
+
+
 # --- create / empty (S11) -----------------------------------------------------
 
 def create_view(spark: SparkSession, path: str) -> None:
@@ -106,9 +128,8 @@ def write_view(view: DataFrame, path: str, mode: str = "overwrite") -> None:
     compute the whole roll-up a second time).
     """
     stored = _to_stored(view)
-    (stored.hint("rebalance", "grain", "period")
-     .sortWithinPartitions("grain", "period", "event", "bdate")
-     .write.mode(mode).option("partitionOverwriteMode", "static")
+    (parquet_writer(stored.hint("rebalance", "grain", "period")
+                    .sortWithinPartitions("grain", "period", "event", "bdate")).mode(mode).option("partitionOverwriteMode", "static")
      .partitionBy("grain", "period").parquet(path))
 
 
@@ -117,28 +138,23 @@ def read_view(spark: SparkSession, path: str, codes: Sequence[str] | None = None
               with_period: bool = False) -> DataFrame:
     """Point/range read (S8): grains prune folders, the rest reaches Parquet filters.
 
-    ``with_period`` keeps the year folder as a column, so the serving
-    functions can prune year folders from the bounds of each query.
+    ``with_period`` keeps the year folder and the epoch second as columns, so the
+    serving functions can prune folders, row groups and pages from the bounds of
+    each query.
     """
     try:
         stored = spark.read.schema(STORED_SCHEMA).parquet(path)
     except Exception as exc:
         if _is_missing(exc):
             empty = spark.createDataFrame([], VIEW_SCHEMA)
-            return empty.withColumn("period", F.lit(None).cast("int")) if with_period else empty
+            return empty.withColumn("period", F.lit(None).cast("int")).withColumn("at", F.lit(None).cast("bigint")) if with_period else empty
         raise
     cond = _grain_filter(codes)
     if cond is not None:
         stored = stored.where(cond)
     if events is not None:
         stored = stored.where(F.col("event").isin(list(events)))
-    if left is not None:
-        stored = stored.where(F.col("bdate") >= as_bound(left))
-        stored = stored.where(F.col("period") >= F.year(as_bound(left)))
-    if right is not None:
-        stored = stored.where(F.col("bdate") < as_bound(right))
-        stored = stored.where(F.col("period") <= F.year(as_bound(right)))
-    return _from_stored(stored, with_period)
+    return _from_stored(stored.where(in_range(left, right)), with_period)
 
 
 def stored_grains(spark: SparkSession, path: str) -> set[str]:
@@ -264,9 +280,9 @@ def read_speed_view(spark: SparkSession, path: str, codes: Sequence[str] | None
                     with_period: bool = False) -> DataFrame:
     """Speed view = partial counts summed per key (the counter merge, A10).
 
-    With ``with_period`` the year folder is kept (it is a function of
-    ``bdate``, so grouping by it changes nothing) and a filter on it later
-    reaches the partials' folders through the aggregate.
+    With ``with_period`` the year folder and the epoch second are kept (functions
+    of ``bdate``, so grouping by them changes nothing) and a filter on them later
+    reaches the partials through the aggregate.
     """
     parts = read_partials(spark, path)
     cond = _grain_filter(codes)
@@ -274,11 +290,8 @@ def read_speed_view(spark: SparkSession, path: str, codes: Sequence[str] | None
         parts = parts.where(cond)
     if events is not None:
         parts = parts.where(F.col("event").isin(list(events)))
-    if left is not None:
-        parts = parts.where(F.col("bdate") >= as_bound(left))
-    if right is not None:
-        parts = parts.where(F.col("bdate") < as_bound(right))
-    keys = ["event", "grain", "period", "bdate"] if with_period else ["event", "grain", "bdate"]
+    parts = parts.where(in_range(left, right))
+    keys = ["event", "grain", "period", "bdate", "at"] if with_period else ["event", "grain", "bdate"]
     summed = parts.groupBy(*keys).agg(F.sum("count").cast("bigint").alias("count"))
     return _from_stored(summed, with_period)
 
@@ -299,7 +312,7 @@ def compact_partials(spark: SparkSession, path: str, checkpoint: str) -> int:
     if upto <= before:
         return before
     parts = read_partials(spark, path).where(F.col("batch_id") <= upto)
-    summed = (parts.groupBy("event", "grain", "period", "bdate")
+    summed = (parts.groupBy("event", "grain", "period", "bdate", "at")
               .agg(F.sum("count").cast("bigint").alias("count")))
     (summed.select(*STORED_SCHEMA.names).hint("rebalance", "grain", "period")
      .sortWithinPartitions("grain", "period", "event", "bdate")

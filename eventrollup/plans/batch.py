@@ -136,7 +136,7 @@ def recount(spark: SparkSession, master_dir: str, view_path: str, days: list[tup
             touched = [f"{y:04d}-{m:02d}-{d:02d}" for y, m, d in days]
             counted = read(spark, view_path, codes=(below,), with_period=True) \
                 .where(F.col("period").isin(years) & ~F.date_format("bdate", "yyyy-MM-dd").isin(touched)) \
-                .unionByName(fine.where(F.col("bucket") == below).withColumn("period", F.year("bdate")))
+                .select("event", "bdate", "count").unionByName(fine.where(F.col("bucket") == below).select("event", "bdate", "count"))
         rows = rollup.expand_counts(counted.select("event", "bdate", "count"), coarse).select(*views.VIEW_SCHEMA.names)
         months = sorted({f"{y:04d}-{m:02d}" for y, m, _ in days})
         parts.append(rows.where((F.col("bucket") == "Y") | F.date_format("bdate", "yyyy-MM").isin(months)))

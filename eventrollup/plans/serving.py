@@ -31,7 +31,7 @@ from eventrollup.functions.buckets import (
     check_grain,
     check_levels,
 )
-from eventrollup.functions.ranges import as_bound, check_range, parse_instant, range_is_valid, ts_literal
+from eventrollup.functions.ranges import as_bound, check_range, epoch_bound, parse_instant, range_is_valid, ts_literal
 from eventrollup.operators.profiles import edge_profiles, top_profiles
 from eventrollup.operators.rollup import complete_grains
 from eventrollup.plans.cover import (
@@ -63,12 +63,15 @@ def _events_list(events) -> list[str] | None:
 
 def _restrict(view: DataFrame | None, events, lo=None, hi=None) -> DataFrame | None:
     """The view's four columns for the wanted events.  A view read with its
-    year folder (``period``) is first pruned to the years of [lo, hi)."""
+    year folder and epoch second (``period``, ``at``) is first pruned to those of
+    [lo, hi)."""
     if view is None:
         return None
     names = _events_list(events)
     if lo is not None and "period" in view.columns:
         view = view.where((F.col("period") >= lo.year) & (F.col("period") <= hi.year))
+    if lo is not None and "at" in view.columns:
+        view = view.where((F.col("at") >= epoch_bound(lo)) & (F.col("at") < epoch_bound(hi)))
     view = view.select(*VIEW_COLUMNS)
     return view if names is None else view.where(F.col("event").isin(names))
 
@@ -251,7 +254,9 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     table.  So the request rows go through two shuffles in all, one equi-join
     on (event, side, bucket, parent) and one sum per request, about ten rows
     per request whatever the range: no range join, and no pairing of a
-    request with all rows of its event.  The pieces come from fixed slot
+    request with all rows of its event.  The distinct keys of the pieces first
+    reduce both views to the parents that are asked for, so the profiles cost
+    what the requests need.  The pieces come from fixed slot
     arrays (no higher-order functions), so the request side runs in one
     whole-stage-codegen stage.  A hot lookup key is split by AQE's skew
     join; the profile side is broadcast only when AQE has measured it below
@@ -307,14 +312,9 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
         keyed = keyed.select(*req_cols, *[c for c, _ in slot_cols],
                              lookup_slots(chain, bounds_from_columns(chain), side).alias(f"_slots_{side}"))
         slot_cols.append((f"_slots_{side}", slot_count(chain)))
-        view = view.select(*VIEW_COLUMNS)
-        table = top_profiles(view, chain[0])
-        if len(chain) > 1:
-            table = table.unionByName(edge_profiles(view, chain[1:]))
-        tables.append(table.withColumn("side", F.lit(side)))
+        tables.append((side, chain, view.select(*VIEW_COLUMNS)))
     if len(steps) != 1:
         raise ValueError("both views need the same coarsest grain")
-    profiles = reduce(DataFrame.unionByName, tables)
     slots = F.concat(*[F.col(c) for c, _ in slot_cols]) if len(slot_cols) > 1 else F.col(slot_cols[0][0])
     # Unused slots are dropped; a request whose cover is empty (every slot
     # null) keeps its slot 0 as one null row, so that it sums to 0.
@@ -323,6 +323,14 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
              .where(F.col("k").isNotNull() | ((F.col("pos") == 0) & F.col("_empty")))
              .select(*req_cols, "k.side", "k.bucket", "k.i0", "k.i1",
                      F.explode_outer(F.sequence("k.first", "k.last", top_step(steps.pop()))).alias("parent")))
+    wanted = keyed.where(F.col("parent").isNotNull()).select("event", "side", "bucket", "parent").distinct()
+    profiles = []
+    for side, chain, view in tables:
+        table = top_profiles(view, chain[0])
+        if len(chain) > 1:
+            table = table.unionByName(edge_profiles(view, chain[1:], wanted.where(F.col("side") == side).drop("side")))
+        profiles.append(table.withColumn("side", F.lit(side)))
+    profiles = reduce(DataFrame.unionByName, profiles)
     part = F.element_at("cum", F.col("i1") + 1) - F.element_at("cum", F.col("i0") + 1)
     matched = (keyed.join(profiles, ["event", "side", "bucket", "parent"], "left")
                .select(*req_cols, part.alias("part")))

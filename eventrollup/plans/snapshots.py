@@ -93,7 +93,8 @@ def rebuild(spark: SparkSession, landing_dir: str, root: str, grains: Sequence[s
     view are complete.  A landing folder without a finished file is refused."""
     check_landing(spark, landing_dir, allow_empty)
     new = begin(spark, root)
-    master.ingest(spark, landing_dir, new.master, mode="overwrite", rejects_dir=new.rejects)
+    # All of history at once: files are bounded by days and bytes, not by tasks.
+    master.ingest(spark, landing_dir, new.master, mode="overwrite", rejects_dir=new.rejects, clustered=True)
     views.write_view(view_from_master(spark, new.master, grains), new.view)
     publish(spark, root, new)
     return new

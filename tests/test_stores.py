@@ -182,6 +182,18 @@ def test_rebuild_refuses_what_is_not_finished(spark, tmp_dir):
     batch.check_landing(spark, land)
 
 
+def test_a_backfill_writes_few_files(spark, tmp_dir):
+    rows = events_df(spark, _times(random.Random(3), 400)).repartition(8)
+    landing.land_batch(landing.to_raw_json(rows), f"{tmp_dir}/landing")
+    for clustered in (False, True):
+        master.ingest(spark, f"{tmp_dir}/landing", f"{tmp_dir}/{clustered}", clustered=clustered)
+    files_of = {c: [f for f, _ in files.files_below(spark, f"{tmp_dir}/{c}") if f.endswith(".parquet")] for c in (False, True)}
+    assert len(files_of[True]) <= 10 < len(files_of[False])          # ten days
+    columns = ["event", "timestamp", "at", "year", "month", "day"]
+    assert sorted(map(tuple, master.read_master(spark, f"{tmp_dir}/True").select(columns).collect())) == \
+        sorted(map(tuple, master.read_master(spark, f"{tmp_dir}/False").select(columns).collect()))
+
+
 # --- snapshots -------------------------------------------------------------------------
 
 def test_snapshots_are_seen_whole_or_not_at_all(spark, tmp_dir):
