@@ -4,13 +4,13 @@ Base patterns find assignments, access keys and long hexadecimal runs.  Their
 matches are the labelled samples of random strings; runs of identifier
 characters in texts without a match are the samples of ordinary identifiers.
 Both classes train a first-order character model (transition counts over the
-whole corpus, add-one smoothing).  Every other run of at least ``MIN_RUN``
-identifier characters is scored by the log-likelihood ratio of the two models;
-runs above ``MIN_RATIO`` are added as spans of kind ``markov``.
+whole corpus, add-one smoothing).  Every other run of identifier characters, from
+``MIN_RUN`` = the shortest learned one on, is scored by the log-likelihood ratio of
+the two models; runs that reach ``MIN_RATIO`` are added as spans of kind ``markov``.
+The ratio itself guards short runs: it grows with every character.
 
-The texts are read once: a pass emits the base spans, the candidate runs and
-per-batch transition counts; the counts are summed in Spark down to one row per
-transition, and the slim rows are scored.
+The texts are read twice: one pass counts transitions, summed in Spark down to one
+row per transition, the other scores all runs of a batch at once from the table.
 
 Defined results: null and empty texts have no spans; rows without an id are
 scanned like others; repeated rows give repeated rows; without any labelled
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrollup.llm import words as W
-from eventrollup.llm.common import read_input, ship, slices, store
+from eventrollup.llm.common import read_input, ship, slices
 
 # Kinds in their order, and the base patterns.
 KINDS = ("assign", "access", "hex", "markov")
@@ -41,8 +41,7 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _KEYS = re.compile(r"passw|secret|token|api", re.I | re.A)
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-SAMPLE_RUN = 8                # shortest ordinary identifier that is learned
-MIN_RUN = 20                  # shortest run that is scored
+MIN_RUN = 8                   # shortest run that is learned and scored
 MIN_RATIO = 12.0              # natural log of the likelihood ratio that makes a secret
 
 _A = len(ALPHABET) + 1        # class 0: begin or end of a run
@@ -50,10 +49,6 @@ _CLASS = np.zeros(256, dtype=np.uint8)
 for _i, _c in enumerate(ALPHABET):
     _CLASS[ord(_c)] = _i + 1
 
-SCAN = ("doc_id bigint, base array<struct<start:int,stop:int,kind:int>>, "
-        "runs array<struct<start:int,stop:int,run:string>>, counts binary")
-
-
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, stop, kind) of the base patterns, by start, then kind."""
     out = []
@@ -91,48 +86,36 @@ def _runs(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.flatnonzero(begins), np.flatnonzero(stops) + 1
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    span = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.int32())])
-    run = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("run", pa.string())])
+def _read(batches: Iterator[pa.RecordBatch]):
+    """Slices with their base spans, bytes, classes and runs (first, end, text)."""
     for batch in slices(batches):
-        n = batch.num_rows
-        texts = batch.column(1).to_pylist()
-        base = [base_spans(t) if t else [] for t in texts]
-        data, offsets = W.text_bytes(batch.column(1))
+        base = [base_spans(t) if t else [] for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+        data, offsets = W.text_bytes(batch.column(batch.schema.get_field_index("text")))
+        codes = _CLASS[data]
+        starts, stops = _runs(codes, offsets) if len(data) else (np.zeros(0, np.int64),) * 2
+        owner = np.searchsorted(offsets, starts, side="right") - 1
+        long = np.flatnonzero(stops - starts >= MIN_RUN)
+        yield batch, base, data, offsets, codes, starts[long], stops[long], owner[long]
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> transition counts of ordinary identifiers and of labelled secrets."""
+    for batch, base, _, _, codes, starts, stops, owner in _read(batches):
         counts = np.zeros((2, _A * _A), dtype=np.int64)
-        runs: list[list] = [[] for _ in range(n)]
-        if len(data):
-            codes = _CLASS[data]
-            starts, stops = _runs(codes, offsets)
-            size = stops - starts
-            owner = np.searchsorted(offsets, starts, side="right") - 1
-            clean = np.array([not b for b in base])
-            # Ordinary identifiers: whole runs of texts without a base match.
-            sample = (size >= SAMPLE_RUN) & clean[owner]
-            lens = size[sample]
-            if len(lens):
-                ends = np.cumsum(lens + 1)
-                line = np.zeros(ends[-1] + 1, dtype=np.uint8)
-                first = ends - lens
-                line[np.repeat(first, lens) + W.ramp(lens)] = codes[np.repeat(starts[sample], lens) + W.ramp(lens)]
-                counts[0] = transitions(line)
-            for i in np.flatnonzero(size >= MIN_RUN):
-                doc, a, b = owner[i], starts[i], stops[i]
-                before = data[offsets[doc]:a]
-                at = int(len(before) - np.count_nonzero((before & 0xC0) == 0x80))
-                stop = at + int(b - a)
-                if not any(at < y and x < stop for x, y, _ in base[doc]):
-                    runs[doc].append({"start": at, "stop": stop, "run": data[a:b].tobytes().decode()})
-        values = [v for t, b in zip(texts, base, strict=True) if b for v in _secret_values(t)]
+        # Ordinary identifiers: whole runs of texts without a base match.
+        clean = np.array([not b for b in base])[owner] if len(owner) else np.zeros(0, bool)
+        lens = (stops - starts)[clean]
+        if len(lens):
+            ends = np.cumsum(lens + 1)
+            line = np.zeros(ends[-1] + 1, dtype=np.uint8)
+            line[np.repeat(ends - lens, lens) + W.ramp(lens)] = codes[np.repeat(starts[clean], lens) + W.ramp(lens)]
+            counts[0] = transitions(line)
+        texts = batch.column(batch.schema.get_field_index("text"))
+        values = [v for i, b in enumerate(base) if b for v in _secret_values(texts[i].as_py())]
         if values:
             line = _CLASS[np.frombuffer(("\n" + "\n".join(values) + "\n").encode(), dtype=np.uint8)]
             counts[1] = transitions(line)
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0),
-            pa.array([[{"start": a, "stop": b, "kind": k} for a, b, k in s] for s in base], pa.list_(span)),
-            pa.array(runs, pa.list_(run)),
-            pa.array([counts.astype("<i8").tobytes()] + [None] * (n - 1), pa.binary())],
-            names=["doc_id", "base", "runs", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([counts.astype("<i8").tobytes()], pa.binary())], names=["counts"])
 
 
 def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,12 +127,12 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["cell", "n"])
 
 
-def train(scanned: DataFrame) -> np.ndarray:
-    """Log-likelihood ratio of every transition, random over ordinary.
-
-    The driver receives one row per cell of the two transition tables at most.
+def train(docs: DataFrame) -> np.ndarray:
+    """Log-likelihood ratio of every transition, random over ordinary, from
+    docs(text).  The driver receives one row per cell of the two tables at most.
     """
-    cells = scanned.where(F.col("counts").isNotNull()).select("counts") \
+    ship(docs.sparkSession)
+    cells = docs.select("text").mapInArrow(_counts, "counts binary") \
         .mapInArrow(_sum_counts, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(2 * _A * _A)
     for r in cells:
@@ -168,15 +151,21 @@ def _judge(table: np.ndarray, min_ratio: float):
     span = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string()), ("ratio", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for base, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                spans = [(s["start"], s["kind"], s["stop"], None) for s in base]
-                for r in runs:
-                    score = ratio(table, r["run"])
-                    if score >= min_ratio:
-                        spans.append((r["start"], 3, r["stop"], score))
-                out.append([{"start": a, "stop": b, "kind": KINDS[k], "ratio": s} for a, k, b, s in sorted(spans, key=lambda x: x[:2])])
+        for batch, base, data, offsets, codes, starts, stops, owner in _read(batches):
+            spans = [[(a, k, b, None) for a, b, k in own] for own in base]
+            if len(starts):
+                inner = np.concatenate([[0.0], np.cumsum(table[codes[:-1], codes[1:]])])
+                score = table[0, codes[starts]] + inner[stops - 1] - inner[starts] + table[codes[stops - 1], 0]
+                # The sums differ in the last digits; the runs near the limit are judged one by one.
+                near = np.flatnonzero(score >= min_ratio - 1e-6)
+                chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                low = chars[starts[near]] - chars[offsets[owner[near]]]
+                for i, at in zip(near.tolist(), low.tolist(), strict=True):
+                    a, b, own = int(starts[i]), int(stops[i]), owner[i]
+                    exact = ratio(table, data[a:b].tobytes().decode())
+                    if exact >= min_ratio and not any(at < y and x < at + b - a for x, y, _ in base[own]):
+                        spans[own].append((at, 3, at + b - a, exact))
+            out = [[{"start": a, "stop": b, "kind": KINDS[k], "ratio": s} for a, k, b, s in sorted(own, key=lambda x: x[:2])] for own in spans]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(span))], names=["doc_id", "spans"])
     return run
 
@@ -184,9 +173,8 @@ def _judge(table: np.ndarray, min_ratio: float):
 def find_secrets(docs: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     """docs(doc_id, text) -> doc_id, spans: by start, then kind; code points, end exclusive."""
     ship(docs.sparkSession)
-    scanned = store(docs.select("doc_id", "text").mapInArrow(_scan, SCAN), "secret-scan")
-    return scanned.select("doc_id", "base", "runs").mapInArrow(
-        _judge(train(scanned), min_ratio),
+    return docs.select("doc_id", "text").mapInArrow(
+        _judge(train(docs), min_ratio),
         "doc_id bigint, spans array<struct<start:int,stop:int,kind:string,ratio:double>>")
 
 

@@ -140,3 +140,36 @@ def quality(text):
             seen.add(line)
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit),
             len(w) < 50 or 100 * len(hit) > 50 * len(w))
+
+
+def markov_spans(texts, base, alphabet, min_run, min_ratio):
+    """texts by row -> spans (start, stop) of runs whose likelihood ratio, from
+    counted transitions of labelled values and of runs in texts without any, is high."""
+    import math
+
+    size = len(alphabet) + 1
+    run = re.compile(f"[{re.escape(alphabet)}]+")
+    counts = [collections.Counter(), collections.Counter()]
+
+    def pairs(word):
+        codes = [0, *(alphabet.index(c) + 1 for c in word), 0]
+        return list(zip(codes, codes[1:], strict=False))
+
+    for t in texts:
+        found = base(t)
+        if not found:
+            for m in run.finditer(t):
+                if len(m[0]) >= min_run:
+                    counts[0].update(pairs(m[0]))
+        for kind, a, b in found:
+            value = re.search(r"[A-Za-z0-9+/_.=-]+$", t[a:b])[0] if kind == "assign" else t[a:b]
+            for word in run.findall(value):
+                counts[1].update(pairs(word))
+    rows = [[sum(c[x, y] for y in range(size)) for x in range(size)] for c in counts]
+
+    def score(word):
+        return sum(math.log((counts[1][p] + 1) / (rows[1][p[0]] + size)) - math.log((counts[0][p] + 1) / (rows[0][p[0]] + size))
+                   for p in pairs(word))
+
+    return [[(m.start(), m.end()) for m in run.finditer(t) if len(m[0]) >= min_run and score(m[0]) >= min_ratio
+             and not any(m.start() < b and a < m.end() for _, a, b in base(t))] for t in texts]

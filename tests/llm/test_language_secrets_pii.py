@@ -64,10 +64,24 @@ def test_markov_finds_what_the_patterns_miss(spark):
     rows += [(900, "see AB12 x9f3c01d77e55b2a90c4d8e6 here"), (901, "the counterrevolutionarytransformations here")]
     out = {r["doc_id"]: r["spans"] for r in op7_secrets.find_secrets(
         spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert [(s["kind"], s["start"], s["stop"]) for s in out[900]] == [("markov", 9, 33)] or out[900][0]["kind"] == "hex"
+    assert [(s["kind"], s["start"], s["stop"]) for s in out[900]] == [("markov", 9, 33)]
     assert out[901] == [] and all(not out[i] for i in range(100, 160))
 
 
+def test_markov_spans_equal_plain_version(spark):
+    """Runs of every length from 8 on, among them keys of 8 to 19 characters."""
+    rng = random.Random(6)
+    rows = [r["text"] or "" for r in _documents(spark, SF0001).collect()]
+    rows += [f"token = {''.join(rng.choices('0123456789abcdefXYZ', k=30))}, é words" for _ in range(40)]
+    rows += [f"é the value {''.join(rng.choices('0123456789abcdefXYZ', k=rng.randint(5, 19)))} stands alone" for _ in range(60)]
+    want = B.markov_spans(rows, lambda t: B.secret_spans(t), op7_secrets.ALPHABET, op7_secrets.MIN_RUN, op7_secrets.MIN_RATIO)
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    got = {r["doc_id"]: [(s["start"], s["stop"]) for s in r["spans"] if s["kind"] == "markov"] for r in op7_secrets.find_secrets(frame).collect()}
+    assert [got[i] for i in range(len(rows))] == want
+    short = [b - a for spans in want for a, b in spans if b - a < 20]
+    assert len(short) > 20
+
+
 def test_secrets_awkward_rows(spark):
     docs = B.awkward(spark)
     got = op7_secrets.find_secrets(docs).collect()
