@@ -37,8 +37,10 @@ MIN_COMMON_WORDS = 100
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
 
-TOP_WORDS = 50                    # of every language, and of all together
+TOP_WORDS = 25                    # of every language, and of all together
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# One of these, as a class of a pattern.
+EDGE = "[!-/:-@\\[-`{-~]"
 SPACE = "[\\x20\\x09-\\x0D]+"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punct", "other")
 
@@ -76,8 +78,8 @@ def measure(docs: DataFrame) -> DataFrame:
             F.sequence(F.lit(0), F.size(words) - 3),
             lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
             .otherwise(F.array().cast("array<bigint>"))) \
-        .withColumn("terms", F.filter(F.transform(
-            F.split(F.lower(t), SPACE), lambda w: F.trim(w, F.lit(PUNCTUATION))), lambda w: w != ""))
+        .withColumn("terms", F.filter(F.split(F.regexp_replace(
+            F.concat(F.lit(" "), F.lower(t), F.lit(" ")), f"{EDGE}*{SPACE}{EDGE}*", " "), " "), lambda w: w != ""))
     d = d.drop("rest", "n_rest", "text", "lines", "words")
     # Only a text that repeats a window needs the windows' places.
     d = d.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows"))
