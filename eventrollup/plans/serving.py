@@ -241,7 +241,8 @@ def compare_events(batch: DataFrame, speed: DataFrame | None, events_text: str,
 def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame | None = None,
                       id_col: str = "request_id", event_col: str = "event",
                       from_col: str = "from_ts", to_col: str = "to_ts",
-                      levels: Sequence[str] = ALL_LEVELS, horizon=None) -> DataFrame:
+                      levels: Sequence[str] = ALL_LEVELS, horizon=None,
+                      narrow: bool = False) -> DataFrame:
     """Totals for a whole table of (id, event, from, to) requests.
 
     The cover of each request is split into the whole buckets of the
@@ -254,9 +255,10 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     table.  So the request rows go through two shuffles in all, one equi-join
     on (event, side, bucket, parent) and one sum per request, about ten rows
     per request whatever the range: no range join, and no pairing of a
-    request with all rows of its event.  The distinct keys of the pieces first
-    reduce both views to the parents that are asked for, so the profiles cost
-    what the requests need.  The pieces come from fixed slot
+    request with all rows of its event.  ``narrow`` is for few requests against a
+    large view: the distinct keys of the pieces first reduce both views to the
+    parents that are asked for (a semi join below the profiles), at the price of
+    reading the requests once more per view.  The pieces come from fixed slot
     arrays (no higher-order functions), so the request side runs in one
     whole-stage-codegen stage.  A hot lookup key is split by AQE's skew
     join; the profile side is broadcast only when AQE has measured it below
@@ -328,7 +330,8 @@ def count_many_ranges(requests: DataFrame, batch: DataFrame, speed: DataFrame |
     for side, chain, view in tables:
         table = top_profiles(view, chain[0])
         if len(chain) > 1:
-            table = table.unionByName(edge_profiles(view, chain[1:], wanted.where(F.col("side") == side).drop("side")))
+            keys = wanted.where(F.col("side") == side).drop("side") if narrow else None
+            table = table.unionByName(edge_profiles(view, chain[1:], keys))
         profiles.append(table.withColumn("side", F.lit(side)))
     profiles = reduce(DataFrame.unionByName, profiles)
     part = F.element_at("cum", F.col("i1") + 1) - F.element_at("cum", F.col("i0") + 1)

@@ -56,9 +56,8 @@ def successors(view: DataFrame, years: tuple[int, int]) -> DataFrame:
         F.make_timestamp_ntz("year", one, one, F.lit(0), F.lit(0), F.lit(0)).alias("parent"), F.array("t").alias("next")))
 
 
-def _slots(lo: Column, hi: Column) -> Column:
+def _slots(minute: Column, hour: Column, last: Column, hi: Column) -> Column:
     """The lookups of one range: (part, bucket, parent, i), part a, b or c."""
-    minute, hour, last = bucket_ceil("m", lo), bucket_ceil("H", lo), bucket_start("H", hi)
 
     def slot(part: str, code: str, parent: Column, i: Column, ok: Column) -> Column:
         return F.when(ok, F.struct(F.lit(part).alias("part"), F.lit(code).alias("bucket"), parent.alias("parent"), i.cast("int").alias("i")))
@@ -84,9 +83,12 @@ def first_buckets(requests: DataFrame, view: DataFrame, columns: list[str], year
     The request rows cross two shuffles, six rows each: the lookup join, which
     AQE splits where a key is hot, and the minimum per request.
     """
-    # A range without any lookup keeps one row, so that it stays in the result.
-    keyed = requests.select(*columns, F.explode_outer(F.filter(_slots(F.col(lo), F.col(hi)), lambda s: s.isNotNull())).alias("k")) \
-        .select(*columns, "k.part", "k.bucket", "k.parent", "k.i")
+    # The calendar bounds are columns, evaluated once; plain arrays stay in codegen.
+    bounds = [bucket_ceil("m", F.col(lo)).alias("_minute"), bucket_ceil("H", F.col(lo)).alias("_hour"), bucket_start("H", F.col(hi)).alias("_last")]
+    slots = _slots(F.col("_minute"), F.col("_hour"), F.col("_last"), F.col(hi))
+    # The first slot stays also where it is null: every range keeps a row.
+    keyed = requests.select(*columns, *bounds).select(*columns, F.posexplode(slots).alias("pos", "k")) \
+        .where(F.col("k").isNotNull() | (F.col("pos") == 0)).select(*columns, "k.part", "k.bucket", "k.parent", "k.i")
     found = keyed.join(successors(view, years), ["event", "bucket", "parent"], "left") \
         .select(*columns, "part", F.get("next", F.col("i")).alias("t"))
     inside = F.when(F.col("part") == "b", F.col("t") < bucket_start("H", F.col(hi))) \

@@ -59,18 +59,21 @@ def test_cut_join_is_planned_without_a_cache(spark):
 
 
 def test_many_ranges_one_lookup_join(spark):
-    """Both views' pieces of every request go through a single equi-join; the keys
-    asked for reduce each view below its profiles (AQE off: the static plan shape)."""
+    """Both views' pieces of every request go through a single equi-join, and the
+    request table is scanned once; ``narrow`` adds the semi joins that reduce each
+    view below its profiles (AQE off: the static plan shape)."""
     batch, spd = R._batch_speed(spark, SF001)
     requests = (event_frame(spark, SF001)
                 .selectExpr("monotonically_increasing_id() AS request_id", "event",
                             "ts - INTERVAL 20 HOURS AS from_ts", "ts + INTERVAL 40 HOURS AS to_ts"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = _plan(serving.count_many_ranges(requests, batch, spd, horizon=R.BATCH_BEFORE))
+        plan, narrow = (_plan(serving.count_many_ranges(requests, batch, spd, horizon=R.BATCH_BEFORE, narrow=n)) for n in (False, True))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    joins = [line for line in plan.split("\n") if "Join" in line]
+    assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin") == 1
+    assert plan.count("events.parquet") == 1
+    joins = [line for line in narrow.split("\n") if "Join" in line]
     semi, outer = (sum(kind in line for line in joins) for kind in ("LeftSemi", "LeftOuter"))
     # The speed side is a union (stored and summed grains), which the semi join enters.
     assert outer == 1 and semi == 3 and len(joins) == 4
