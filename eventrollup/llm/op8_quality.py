@@ -4,7 +4,7 @@ Every document gets the base rules (word and symbol counts, duplicate lines,
 repeated three-word windows) and two histograms: seven character classes, and
 the common words of the table's languages.  Which words are common is counted:
 the ``TOP_WORDS`` most frequent ones, in lower case and without the punctuation
-around them, over all documents of a language that pass the base rules, whatever
+around them, over all documents of a language with enough words, whatever
 languages the table holds.  Both histograms are compared by
 Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) with a
 reference histogram of the document's language, pooled over all documents of
@@ -39,8 +39,6 @@ MAX_WORD_DISTANCE = 0.45
 
 TOP_WORDS = 25                    # of every language, and of all together
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-# One of these, as a class of a pattern.
-EDGE = "[!-/:-@\\[-`{-~]"
 SPACE = "[\\x20\\x09-\\x0D]+"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punct", "other")
 
@@ -54,9 +52,41 @@ def _total(array: Column) -> Column:
     return F.aggregate(array, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
-def measure(docs: DataFrame) -> DataFrame:
+def _stratum() -> Column:
+    return F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("stratum")
+
+
+def _stripped(word: Column) -> Column:
+    """A word without punctuation around it.  Most words begin and end with a
+    letter, and comparing two characters is much cheaper than trimming."""
+    letters = F.substring(word, 1, 1).between("a", "z") & F.substring(word, -1, 1).between("a", "z")
+    return F.when(letters, word).otherwise(F.trim(word, F.lit(PUNCTUATION)))
+
+
+def vocabulary(docs: DataFrame) -> list[str]:
+    """The most frequent words of every language and of all languages together,
+    over all documents of ``MIN_WORDS`` words or more.
+
+    Written forms are counted first and stripped then, once each.  Only
+    ``TOP_WORDS`` rows per language reach the driver: as many as the table has
+    languages, not documents.
+    """
+    words = F.array_remove(F.split(F.lower(F.col("text")), SPACE), "")
+    forms = docs.where(F.col("text").isNotNull()).select(_stratum(), words.alias("words")).where(F.size("words") >= MIN_WORDS) \
+        .select("stratum", F.explode("words").alias("form")).groupBy("stratum", "form").agg(F.count(F.lit(1)).alias("n"))
+    counts = forms.groupBy("stratum", F.trim("form", F.lit(PUNCTUATION)).alias("word")).agg(F.sum("n").alias("n")).where("word <> ''")
+    counts = store(counts, "quality-words")
+    pool = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("*").alias("stratum"), "word", "n")
+    # The rank limit is applied before the rows of a language meet.
+    by = Window.partitionBy("stratum").orderBy(F.desc("n"), "word")
+    top = counts.select("stratum", "word", "n").unionByName(pool).withColumn("rank", F.row_number().over(by)) \
+        .where(F.col("rank") <= TOP_WORDS)
+    return sorted(r["word"] for r in top.select("word").distinct().collect())
+
+
+def measure(docs: DataFrame, common: list[str]) -> DataFrame:
     """docs(doc_id, text, lang) -> base counts and histograms, row by row."""
-    d = docs.select("doc_id", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("stratum"),
+    d = docs.select("doc_id", _stratum(),
                     F.coalesce("text", F.lit("")).alias("text"))
     t = F.col("text")
     # All classes but the lower-case run are counted on what remains without it.
@@ -78,8 +108,8 @@ def measure(docs: DataFrame) -> DataFrame:
             F.sequence(F.lit(0), F.size(words) - 3),
             lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
             .otherwise(F.array().cast("array<bigint>"))) \
-        .withColumn("terms", F.filter(F.split(F.regexp_replace(
-            F.concat(F.lit(" "), F.lower(t), F.lit(" ")), f"{EDGE}*{SPACE}{EDGE}*", " "), " "), lambda w: w != ""))
+        .withColumn("common", F.filter(F.transform(F.split(F.lower(t), SPACE), _stripped), lambda w: w.isin(common))
+                    if common else F.array().cast("array<string>"))
     d = d.drop("rest", "n_rest", "text", "lines", "words")
     # Only a text that repeats a window needs the windows' places.
     d = d.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows"))
@@ -99,32 +129,9 @@ def measure(docs: DataFrame) -> DataFrame:
         F.col("symbol").cast("bigint").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < MIN_WORDS)
          | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
-        F.array(*[F.col(c).cast("bigint") for c in CLASSES]).alias("classes"), "terms")
-
-
-def vocabulary(measured: DataFrame) -> list[str]:
-    """The most frequent words of every language and of all languages together.
-
-    Only ``TOP_WORDS`` rows per language reach the driver: as many as the table
-    has languages, not documents.
-    """
-    counts = measured.where(~F.col("base_failed")).select("stratum", F.explode("terms").alias("word")) \
-        .groupBy("stratum", "word").agg(F.count(F.lit(1)).alias("n"))
-    counts = store(counts, "quality-words")
-    pool = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("*").alias("stratum"), "word", "n")
-    # The rank limit is applied before the rows of a language meet.
-    by = Window.partitionBy("stratum").orderBy(F.desc("n"), "word")
-    top = counts.select("stratum", "word", "n").unionByName(pool).withColumn("rank", F.row_number().over(by)) \
-        .where(F.col("rank") <= TOP_WORDS)
-    return sorted(r["word"] for r in top.select("word").distinct().collect())
-
-
-def with_common(measured: DataFrame, words: list[str]) -> DataFrame:
-    """The histogram of the common words, in place of all terms."""
-    d = measured.withColumn("common", F.filter("terms", lambda w: w.isin(words)) if words
-                            else F.array().cast("array<string>")).drop("terms")
-    return d.withColumn("common", F.transform(F.array_distinct("common"), lambda w: F.struct(
-        w.alias("word"), (F.size("common") - F.size(F.array_remove("common", w))).cast("bigint").alias("n"))))
+        F.array(*[F.col(c).cast("bigint") for c in CLASSES]).alias("classes"),
+        F.transform(F.array_distinct("common"), lambda w: F.struct(
+            w.alias("word"), (F.size("common") - F.size(F.array_remove("common", w))).cast("bigint").alias("n"))).alias("common"))
 
 
 def _term(p: Column, q: Column) -> Column:
@@ -194,9 +201,9 @@ def judge(measured: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame) -> DataFrame:
-    """Texts are read once: the measured rows are stored, then pooled and judged."""
-    terms = store(measure(docs), "quality-terms")
-    measured = store(with_common(terms, vocabulary(terms)), "quality-measured")
+    """Texts are read twice: for the words that are common, and to be measured; the
+    measured rows are stored, then pooled and judged."""
+    measured = store(measure(docs, vocabulary(docs)), "quality-measured")
     return judge(measured, store(references(measured), "quality-references"))
 
 

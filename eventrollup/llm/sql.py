@@ -140,8 +140,8 @@ term AS (
     FROM (SELECT doc_id, stratum, base_failed, n_words, unnest(list_transform(w, lambda x: trim(lower(x), '{_PUNCTUATION}'))) AS word
           FROM m) WHERE word <> '' GROUP BY ALL),
 counted AS (
-    SELECT stratum, word, sum(n) AS n FROM term WHERE NOT base_failed GROUP BY ALL
-    UNION ALL SELECT '*', word, sum(n) FROM term WHERE NOT base_failed GROUP BY ALL),
+    SELECT stratum, word, sum(n) AS n FROM term WHERE n_words >= {op8_quality.MIN_WORDS} GROUP BY ALL
+    UNION ALL SELECT '*', word, sum(n) FROM term WHERE n_words >= {op8_quality.MIN_WORDS} GROUP BY ALL),
 vocabulary AS (
     SELECT DISTINCT word FROM counted
     QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY n DESC, word) <= {op8_quality.TOP_WORDS}),
