@@ -3,18 +3,25 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame.  ``run`` writes
 every result as Parquet under the session's shared checkpoint folder and hands
 the reread table to the next stage, so a lost executor costs one stage at most.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``.  A stage's scratch
+tables are deleted when the next one begins, so its result must have been written
+by then, as the tables here are.
+
+Defined results: a document without text, or with none of a language, goes in the
+first stage; of equal ids one row stays; rows without an id are grouped by their
+texts; extra columns of any name are kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrollup.llm import op3_neardup, op4_bpe, op5_langid, op6_decontaminate, op10_pii
-from eventrollup.llm.common import read_input, store
+from eventrollup.llm.common import read_input, recorded, release, store
 
 # Near-duplicates of the pipeline: five words, similarity 0.8 or more.
 SHINGLE = 5
@@ -55,13 +62,20 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", language_id),
-    ("near_dedup", near_dedup),
-    ("decontaminate", decontaminate),
-    ("pii", pii),
-    ("bpe", bpe),
-]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _freeing(stage: Stage) -> Stage:
+    """``stage``, which first deletes the scratch tables of the stage before it: that
+    one's result has been written when its reader is handed on as ``docs``."""
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark)
+        return recorded(stage, spark, docs, sf_dir)
+    return run
+
+
+STAGES: list[tuple[str, Stage]] = [(f.__name__, _freeing(f)) for f in (language_id, near_dedup, decontaminate, pii, bpe)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventrollup import files
 from eventrollup.session import work_dir
 
 # Text bytes handled at once inside a task; a single longer text is one batch.
@@ -27,11 +28,35 @@ def read_input(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+# Folders that ``store`` wrote inside a ``recorded`` call, until they are released.
+_RECORDED: list[str] = []
+_recording = False
+
+
+def recorded(make, *args):
+    """``make(*args)``; the folders it stores can be released once its result has
+    been written elsewhere."""
+    global _recording
+    outer, _recording = _recording, True
+    try:
+        return make(*args)
+    finally:
+        _recording = outer
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the recorded folders: nothing that reads them may be pending."""
+    while _RECORDED:
+        files.delete(spark, _RECORDED.pop())
+
+
 def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared checkpoint folder and
     return a reader of it: the lineage ends at files every executor can read."""
     spark = df.sparkSession
     path = work_dir(spark, name)
+    if _recording:
+        _RECORDED.append(path)
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
