@@ -3,9 +3,9 @@
 Every document gets the base rules (word and symbol counts, duplicate lines,
 repeated three-word windows) and two histograms: seven character classes, and
 the common words of the table's languages.  Which words are common is counted:
-the ``TOP_WORDS`` most frequent ones, in lower case and without the punctuation
-around them, over all documents of a language with enough words, whatever
-languages the table holds.  Both histograms are compared by
+the ``TOP_WORDS`` most frequent ones, in lower case and parted by white space and
+ASCII punctuation, over all documents of a language, whatever languages the table
+holds.  Both histograms are compared by
 Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) with a
 reference histogram of the document's language, pooled over all documents of
 that language that pass the base rules.  A document is kept if it passes the
@@ -38,7 +38,8 @@ MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
 
 TOP_WORDS = 25                    # of every language, and of all together
-PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# White space and ASCII punctuation: what parts the words of the histogram.
+APART = "[\\x20\\x09-\\x0D!-/:-@\\[-`{-~]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punct", "other")
 
@@ -56,26 +57,16 @@ def _stratum() -> Column:
     return F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("stratum")
 
 
-def _stripped(word: Column) -> Column:
-    """A word without punctuation around it.  Most words begin and end with a
-    letter, and comparing two characters is much cheaper than trimming."""
-    letters = F.substring(word, 1, 1).between("a", "z") & F.substring(word, -1, 1).between("a", "z")
-    return F.when(letters, word).otherwise(F.trim(word, F.lit(PUNCTUATION)))
-
-
 def vocabulary(docs: DataFrame) -> list[str]:
     """The most frequent words of every language and of all languages together,
-    over all documents of ``MIN_WORDS`` words or more.
+    over all documents.
 
-    Written forms are counted first and stripped then, once each.  Only
-    ``TOP_WORDS`` rows per language reach the driver: as many as the table has
-    languages, not documents.
+    Counted per language and partly before the shuffle.  Only ``TOP_WORDS`` rows
+    per language reach the driver: as many as the table has languages, not
+    documents.
     """
-    words = F.array_remove(F.split(F.lower(F.col("text")), SPACE), "")
-    forms = docs.where(F.col("text").isNotNull()).select(_stratum(), words.alias("words")).where(F.size("words") >= MIN_WORDS) \
-        .select("stratum", F.explode("words").alias("form")).groupBy("stratum", "form").agg(F.count(F.lit(1)).alias("n"))
-    counts = forms.groupBy("stratum", F.trim("form", F.lit(PUNCTUATION)).alias("word")).agg(F.sum("n").alias("n")).where("word <> ''")
-    counts = store(counts, "quality-words")
+    counts = store(docs.select(_stratum(), F.explode(F.split(F.lower("text"), APART)).alias("word")).where("word <> ''")
+                   .groupBy("stratum", "word").agg(F.count(F.lit(1)).alias("n")), "quality-words")
     pool = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("*").alias("stratum"), "word", "n")
     # The rank limit is applied before the rows of a language meet.
     by = Window.partitionBy("stratum").orderBy(F.desc("n"), "word")
@@ -108,9 +99,10 @@ def measure(docs: DataFrame, common: list[str]) -> DataFrame:
             F.sequence(F.lit(0), F.size(words) - 3),
             lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
             .otherwise(F.array().cast("array<bigint>"))) \
-        .withColumn("common", F.filter(F.transform(F.split(F.lower(t), SPACE), _stripped), lambda w: w.isin(common))
-                    if common else F.array().cast("array<string>"))
-    d = d.drop("rest", "n_rest", "text", "lines", "words")
+        .withColumn("terms", F.array_remove(F.split(F.lower(t), APART), ""))
+    d = d.withColumn("n_terms", F.size("terms").cast("bigint")).withColumn(
+        "common", F.filter("terms", lambda w: w.isin(common)) if common else F.array().cast("array<string>"))
+    d = d.drop("rest", "n_rest", "text", "lines", "words", "terms")
     # Only a text that repeats a window needs the windows' places.
     d = d.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows"))
     d = d.withColumn("placed", F.when(F.col("repeats"), F.array_sort(F.transform(
@@ -125,7 +117,7 @@ def measure(docs: DataFrame, common: list[str]) -> DataFrame:
         starts, lambda p, k: F.coalesce(F.least(F.lit(3), F.get(starts, k + 1) - p), F.lit(3)).cast("bigint"))),
         F.lit(0).cast("bigint")))
     return d.select(
-        "doc_id", "stratum", "n_words", (F.col("n_chars") - F.col("space")).cast("bigint").alias("word_chars"),
+        "doc_id", "stratum", "n_words", "n_terms", (F.col("n_chars") - F.col("space")).cast("bigint").alias("word_chars"),
         F.col("symbol").cast("bigint").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < MIN_WORDS)
          | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
@@ -149,7 +141,7 @@ def references(measured: DataFrame) -> DataFrame:
     pool of all languages under the stratum ``*``.  One row per language."""
     good = measured.where(~F.col("base_failed"))
     sums = [F.sum(F.col("classes")[i]).alias(c) for i, c in enumerate(CLASSES)]
-    by_class = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("ref_docs"), F.sum("n_words").alias("ref_n"), *sums)
+    by_class = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("ref_docs"), F.sum("n_terms").alias("ref_n"), *sums)
     by_word = good.select("stratum", F.explode("common").alias("c")) \
         .groupBy("stratum", F.col("c.word").alias("word")).agg(F.sum("c.n").alias("n"))
     words = by_word.groupBy("stratum").agg(F.collect_list(F.struct("word", "n")).alias("counts"))
@@ -182,7 +174,7 @@ def judge(measured: DataFrame, refs: DataFrame) -> DataFrame:
     # Bins the text lacks add half the reference's share each; so only its own
     # bins are visited.  All words outside the list form one bin.
     seen = F.transform(common, lambda c: F.struct(
-        (c["n"] / F.col("n_words")).alias("p"),
+        (c["n"] / F.col("n_terms")).alias("p"),
         F.coalesce(F.element_at(r, c["word"]), zero).alias("q")))
     d = d.withColumn("class_divergence", by_class).withColumn("seen", seen)
     seen = F.col("seen")

@@ -107,7 +107,7 @@ _CLASS_PATTERNS = {
 _COUNTS = ",\n           ".join(
     f"length(t) - length(regexp_replace(t, '{p}', '', 'g')) AS c_{c}" for c, p in _CLASS_PATTERNS.items())
 _OTHER = " - ".join(["length(t)", *[f"c_{c}" for c in _CLASS_PATTERNS]])
-_PUNCTUATION = op8_quality.PUNCTUATION.replace("'", "''")
+_TERM = op8_quality.APART.replace("[", "[^", 1)
 
 
 def _bin(p: str, q: str) -> str:
@@ -133,15 +133,15 @@ m AS (
     SELECT cut.doc_id, stratum, len(w) AS n_words, length(t) AS n_chars, length(t) - c_space AS word_chars, c_symbol AS n_symbols,
            len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
            len(w) < {op8_quality.MIN_WORDS} OR 100 * coalesce(n, 0) > {op8_quality.MAX_REPEAT_PERCENT} * len(w) AS base_failed,
-           [c_lower, c_upper, c_digit, c_space, c_symbol, c_punct, {_OTHER}] AS classes, w
+           [c_lower, c_upper, c_digit, c_space, c_symbol, c_punct, {_OTHER}] AS classes,
+           regexp_extract_all(lower(t), '{_TERM}') AS terms, len(terms) AS n_terms
     FROM cut LEFT JOIN repeated USING (doc_id)),
 term AS (
-    SELECT doc_id, stratum, base_failed, n_words, word, count(*) AS n
-    FROM (SELECT doc_id, stratum, base_failed, n_words, unnest(list_transform(w, lambda x: trim(lower(x), '{_PUNCTUATION}'))) AS word
-          FROM m) WHERE word <> '' GROUP BY ALL),
+    SELECT doc_id, stratum, base_failed, n_words, n_terms, word, count(*) AS n
+    FROM (SELECT doc_id, stratum, base_failed, n_words, n_terms, unnest(terms) AS word FROM m) GROUP BY ALL),
 counted AS (
-    SELECT stratum, word, sum(n) AS n FROM term WHERE n_words >= {op8_quality.MIN_WORDS} GROUP BY ALL
-    UNION ALL SELECT '*', word, sum(n) FROM term WHERE n_words >= {op8_quality.MIN_WORDS} GROUP BY ALL),
+    SELECT stratum, word, sum(n) AS n FROM term GROUP BY ALL
+    UNION ALL SELECT '*', word, sum(n) FROM term GROUP BY ALL),
 vocabulary AS (
     SELECT DISTINCT word FROM counted
     QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY n DESC, word) <= {op8_quality.TOP_WORDS}),
@@ -153,10 +153,10 @@ enough AS (
 -- The reference of a stratum: its own rows if it has enough, else all rows.
 chosen AS (SELECT DISTINCT m.stratum, e.stratum IS NOT NULL AS own FROM m LEFT JOIN enough e USING (stratum)),
 ref_total AS (
-    SELECT c.stratum, sum(m.n_words) AS n_words, sum(m.n_chars) AS n_chars
+    SELECT c.stratum, sum(m.n_terms) AS n_terms, sum(m.n_chars) AS n_chars
     FROM chosen c JOIN m ON NOT m.base_failed AND (NOT c.own OR m.stratum = c.stratum) GROUP BY c.stratum),
 ref_word AS (
-    SELECT c.stratum, d.word, sum(d.n) / any_value(r.n_words) AS q
+    SELECT c.stratum, d.word, sum(d.n) / any_value(r.n_terms) AS q
     FROM chosen c JOIN ref_total r USING (stratum)
     JOIN doc_word d ON NOT d.base_failed AND (NOT c.own OR d.stratum = c.stratum) GROUP BY c.stratum, d.word),
 ref_class AS (
@@ -169,11 +169,11 @@ class_distance AS (
           FROM doc_class d LEFT JOIN ref_class r ON r.stratum = d.stratum AND r.bin = d.bin
           WHERE d.n_chars >= {op8_quality.MIN_CLASS_CHARS}) GROUP BY doc_id),
 word_bins AS (
-    SELECT m.doc_id, coalesce(d.n, 0) / m.n_words AS p, r.q
+    SELECT m.doc_id, coalesce(d.n / m.n_terms, 0) AS p, r.q
     FROM m JOIN ref_word r USING (stratum) LEFT JOIN doc_word d ON d.doc_id = m.doc_id AND d.word = r.word
     WHERE m.n_words >= {op8_quality.MIN_COMMON_WORDS}
     UNION ALL
-    SELECT d.doc_id, d.n / d.n_words, 0
+    SELECT d.doc_id, d.n / d.n_terms, 0
     FROM doc_word d LEFT JOIN ref_word r ON r.stratum = d.stratum AND r.word = d.word
     WHERE r.word IS NULL AND d.n_words >= {op8_quality.MIN_COMMON_WORDS}),
 word_rest AS (
