@@ -3,24 +3,23 @@
 Texts become sets of distinct word shingles.  Equal sets form a class, so copies
 count once.  Each tree branches the classes by a chosen coordinate of their
 minwise signature: classes with equal selected tokens share a child node.  A
-node of at most ``LEAF`` classes is compared exhaustively on full sets; a larger
-one branches again, up to ``DEPTH`` levels, with a second coordinate in a quarter
-of the nodes.  Independent trees repeat this: a pair of similarity 0.8 shares the
-root split of one tree with probability 0.8, and of none of ``TREES`` with
-0.2 ** TREES.
+node of at most ``LEAF`` classes is compared exhaustively on full sets.  In the
+first tree a larger one branches again, up to ``DEPTH`` levels.  Independent trees
+repeat the root split: a pair of similarity 0.8 shares that of one tree with
+probability 0.8, and of none of ``TREES`` with 0.2 ** TREES.
 
 What stays large after ``DEPTH`` levels is a group whose members resemble one
 another.  It is dealt into blocks of bounded size, and every block is compared
 exhaustively together with the same ``PIVOTS`` members: the most central ones of
-the node, by the agreement of a longer signature with the consensus of a block.
+the node, by the agreement of their sketches with the consensus of a block.
 Members that differ from the group in ways of their own are nearest to its
-centre, so the pivots tie the blocks together; members that share a difference
-meet in small nodes, where a selected token is part of it.  No group meets in
-one task.  The first tree runs alone, and the components it finds drop every
-node that is already whole, so large groups are not compared again.
+centre, so the pivots tie the blocks together.  No group meets in one task.  The
+first tree runs alone, and the components it finds drop every node that is
+already whole.  After the other trees, classes in many large root nodes are dealt
+into the blocks of one of those nodes, once.
 
-A pair that shares a root split but not the further ones is not lost, because
-the remainder is exact: the members of all root nodes above ``LEAF`` that are not
+A pair that shares large root nodes only is not lost, because the remainder is
+exact: the members of all root nodes above ``LEAF`` that are not
 yet one component enter a prefix-filtered join.  A pair of the wanted similarity shares one at least
 of the rarest shingles of either set (rarest in this remainder, so a passage of
 the whole group comes last).  The documents of a rare shingle are one group; those
@@ -41,6 +40,7 @@ bits of them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrollup.llm import words as W
-from eventrollup.llm.common import read_input, ship, slices, store
+from eventrollup.llm.common import discard, read_input, ship, slices, store
 from eventrollup.llm.components import components
 
 SHINGLE = 4
@@ -66,7 +66,7 @@ SKETCH_SIGMAS = 6
 COORDINATES = 32
 TILE = 256                    # members on either side of a tile of a frequent shingle
 LEVEL_BITS = 22               # 4 MB of shingle frequencies
-LONG = 256                    # coordinates of the signature that ranks the members of a large node
+LONG = 256                    # coordinates of a sketch, which also ranks the members of a large node
 
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(33))
@@ -91,13 +91,14 @@ def _signer(k: int):
             n = np.diff(offsets)
             some = np.flatnonzero(n > 0)
             content = np.zeros((len(n), 2), dtype="<u8")
-            sig = np.zeros((len(n), COORDINATES), dtype="<u8")
+            sig = np.zeros((len(n), COORDINATES), dtype="<u4")
             if len(some):
                 at = offsets[:-1][some]
                 content[some, 0] = np.add.reduceat(W.mix(hashes), at)
                 content[some, 1] = np.add.reduceat(W.mix(hashes ^ _SALT[0]), at)
                 for i, odd in enumerate(_ODD):
-                    sig[some, i] = np.minimum.reduceat(hashes * odd, at)
+                    # The low half of the least value: its high half is small by choice.
+                    sig[some, i] = np.minimum.reduceat(hashes * odd, at) & _U(0xFFFFFFFF)
             yield pa.RecordBatch.from_arrays([
                 ids, pa.array(n, pa.int64()),
                 pa.array([x.tobytes() if m else None for x, m in zip(content, n, strict=True)], pa.binary()),
@@ -123,6 +124,12 @@ def _sketch(long: np.ndarray) -> np.ndarray:
     return two[:, :, 0] | (two[:, :, 1] << 2) | (two[:, :, 2] << 4) | (two[:, :, 3] << 6)
 
 
+def _two_bits(sketches: list[bytes]) -> np.ndarray:
+    """One row per sketch, one column per coordinate."""
+    packed = np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(len(sketches), LONG // 4)
+    return np.concatenate([(packed >> s) & 3 for s in (0, 2, 4, 6)], axis=1)
+
+
 def _near(percent: int):
     """Rows (grp, cls, component, sketch) sorted by grp -> those with a member of
     another component that may be similar enough."""
@@ -134,9 +141,8 @@ def _near(percent: int):
         group, rows = None, []
 
         def done() -> pa.RecordBatch:
-            sketch = np.frombuffer(b"".join(x for _, _, x in rows), dtype=np.uint8).reshape(len(rows), LONG // 4)
+            two = _two_bits([x for _, _, x in rows])
             label = np.array([c for _, c, _ in rows])
-            two = np.concatenate([(sketch >> s) & 3 for s in (0, 2, 4, 6)], axis=1)
             keep = [i for i in range(len(rows))
                     if (((two == two[i]).sum(axis=1) >= least) & (label != label[i])).any()]
             return pa.RecordBatch.from_arrays(
@@ -195,9 +201,8 @@ def _sets(k: int, bits: np.ndarray):
             yield pa.RecordBatch.from_arrays([
                 ids.take(pa.array(some)),
                 pa.array([_pack(hashes[offsets[i]:offsets[i + 1]]) for i in some], pa.binary()),
-                pa.array([x.tobytes() for x in long], pa.binary()),
                 pa.array([x.tobytes() for x in _sketch(long)], pa.binary())],
-                names=["cls", "set", "long", "sketch"])
+                names=["cls", "set", "sketch"])
     return run
 
 
@@ -234,12 +239,12 @@ def _levels(sets: DataFrame) -> np.ndarray:
 
 
 def _prefixes(percent: int, levels: np.ndarray):
-    """Rows (cls, component, set) -> the rarest shingles of each set, one of which
-    any set of the wanted similarity shares; those of a single set are left out."""
+    """Rows (cls, set) -> the rarest shingles of each set, one of which any set of
+    the wanted similarity shares; those of a single set are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "set"):
             tokens, n = [], []
-            for body in batch.column(2).to_pylist():
+            for body in batch.column(1).to_pylist():
                 own = _unpack(body)
                 level = levels[_bucket(own)]
                 first = np.lexsort((own, level))[:len(own) + 1 - -(-percent * len(own) // 100)]
@@ -247,13 +252,12 @@ def _prefixes(percent: int, levels: np.ndarray):
                 n.append(len(tokens[-1]))
             at = pa.array(np.repeat(np.arange(len(n)), n))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)],
-                names=["token", "cls", "component"])
+                [pa.array(np.concatenate(tokens).view(np.int64)), batch.column(0).take(at)], names=["token", "cls"])
     return run
 
 
 def _child(node: np.ndarray, coordinate: np.ndarray, sig: np.ndarray) -> np.ndarray:
-    value = sig[np.arange(len(sig)), coordinate]
+    value = sig[np.arange(len(sig)), coordinate].astype(np.uint64)
     return W.mix(W.mix(node + (coordinate.astype(np.uint64) + _U(1)) * _SALT[1]) ^ value)
 
 
@@ -264,7 +268,7 @@ def _roots(trees: range):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u8").reshape(-1, COORDINATES)
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u4").reshape(-1, COORDINATES)
             for tree in trees:
                 for c in [tree, tree + TREES] if tree % 4 == 3 else [tree]:
                     node = _child(np.full(len(sig), tree, dtype=np.uint64) * _SALT[2], np.full(len(sig), c % COORDINATES), sig)
@@ -273,48 +277,38 @@ def _roots(trees: range):
     return run
 
 
-def _branch(second: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            node = batch.column(0).to_numpy().view(np.uint64)
-            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<u8").reshape(-1, COORDINATES)
-            lot = W.mix(node ^ _SALT[3])
-            first = (lot % _U(COORDINATES)).astype(np.int64)
-            out, cls = [_child(node, first, sig)], [batch.column(1)]
-            if second:
-                more = np.flatnonzero(((lot >> _U(40)) & _U(3)) == 0)
-                other = ((lot >> _U(20)) % _U(COORDINATES)).astype(np.int64)
-                other = np.where(other == first, (other + 1) % COORDINATES, other)
-                out.append(_child(node[more], other[more], sig[more]))
-                cls.append(batch.column(1).take(pa.array(more)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out).view(np.int64)), pa.concat_arrays(cls)], names=["node", "cls"])
-    return run
+def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, cls, sig) -> the child nodes, on a coordinate drawn per node."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node = batch.column(0).to_numpy().view(np.uint64)
+        sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<u4").reshape(-1, COORDINATES)
+        drawn = (W.mix(node ^ _SALT[3]) % _U(COORDINATES)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(_child(node, drawn, sig).view(np.int64)), batch.column(1)], names=["node", "cls"])
 
 
 def _consensus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The commonest value of every coordinate among the signatures of a node."""
+    """The commonest value of every coordinate among the sketches of a node."""
     for batch in batches:
         out = []
-        for sigs in batch.column(1).to_pylist():
-            rows = np.sort(np.frombuffer(b"".join(sigs), dtype="<u4").reshape(-1, LONG), axis=0)
-            # The longest run of equal values in each sorted column.
-            run = np.zeros(rows.shape, dtype=np.int64)
-            for i in range(1, len(rows)):
-                run[i] = np.where(rows[i] == rows[i - 1], run[i - 1] + 1, 0)
-            out.append(rows[run.argmax(axis=0), np.arange(LONG)].tobytes())
+        for sketches in batch.column(1).to_pylist():
+            two = _two_bits(sketches)
+            often = np.stack([(two == value).sum(axis=0) for value in range(4)])
+            out.append(often.argmax(axis=0).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["node", "centre"])
 
 
 def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many coordinates of a member equal the consensus of its node."""
     for batch in batches:
-        sig, centre = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype="<u4").reshape(-1, LONG) for i in (2, 3))
+        if not batch.num_rows:
+            continue
+        centre = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, LONG)
+        score = (_two_bits(batch.column(2).to_pylist()) == centre).sum(axis=1)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array((sig == centre).sum(axis=1).astype(np.int32))],
-            names=["node", "cls", "score"])
+            [batch.column(0), batch.column(1), pa.array(score.astype(np.int32))], names=["node", "cls", "score"])
 
 
 def _linked(names: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -370,13 +364,13 @@ class _Join:
         self.docs, self.classes, self.k, self.percent, self.repeats = docs, classes, k, percent, repeats
         self.sets: DataFrame | None = None
 
-    def branch(self, trees: range, second: bool, known: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def branch(self, trees: range, depth: int, known: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(leaves, large, wide) as rows (node, cls): nodes with two classes at least
-        that are not yet one component; large ones exceed ``LEAF`` after ``DEPTH``
+        that are not yet one component; large ones exceed ``LEAF`` after ``depth``
         levels, wide ones are the root nodes that do."""
         rows = store(self.classes.select("cls", "sig").mapInArrow(_roots(trees), "node bigint, cls bigint"), "path-rows")
         leaves = None
-        for level in range(1, DEPTH + 1):
+        for level in range(1, depth + 1):
             if known is None:
                 labelled = rows.withColumn("component", F.col("cls"))
             else:
@@ -385,32 +379,35 @@ class _Join:
             sizes = store(labelled.groupBy("node").agg(
                 F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
                 .where("n > 1 and x <> y").select("node", "n"), "path-sizes")
-            rows = store(rows.join(sizes, "node").select("node", "cls", "n"), "path-live")
-            small = rows.where(F.col("n") <= LEAF).select("node", "cls")
+            live = store(rows.join(sizes, "node").select("node", "cls", "n"), "path-live")
+            discard(rows)
+            small = live.where(F.col("n") <= LEAF).select("node", "cls")
             leaves = small if leaves is None else leaves.unionByName(small)
-            large = rows.where(F.col("n") > LEAF).select("node", "cls")
+            large = live.where(F.col("n") > LEAF).select("node", "cls")
             wide = large if level == 1 else wide
-            if sizes.where(F.col("n") > LEAF).isEmpty() or level == DEPTH:
+            if level == depth or sizes.where(F.col("n") > LEAF).isEmpty():
                 break
-            rows = store(large.join(self.classes.select("cls", "sig"), "cls").select("node", "cls", "sig")
-                         .mapInArrow(_branch(second), "node bigint, cls bigint"), "path-rows")
+            # Only the signatures of large nodes are shuffled to the join.
+            bits = _bit_filter(large)
+            sigs = self.classes.select("cls", "sig").mapInArrow(functools.partial(_passing, bits=bits), "cls bigint, sig binary")
+            rows = store(large.join(sigs, "cls").select("node", "cls", "sig")
+                         .mapInArrow(_branch, "node bigint, cls bigint"), "path-rows")
         # The same members under several nodes are compared once.
         members = leaves.groupBy("node").agg(F.array_sort(F.collect_list("cls")).alias("members"))
         once = members.select(F.xxhash64("members").alias("grp"), "members").dropDuplicates(["grp", "members"])
         groups = once.select(F.col("grp").alias("node"), F.explode("members").alias("cls"))
-        return store(groups, "path-leaves"), store(large, "path-large"), wide
+        return store(groups, "path-leaves"), large, wide
 
     def blocks(self, large: DataFrame) -> DataFrame:
         """Large nodes dealt into blocks of about ``LEAF`` members with shared pivots."""
         per = store(large.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("parts")), "path-parts")
-        dealt = store(large.join(per, "node").select("node", "cls", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part")),
-                      "path-dealt")
-        long = self.among(large, "cls bigint, long binary")
+        dealt = store(large.join(per, "node").select("node", "cls", F.pmod(F.xxhash64("cls"), F.col("parts")).alias("part"))
+                      .join(self.among(large, "cls bigint, sketch binary"), "cls"), "path-dealt")
         # One block is a random sample of its node, of bounded size.
-        centre = dealt.where("part = 0").join(long, "cls").groupBy("node").agg(F.collect_list("long").alias("sigs")) \
+        centre = dealt.where("part = 0").groupBy("node").agg(F.collect_list("sketch").alias("sketches")) \
             .mapInArrow(_consensus, "node bigint, centre binary")
-        scored = dealt.join(store(centre, "path-centre"), "node").join(long, "cls") \
-            .select("node", "cls", "long", "centre").mapInArrow(_agreement, "node bigint, cls bigint, score int")
+        scored = dealt.join(store(centre, "path-centre"), "node") \
+            .select("node", "cls", "sketch", "centre").mapInArrow(_agreement, "node bigint, cls bigint, score int")
         best = scored.groupBy("node", F.pmod(F.xxhash64("cls", F.lit(3)), F.lit(PIVOTS)).alias("lot")) \
             .agg(F.max(F.struct("score", "cls"))["cls"].alias("cls"))
         spread = store(best.select("node", "cls"), "path-pivots").join(per, "node") \
@@ -439,16 +436,27 @@ class _Join:
                      .repartition("grp").sortWithinPartitions("grp")
                      .mapInArrow(_comparer(self.percent), "a bigint, b bigint"), "links")
 
+    def gather(self, wide: DataFrame, known: DataFrame) -> DataFrame:
+        """Stored links of the classes with many wide root nodes, each dealt into the
+        blocks of one of them: most members of a large group join its component here,
+        in rows that grow with the group.  It only saves work in the remainder."""
+        picked = wide.groupBy("cls").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("roots")) \
+            .where(F.col("roots") >= TREES // 2).select("node", "cls")
+        blocks = self.blocks(store(picked, "gather-picked"))
+        return self.compare(blocks.select(F.xxhash64("node", "part").alias("grp"), "cls"), known)
+
     def remainder(self, wide: DataFrame, known: DataFrame) -> DataFrame:
         """Stored links of the members of large root nodes that are not yet one component."""
         labelled = store(wide.join(known.withColumnRenamed("node", "cls"), "cls", "left")
                          .select("node", "cls", F.coalesce("component", "cls").alias("component")), "rest-labelled")
         apart = labelled.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        members = labelled.join(apart.select("node"), "node", "left_semi").select("cls", "component").distinct()
-        members = store(members, "rest-members")
-        sets = store(members.join(self.among(members, "cls bigint, set binary"), "cls").select("cls", "component", "set"), "rest-sets")
-        rows = store(sets.mapInArrow(_prefixes(self.percent, _levels(sets)), "token bigint, cls bigint, component bigint"),
-                     "rest-prefixes")
+        members = store(labelled.join(apart.select("node"), "node", "left_semi").select("cls").distinct(), "rest-members")
+        # The sets stay where they are stored; the few others that the filter lets
+        # through are compared like members.
+        sets = self.among(members, "cls bigint, set binary")
+        rows = store(sets.mapInArrow(_prefixes(self.percent, _levels(sets)), "token bigint, cls bigint")
+                     .join(known.withColumnRenamed("node", "cls"), "cls", "left")
+                     .select("token", "cls", F.coalesce("component", "cls").alias("component")), "rest-prefixes")
         sizes = rows.groupBy("token").agg(
             F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y"),
             F.expr("bit_xor(xxhash64(cls))").alias("who")).where("n > 1 and x <> y")
@@ -479,7 +487,7 @@ class _Join:
         # most others.  Those that it lets through are sets like any other; every
         # join on the sets is exact.
         sets = self.docs.select("doc_id", "text").mapInArrow(
-            _sets(self.k, _bit_filter(wanted)), "cls bigint, set binary, long binary, sketch binary")
+            _sets(self.k, _bit_filter(wanted)), "cls bigint, set binary, sketch binary")
         if self.repeats:
             # Repeated rows of one document are one set.
             sets = sets.withColumn("tie", F.xxhash64("set")).dropDuplicates(["cls", "tie"]).drop("tie")
@@ -487,16 +495,23 @@ class _Join:
 
     def run(self, links: DataFrame) -> DataFrame:
         """Components (node, component) of the classes, with some links given."""
-        leaves, large, first = self.branch(range(0, 1), False, None)
-        self.sets = self.fetch(leaves.select("cls").unionByName(first.select("cls")))
+        leaves, large, first = self.branch(range(0, 1), DEPTH, None)
+        early = self.sets = self.fetch(leaves.select("cls").unionByName(first.select("cls")))
         links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), None))
         labels = components(links)
-        leaves, large, wide = self.branch(range(1, TREES), True, labels)
+        # The wide nodes of the other trees are left to the remainder.
+        leaves, _, wide = self.branch(range(1, TREES), 1, labels)
+        discard(self.classes)
         more = leaves.select("cls").unionByName(wide.select("cls")).distinct()
-        self.sets = self.sets.unionByName(self.fetch(more.join(self.sets.select("cls"), "cls", "left_anti")))
-        links = links.unionByName(self.compare(self._groups(leaves, self.blocks(large)), labels))
+        late = self.fetch(more.join(self.sets.select("cls"), "cls", "left_anti"))
+        self.sets = early.unionByName(late)
+        links = links.unionByName(self.compare(leaves.withColumnRenamed("node", "grp"), labels))
+        labels = components(links)
+        wide = first.unionByName(wide)
+        links = links.unionByName(self.gather(wide, labels))
         labels = components(links)
-        more = self.remainder(first.unionByName(wide), labels)
+        more = self.remainder(wide, labels)
+        discard(early, late)
         return labels if more.isEmpty() else components(links.unionByName(more))
 
     @staticmethod
@@ -541,6 +556,7 @@ def _decide(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rows = store(signed.select("doc_id", "n_shingles", "content")
                  .join(classes.select("content", "cls"), "content", "left")
                  .select("doc_id", "n_shingles", "cls"), "document-classes")
+    discard(signed)
     # Rows that share an id are one document: link the classes they fall into.
     ids = rows.groupBy("doc_id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi")
     same = rows.join(ids, "doc_id").where("cls <> lo").select(F.col("cls").alias("a"), F.col("lo").alias("b"))

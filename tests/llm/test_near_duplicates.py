@@ -2,6 +2,7 @@
 
 import collections
 import random
+from pathlib import Path
 
 import llm_brute as B
 from conftest import SF0001
@@ -127,3 +128,23 @@ def test_all_longs_are_ids(spark):
     kept = op3_neardup.keep_first(docs, 4, 80).collect()
     assert collections.Counter(r["doc_id"] for r in kept) == collections.Counter([top - 5, top - 6, -2**63, None, 2**62 + 2**61])
     assert {r["__id"] for r in kept} == {"mine"}
+
+
+def test_scratch_tables_are_deleted_on_the_way(spark):
+    """What a later step has replaced is gone before the result is read."""
+    stored, real = {}, op3_neardup.store
+
+    def noting(df, name, *args):
+        out = real(df, name, *args)
+        stored.setdefault(name, []).append(out)
+        return out
+
+    docs = [(i, " ".join(f"w{i // 2}x{j}" for j in range(60)) + f" tail{i % 2}") for i in range(40)]
+    op3_neardup.store = noting
+    try:
+        got = op3_neardup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    finally:
+        op3_neardup.store = real
+    assert all(not Path(stored[name][0]._folder.removeprefix("file:")).exists()
+               for name in ("signatures", "classes", "path-rows", "sets"))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: i // 2 * 2 for i in range(40)}
