@@ -34,25 +34,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrollup.llm.common import partition_starts, read_input, ship, slices
+from eventrollup.llm.op4_bpe import byte_characters
 from eventrollup.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 1 << 18
-CACHE_ENTRIES = 500_000       # pieces in each of the two generations of the memory
+CACHE_ENTRIES = 500_000       # strings in each of the two generations of a memory
+WORDS = 128                   # words that the model encodes in one call
 
 # Cuts that never part a token: before a run of plain white space that follows
 # another character, and behind a run of letters that ends at an ASCII sign or
 # at the end.  Texts with any other white space are encoded in one piece.
-_PIECES = re.compile("[ \\n\\r\\t]*[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?![A-Za-z\x80-\U0010ffff])"
-                     "|[ \\n\\r\\t]*[^ \\n\\r\\t]+|[ \\n\\r\\t]+")
+_LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]"
+_PIECES = re.compile(f"[ \\n\\r\\t]*+(?:{_LETTERS}++(?![A-Za-z\x80-\U0010ffff])|[^ \\n\\r\\t]+)|[ \\n\\r\\t]+")
 # One blank at most, then no white space at all.
 _PLAIN = re.compile("[ ]?[^ \\n\\r\\t]+$")
-_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+# One word of the byte-level splitter, whatever stands beside it.
+_WORD = re.compile(f"[ ]?{_LETTERS}+")
+_OTHER_SPACES = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) \
+    + "\u2028\u2029\u202f\u205f\u3000"
+# A blank beside other white space.
+_RUNS = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
+
+
+class _Memory:
+    """Ids of strings, in two generations of bounded size."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def missing(self, rows: list[list[str]]) -> list[str]:
+        """The strings of some rows that are not known."""
+        if len(self.now) > CACHE_ENTRIES:
+            # Strings that are met again move on; the rest is forgotten next time.
+            self.now, self.before = {}, self.now
+        new = []
+        for s in set().union(*rows).difference(self.now):
+            ids = self.before.get(s)
+            if ids is None:
+                new.append(s)
+            else:
+                self.now[s] = ids
+        return new
+
+    def join(self, row: list[str]) -> bytes:
+        return b"".join(map(self.now.__getitem__, row))
 
 
 class Encoder:
-    """The tokenizer with a bounded memory of pieces it has encoded."""
+    """The tokenizer with a bounded memory of pieces it has encoded, and of chunks:
+    what stands behind a single blank, up to the next one."""
 
     def __init__(self, path: str):
         import os
@@ -64,44 +97,94 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.parting = self._parting()
+        self.shown = "".join(byte_characters())
+        self.known, self.chunks = _Memory(), _Memory()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _parting(self) -> int | None:
+        """Id of the zero byte if words can go to the model itself: split byte by
+        byte without changes, and no merge takes that byte."""
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        split, model, zero = self.tokenizer.pre_tokenizer, self.model, byte_characters()[0]
+        if self.tokenizer.normalizer is not None or not isinstance(split, ByteLevel) or not isinstance(model, BPE):
+            return None
+        if split.add_prefix_space or not split.use_regex or model.dropout or model.continuing_subword_prefix \
+                or model.end_of_word_suffix:
+            return None
+        # An added token that could stand inside a word is cut out first by the library.
+        if any(_WORD.fullmatch(f"{t.content}a") for t in self.tokenizer.get_added_tokens_decoder().values()):
+            return None
+        vocab = self.tokenizer.get_vocab()
+        return vocab.get(zero) if sum(zero in t for t in vocab) == 1 else None
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Words encoded by the model alone, some in one call with zero bytes between
+        them: nothing is merged across one."""
+        out = []
+        for at in range(0, len(words), WORDS):
+            units = "\0".join(words[at:at + WORDS]).encode().decode("latin-1").translate(self.shown)
+            ids = np.array([t.id for t in self.model.tokenize(units)], dtype="<u4")
+            out += self._parts(ids, self.parting)
+        return out
+
+    @staticmethod
+    def _parts(ids: np.ndarray, end: int) -> list[bytes]:
+        """The runs of ids between those that equal ``end``."""
+        ends = np.append(np.flatnonzero(ids == end), len(ids)) * 4
+        starts = np.append(0, ends[:-1] + 4)
+        body = ids.tobytes()
+        return [body[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
     def _encode_lines(self, pieces: list[str]) -> list[bytes]:
         """Plain pieces encoded in one call, as the lines of a text: a line end
         between them is a token of its own, found nowhere else."""
         ids = np.array(self.tokenizer.encode("\n".join(pieces), add_special_tokens=False).ids, dtype="<u4")
-        ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) * 4
-        starts = np.append(0, ends[:-1] + 4)
-        body = ids.tobytes()
-        return [body[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        return self._parts(ids, self.line_end)
+
+    def _encode_pieces(self, rows: list[list[str]]) -> None:
+        """All pieces of some rows become known."""
+        new = self.known.missing(rows)
+        words = [p for p in new if _WORD.fullmatch(p)] if self.parting is not None else []
+        self.known.now.update(zip(words, self._encode_words(words), strict=True))
+        plain = [p for p in new if p not in self.known.now and _PLAIN.match(p)]
+        for at in range(0, len(plain), 2_000):
+            part = plain[at:at + 2_000]
+            self.known.now.update(zip(part, self._encode_lines(part), strict=True))
+        other = [p for p in new if p not in self.known.now]
+        self.known.now.update(zip(other, self._encode(other), strict=True))
+
+    def _encode_chunks(self, rows: list[list[str]], pieces: list[list[str]]) -> None:
+        """All chunks of some rows become known, and the pieces."""
+        new = self.chunks.missing(rows)
+        words = [c for c in new if _WORD.fullmatch(" " + c)] if self.parting is not None else []
+        self.chunks.now.update(zip(words, self._encode_words([" " + c for c in words]), strict=True))
+        cut = {c: _PIECES.findall(" " + c) for c in new if c not in self.chunks.now}
+        self._encode_pieces([*pieces, *cut.values()])
+        self.chunks.now.update((c, self.known.join(row)) for c, row in cut.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        pieces = [None if _OTHER_SPACE.search(t) else _PIECES.findall(t) for t in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            # Pieces that are met again move on; the rest is forgotten next time.
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
-        for p in {p for row in pieces if row for p in row}.difference(known):
-            ids = older.get(p)
-            if ids is None:
-                new.append(p)
+        # None: in one piece.  Else pieces, and the chunks behind single blanks.
+        rows: list[tuple[list[str], list[str]] | None] = []
+        for t in texts:
+            if any(map(t.__contains__, _OTHER_SPACES)):
+                rows.append(None)
+            elif any(map(t.__contains__, _RUNS)):
+                rows.append((_PIECES.findall(t), []))
             else:
-                known[p] = ids
-        plain = [p for p in new if _PLAIN.match(p)]
-        for at in range(0, len(plain), 2_000):
-            part = plain[at:at + 2_000]
-            known.update(zip(part, self._encode_lines(part), strict=True))
-        other = [p for p in new if p not in known]
-        known.update(zip(other, self._encode(other), strict=True))
-        return [self._encode([t])[0] if row is None else b"".join([known[p] for p in row])
-                for t, row in zip(texts, pieces, strict=True)]
+                first, *chunks = t.split(" ")
+                rows.append((_PIECES.findall(first), chunks))
+        cut = [r for r in rows if r]
+        self._encode_chunks([c for _, c in cut], [p for p, _ in cut])
+        return [self._encode([t])[0] if r is None else self.known.join(r[0]) + self.chunks.join(r[1])
+                for t, r in zip(texts, rows, strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -138,12 +221,12 @@ class WaveletMatrix:
         zeros = np.zeros(n_bits, dtype="<i8")
         planes = np.zeros((n_bits, (n + 63) // 64 * 8), dtype=np.uint8)
         for level in range(n_bits):
-            bit = (now >> (n_bits - 1 - level)) & 1 == 1
+            bit = now & now.dtype.type(1 << (n_bits - 1 - level)) != 0
             packed = np.packbits(bit, bitorder="little")
             planes[level, :len(packed)] = packed
-            low = now[~bit]
+            low = np.compress(~bit, now)
             zeros[level] = len(low)
-            now = np.concatenate([low, now[bit]])
+            now = np.concatenate([low, np.compress(bit, now)])
         return WaveletMatrix(n, n_bits, zeros, planes)
 
     def _bits(self, level: int) -> np.ndarray:

@@ -28,6 +28,30 @@ def test_piecewise_encoding_equals_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == want
 
 
+def test_words_go_to_the_model_alone(monkeypatch):
+    """New words cost neither the splitter nor the offsets of the whole tokenizer."""
+    path = op2_tokens.tokenizer_path(op2_tokens.TOKENIZER)
+    library, own = Tokenizer.from_file(path), op2_tokens.Encoder(path)
+    monkeypatch.setattr(own, "_encode", lambda texts: [1 // 0 for _ in texts])
+    monkeypatch.setattr(own, "_encode_lines", lambda pieces: [1 // 0 for _ in pieces])
+    texts = ["", "the thonrewh étété ÿß", " leading words", "x" * 400 + " y"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == want
+
+
+def test_encoding_while_the_memory_is_forgotten(monkeypatch):
+    monkeypatch.setattr(op2_tokens, "CACHE_ENTRIES", 40)
+    path = op2_tokens.tokenizer_path(op2_tokens.TOKENIZER)
+    library, own = Tokenizer.from_file(path), op2_tokens.Encoder(path)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["the", "a", "word,", "x  y", "", "é.", "b\nc", "q\n", "zwh"], k=rng.randint(0, 30)))
+             + str(i) for i in range(400)]
+    for at in range(0, 400, 20):
+        part = texts[at:at + 20]
+        want = [library.encode(t, add_special_tokens=False).ids for t in part]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(part)] == want
+
+
 def test_wavelet_matrix_against_the_plain_sequence():
     rng = np.random.default_rng(1)
     for n, top in ((0, 1), (1, 1), (63, 2), (64, 5), (65, 70_000), (5000, 300)):
