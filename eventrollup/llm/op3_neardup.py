@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrollup.llm import words as W
-from eventrollup.llm.common import discard, read_input, ship, slices, store
+from eventrollup.llm.common import discard, read_input, ship, slices, store, vacate
 from eventrollup.llm.components import components
 
 SHINGLE = 4
@@ -78,6 +78,7 @@ SIGNED = "doc_id bigint, n_shingles bigint, content binary, sig binary"
 
 
 def _document_sets(batches: Iterator[pa.RecordBatch], k: int):
+    vacate()
     for batch in slices(batches):
         data, offsets = W.text_bytes(batch.column(1))
         starts, ends, first = W.word_spans(data, offsets, W.NOT_SPACE)
@@ -190,6 +191,14 @@ def _passing(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa
         yield batch.filter(pa.array(keep == 1))
 
 
+def _of_passing(run, bits: np.ndarray):
+    """``run`` over the batches that pass, in the same worker process: two steps of
+    one stage would be two processes per core."""
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(_passing(batches, bits))
+    return both
+
+
 def _sets(k: int, bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, hashes, offsets in _document_sets(_passing(batches, bits), k):
@@ -211,9 +220,9 @@ def _bucket(tokens: np.ndarray) -> np.ndarray:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (set) -> shingles and the number of sets that hold them, summed per slice."""
+    """Rows (cls, set) -> shingles and the number of sets that hold them, summed per slice."""
     for batch in slices(batches, "set"):
-        names, n = np.unique(np.concatenate([_unpack(x) for x in batch.column(0).to_pylist()]), return_counts=True)
+        names, n = np.unique(np.concatenate([_unpack(x) for x in batch.column(1).to_pylist()]), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n, pa.int64())], names=["token", "n"])
 
 
@@ -226,11 +235,11 @@ def _leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["bucket", "level"])
 
 
-def _levels(sets: DataFrame) -> np.ndarray:
-    """How frequent the commonest shingle of every bucket is, 0 where none is in
-    two sets.  Of fixed size; buckets that shingles share only make the order of
+def _levels(sets: DataFrame, bits: np.ndarray) -> np.ndarray:
+    """How frequent the commonest shingle of every bucket is among the sets that pass
+    the filter, 0 where none is in two.  Of fixed size; buckets that shingles share only make the order of
     the shingles worse, and any order gives the same links."""
-    often = sets.select("set").mapInArrow(_tokens, "token bigint, n bigint") \
+    often = sets.mapInArrow(_of_passing(_tokens, bits), "token bigint, n bigint") \
         .groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
     rows = often.mapInArrow(_leveled, "bucket int, level tinyint").groupBy("bucket").agg(F.max("level").alias("level")).toArrow()
     out = np.zeros(1 << LEVEL_BITS, dtype=np.int8)
@@ -453,8 +462,8 @@ class _Join:
         members = store(labelled.join(apart.select("node"), "node", "left_semi").select("cls").distinct(), "rest-members")
         # The sets stay where they are stored; the few others that the filter lets
         # through are compared like members.
-        sets = self.among(members, "cls bigint, set binary")
-        rows = store(sets.mapInArrow(_prefixes(self.percent, _levels(sets)), "token bigint, cls bigint")
+        bits, sets = _bit_filter(members), self.sets.select("cls", "set")
+        rows = store(sets.mapInArrow(_of_passing(_prefixes(self.percent, _levels(sets, bits)), bits), "token bigint, cls bigint")
                      .join(known.withColumnRenamed("node", "cls"), "cls", "left")
                      .select("token", "cls", F.coalesce("component", "cls").alias("component")), "rest-prefixes")
         sizes = rows.groupBy("token").agg(

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrollup.llm.common import read_input, ship, slices
+from eventrollup.llm.common import read_input, resident, ship, slices
 from eventrollup.llm.words import ramp
 
 TOKENIZER = "word_bpe_49k.json"
@@ -247,14 +247,9 @@ class Codec:
         return self.strings.join(ids).tobytes()[:-1].decode()
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(path: str) -> Codec:
-    """One codec per worker process and file."""
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    """One codec per worker process, until it goes on to other work."""
+    return resident(path, lambda: Codec(path))
 
 
 def _coder(path: str):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrollup.llm.common import read_input, ship, slices, store
+from eventrollup.llm.common import read_input, ship, slices, store, vacate
 
 FEATURES = 1 << 14
 LANDMARKS = 192
@@ -181,6 +181,7 @@ def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
         for batch in slices(batches, max_bytes=1 << 20):
             names, _ = _judge(model, batch.column(place).to_pylist())
             yield batch.filter(pa.array([n != UNKNOWN for n in names]))

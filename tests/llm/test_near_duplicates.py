@@ -5,10 +5,12 @@ import random
 from pathlib import Path
 
 import llm_brute as B
+import numpy as np
+import pyarrow as pa
 from conftest import SF0001
 from pyspark.sql import functions as F
 
-from eventrollup.llm import op3_neardup
+from eventrollup.llm import common, op3_neardup, op4_bpe
 from eventrollup.llm.components import components
 
 
@@ -21,6 +23,25 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_a_worker_drops_the_model_of_another_stage():
+    op4_bpe.codec(op4_bpe.tokenizer_path())
+    assert op4_bpe.codec(op4_bpe.tokenizer_path()) is op4_bpe.codec(op4_bpe.tokenizer_path())
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a b c d e"]})
+    assert [b.num_rows for b in op3_neardup._signer(4)(iter([batch]))] == [1]
+    assert not common._RESIDENT
+
+
+def test_filter_and_step_run_in_one_process():
+    sets = [np.arange(n, n + 9, dtype=np.uint64) << np.uint64(24) for n in range(60)]
+    batch = pa.RecordBatch.from_pydict({"cls": list(range(60)), "set": [op3_neardup._pack(s) for s in sets]})
+    bits = np.zeros(1 << (op3_neardup.FILTER_BITS - 6), dtype=np.uint64)
+    for at in op3_neardup._places(np.array([3, 4], dtype=np.int64)):
+        bits[at >> 6] |= np.uint64(1) << np.uint64(at & 63)
+    out = list(op3_neardup._of_passing(op3_neardup._tokens, bits)(iter([batch])))
+    got = dict(pair for b in out for pair in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    assert got == {n: 1 + (3 < n < 12) for n in range(3, 13)}
+
+
 def test_query_equals_brute_force(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text").collect()]
     where, size = B.components(docs, 4)
