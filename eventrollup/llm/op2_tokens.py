@@ -30,62 +30,76 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrollup.llm.common import partition_starts, read_input, ship, slices
 from eventrollup.llm.op4_bpe import byte_characters
+from eventrollup.llm.words import ramp
 from eventrollup.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 1 << 18
-CACHE_ENTRIES = 500_000       # strings in each of the two generations of a memory
-WORDS = 128                   # words that the model encodes in one call
-
-# Cuts that never part a token: before a run of plain white space that follows
-# another character, and behind a run of letters that ends at an ASCII sign or
-# at the end.  Texts with any other white space are encoded in one piece.
-_LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]"
-_PIECES = re.compile(f"[ \\n\\r\\t]*+(?:{_LETTERS}++(?![A-Za-z\x80-\U0010ffff])|[^ \\n\\r\\t]+)|[ \\n\\r\\t]+")
+CACHE_ENTRIES = 500_000       # strings in each of the two generations of the memory
+LONG = 64                     # characters of the longest string remembered
+WORDS, LOTS = 128, 64         # words in one text for the model, such texts in one call
+BATCH = 4 << 20               # bytes of text encoded at once
+PART = 1 << 18                # pieces whose ids are gathered at once
+
 # One blank at most, then no white space at all.
 _PLAIN = re.compile("[ ]?[^ \\n\\r\\t]+$")
 # One word of the byte-level splitter, whatever stands beside it.
-_WORD = re.compile(f"[ ]?{_LETTERS}+")
-_OTHER_SPACES = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) \
-    + "\u2028\u2029\u202f\u205f\u3000"
-# A blank beside other white space.
-_RUNS = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
-
-
-class _Memory:
-    """Ids of strings, in two generations of bounded size."""
-
-    def __init__(self):
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def missing(self, rows: list[list[str]]) -> list[str]:
-        """The strings of some rows that are not known."""
-        if len(self.now) > CACHE_ENTRIES:
-            # Strings that are met again move on; the rest is forgotten next time.
-            self.now, self.before = {}, self.now
-        new = []
-        for s in set().union(*rows).difference(self.now):
-            ids = self.before.get(s)
-            if ids is None:
-                new.append(s)
-            else:
-                self.now[s] = ids
-        return new
-
-    def join(self, row: list[str]) -> bytes:
-        return b"".join(map(self.now.__getitem__, row))
+_WORD = re.compile("[ ]?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+# White space other than blank, tab and line ends.
+_OTHER_SPACES = "[\x0b\x0c\x1c-\x1f\x85\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+# Kinds of bytes.
+_SIGN, _BREAK, _BLANK, _LETTER, _LATIN, _OTHER = range(6)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[:128] = _SIGN
+_KIND[[9, 10, 13]] = _BREAK
+_KIND[32] = _BLANK
+_KIND[65:91] = _KIND[97:123] = _LETTER
+_KIND[0xc3] = _LATIN                  # leads U+00C0 .. U+00FF
+
+
+def piece_starts(body: np.ndarray, rows: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Where the pieces of some texts begin, in UTF-8: text i is body[rows[i]:rows[i + 1]],
+    those of ``whole`` are not cut.
+
+    Cuts that never part a token: before a run of plain white space that follows
+    another character; behind a single tab or line end; and behind a run of letters
+    that follows white space and ends at an ASCII sign.  Texts with any other white
+    space have to be left whole.
+    """
+    kind = _KIND[body]
+    space = (kind == _BREAK) | (kind == _BLANK)
+    letter = kind == _LETTER
+    lead = np.flatnonzero(kind == _LATIN)
+    lead = lead[(body[lead + 1] != 0x97) & (body[lead + 1] != 0xb7)]
+    letter[lead] = letter[lead + 1] = True
+    edge = np.zeros(len(body) + 1, dtype=bool)
+    edge[rows[:-1][np.diff(rows) > 0]] = True
+    opens = space & (edge[:-1] | ~np.append(False, space[:-1]))
+    first = opens | edge[:-1]
+    first[1:] |= (opens & (kind == _BREAK))[:-1] & ~space[1:]
+    # Runs of letters, parted at the beginnings of texts.
+    run = np.flatnonzero(letter & (edge[:-1] | ~np.append(False, letter[:-1])))
+    end = np.flatnonzero(letter & (edge[1:] | ~np.append(letter[1:], False))) + 1
+    end = end[(first[run] | space[run - 1]) & (end < len(body))]
+    first[end[kind[end] == _SIGN]] = True
+    for i in whole.tolist():
+        first[rows[i] + 1:rows[i + 1]] = False
+    return np.flatnonzero(first)
 
 
 class Encoder:
-    """The tokenizer with a bounded memory of pieces it has encoded, and of chunks:
-    what stands behind a single blank, up to the next one."""
+    """The tokenizer with a bounded memory of pieces it has encoded, in two generations.
+
+    The pieces of a batch of texts are numbered in one pass by Arrow; only different
+    ones are looked up, and the ids of the texts are gathered by these numbers.
+    """
 
     def __init__(self, path: str):
         import os
@@ -97,10 +111,11 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.model = self.tokenizer.model
+        self.model = Tokenizer(self.tokenizer.model)          # neither splitter nor added tokens
         self.parting = self._parting()
-        self.shown = "".join(byte_characters())
-        self.known, self.chunks = _Memory(), _Memory()
+        self.shown = np.array([ord(c) for c in byte_characters()], dtype="<u2")
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -112,7 +127,7 @@ class Encoder:
         from tokenizers.models import BPE
         from tokenizers.pre_tokenizers import ByteLevel
 
-        split, model, zero = self.tokenizer.pre_tokenizer, self.model, byte_characters()[0]
+        split, model, zero = self.tokenizer.pre_tokenizer, self.tokenizer.model, byte_characters()[0]
         if self.tokenizer.normalizer is not None or not isinstance(split, ByteLevel) or not isinstance(model, BPE):
             return None
         if split.add_prefix_space or not split.use_regex or model.dropout or model.continuing_subword_prefix \
@@ -128,10 +143,13 @@ class Encoder:
         """Words encoded by the model alone, some in one call with zero bytes between
         them: nothing is merged across one."""
         out = []
-        for at in range(0, len(words), WORDS):
-            units = "\0".join(words[at:at + WORDS]).encode().decode("latin-1").translate(self.shown)
-            ids = np.array([t.id for t in self.model.tokenize(units)], dtype="<u4")
-            out += self._parts(ids, self.parting)
+        for at in range(0, len(words), LOTS * WORDS):
+            lots = []
+            for i in range(at, min(at + LOTS * WORDS, len(words)), WORDS):
+                units = np.frombuffer("\0".join([*words[i:i + WORDS], ""]).encode(), dtype=np.uint8)
+                lots.append(self.shown[units].tobytes().decode("utf-16-le"))
+            ids = [i for e in self.model.encode_batch_fast(lots, add_special_tokens=False) for i in e.ids]
+            out += self._parts(np.array(ids[:-1], dtype="<u4"), self.parting)
         return out
 
     @staticmethod
@@ -148,43 +166,68 @@ class Encoder:
         ids = np.array(self.tokenizer.encode("\n".join(pieces), add_special_tokens=False).ids, dtype="<u4")
         return self._parts(ids, self.line_end)
 
-    def _encode_pieces(self, rows: list[list[str]]) -> None:
-        """All pieces of some rows become known."""
-        new = self.known.missing(rows)
-        words = [p for p in new if _WORD.fullmatch(p)] if self.parting is not None else []
-        self.known.now.update(zip(words, self._encode_words(words), strict=True))
-        plain = [p for p in new if p not in self.known.now and _PLAIN.match(p)]
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        words = [p for p in pieces if _WORD.fullmatch(p)] if self.parting is not None else []
+        got = dict(zip(words, self._encode_words(words), strict=True))
+        rest = [p for p in pieces if p not in got]
+        plain = [p for p in rest if _PLAIN.match(p)]
         for at in range(0, len(plain), 2_000):
             part = plain[at:at + 2_000]
-            self.known.now.update(zip(part, self._encode_lines(part), strict=True))
-        other = [p for p in new if p not in self.known.now]
-        self.known.now.update(zip(other, self._encode(other), strict=True))
-
-    def _encode_chunks(self, rows: list[list[str]], pieces: list[list[str]]) -> None:
-        """All chunks of some rows become known, and the pieces."""
-        new = self.chunks.missing(rows)
-        words = [c for c in new if _WORD.fullmatch(" " + c)] if self.parting is not None else []
-        self.chunks.now.update(zip(words, self._encode_words([" " + c for c in words]), strict=True))
-        cut = {c: _PIECES.findall(" " + c) for c in new if c not in self.chunks.now}
-        self._encode_pieces([*pieces, *cut.values()])
-        self.chunks.now.update((c, self.known.join(row)) for c, row in cut.items())
+            got.update(zip(part, self._encode_lines(part), strict=True))
+        other = [p for p in rest if p not in got]
+        got.update(zip(other, self._encode(other), strict=True))
+        return got
+
+    def _look_up(self, pieces: list[str], whole: set[str]) -> list[bytes]:
+        """Ids of different pieces; ``whole``: texts that were not cut."""
+        if len(self.now) > CACHE_ENTRIES:
+            # Strings that are met again move on; the rest is forgotten next time.
+            self.now, self.before = {}, self.now
+        out = list(map(self.now.get, pieces))
+        unmet = [i for i, x in enumerate(out) if x is None]
+        for i in unmet:
+            out[i] = self.before.get(pieces[i])
+        new = [pieces[i] for i in unmet if out[i] is None]
+        texts = [p for p in new if p in whole]
+        got = self._encode_pieces([p for p in new if p not in whole] if whole else new)
+        got.update(zip(texts, self._encode(texts), strict=True))
+        for i in unmet:
+            if out[i] is None:
+                out[i] = got[pieces[i]]
+        # Long strings hardly come again and would fill the memory.
+        self.now.update((pieces[i], out[i]) for i in unmet if len(pieces[i]) <= LONG and pieces[i] not in whole)
+        return out
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has (null: none)."""
+        if not pc.sum(pc.binary_length(texts)).as_py():
+            return np.empty(0, dtype="<u4"), np.zeros(len(texts), dtype=np.int64)
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        _, offsets, data = texts.buffers()
+        rows = np.frombuffer(offsets, dtype="<i8")[texts.offset:texts.offset + len(texts) + 1]
+        body = np.frombuffer(data, dtype=np.uint8)[rows[0]:rows[-1]]
+        rows = rows - rows[0]
+        spaced = pc.match_substring_regex(texts, _OTHER_SPACES)
+        starts = piece_starts(body, rows, pc.indices_nonzero(spaced).to_numpy())
+        pieces = pa.LargeStringArray.from_buffers(
+            len(starts), pa.py_buffer(np.append(starts, len(body)).astype("<i8")), pa.py_buffer(body)).dictionary_encode()
+        ids = self._look_up(pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), set(texts.filter(spaced).to_pylist()))
+        number = pieces.indices.to_numpy()
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        begin = np.cumsum(size) - size
+        known = np.frombuffer(b"".join(ids), dtype="<u4")
+        n = size[number]
+        # A part of the pieces at a time: places take more memory than ids.
+        tokens = np.concatenate([known[np.repeat(begin[number[at:at + PART]], n[at:at + PART]) + ramp(n[at:at + PART])]
+                                 for at in range(0, len(number), PART)])
+        ends = np.append(0, np.cumsum(n))
+        return tokens, np.diff(ends[np.searchsorted(starts, rows)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        # None: in one piece.  Else pieces, and the chunks behind single blanks.
-        rows: list[tuple[list[str], list[str]] | None] = []
-        for t in texts:
-            if any(map(t.__contains__, _OTHER_SPACES)):
-                rows.append(None)
-            elif any(map(t.__contains__, _RUNS)):
-                rows.append((_PIECES.findall(t), []))
-            else:
-                first, *chunks = t.split(" ")
-                rows.append((_PIECES.findall(first), chunks))
-        cut = [r for r in rows if r]
-        self._encode_chunks([c for _, c in cut], [p for p, _ in cut])
-        return [self._encode([t])[0] if r is None else self.known.join(r[0]) + self.chunks.join(r[1])
-                for t, r in zip(texts, rows, strict=True)]
+        tokens, sizes = self.encode_column(pa.array(texts, pa.large_string()))
+        ends = np.cumsum(sizes)
+        return [tokens[a:b].tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -298,9 +341,9 @@ class WaveletMatrix:
         now = np.zeros(self.n, dtype=np.uint16 if self.n_bits <= 16 else np.uint32)
         for level in range(self.n_bits - 1, -1, -1):
             bit = self._bits(level).view(bool)
+            now[self.zeros[level]:] |= now.dtype.type(1 << (self.n_bits - 1 - level))
             up = np.empty_like(now)
-            up[~bit] = now[:self.zeros[level]]
-            up[bit] = now[self.zeros[level]:] | now.dtype.type(1 << (self.n_bits - 1 - level))
+            up[np.concatenate([np.flatnonzero(~bit), np.flatnonzero(bit)])] = now
             now = up
         return now
 
@@ -314,7 +357,6 @@ def _shard_batches(path: str, end_id: int, max_tokens: int):
     schema = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("sizes", pa.binary()), ("n_tokens", pa.int64()), ("n_bits", pa.int32()),
                         ("zeros", pa.binary()), ("planes", pa.binary())])
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -322,23 +364,33 @@ def _shard_batches(path: str, end_id: int, max_tokens: int):
         part, before, held = TaskContext.get().partitionId(), 0, 0
         ids: list = []
         tokens: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         enc = encoder(path)
 
         def done():
             w = WaveletMatrix.build(np.concatenate(tokens))
             return pa.RecordBatch.from_pylist([{
                 "part": part, "before": before, "doc_ids": ids,
-                "sizes": np.array([len(t) for t in tokens], dtype="<i8").tobytes(), "n_tokens": w.n,
+                "sizes": np.concatenate(sizes).astype("<i8").tobytes(), "n_tokens": w.n,
                 "n_bits": w.n_bits, "zeros": w.zeros.tobytes(), "planes": w.planes.tobytes()}], schema=schema)
 
-        for batch in slices(batches, max_bytes=1 << 20):
-            ids += batch.column(0).to_pylist()
-            new = [np.frombuffer(x + end, dtype="<u4") for x in enc.encode([t or "" for t in batch.column(1).to_pylist()])]
-            tokens += new
-            held += sum(map(len, new))
-            if held >= max_tokens:
-                yield done()
-                ids, tokens, before, held = [], [], before + held, 0
+        for batch in slices(batches, max_bytes=BATCH):
+            new, size = enc.encode_column(batch.column(1))
+            new = np.insert(new, np.cumsum(size), end_id)
+            size = size + 1
+            ends = np.cumsum(size)
+            at = base = 0
+            while at < batch.num_rows:
+                # Up to the document that fills the shard.
+                to = min(int(np.searchsorted(ends, base + max_tokens - held)) + 1, batch.num_rows)
+                ids += batch.column(0).slice(at, to - at).to_pylist()
+                tokens.append(new[base:ends[to - 1]])
+                sizes.append(size[at:to])
+                held += int(ends[to - 1]) - base
+                at, base = to, int(ends[to - 1])
+                if held >= max_tokens:
+                    yield done()
+                    ids, tokens, sizes, before, held = [], [], [], before + held, 0
         if ids:
             yield done()
     return run

@@ -1,6 +1,7 @@
 """Token files and BPE: the tokenizers library is the measure."""
 
 import random
+import re
 import zlib
 
 import llm_brute as B
@@ -97,6 +98,58 @@ def test_token_files_awkward_rows(spark):
     assert max(r["last"] for r in ends) == sum(r[2] for r in got) - 1
 
 
+def _plain_cuts(text):
+    """Where pieces begin, character by character."""
+    space, letter = " \t\r\n", re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]")
+    cuts, core = {0} if text else set(), 0
+    for i in range(1, len(text)):
+        if text[i] in space and text[i - 1] not in space:
+            cuts.add(i)
+        if text[i] not in space and text[i - 1] in space:
+            core = i
+            if text[i - 1] != " " and (i == 1 or text[i - 2] not in space):
+                cuts.add(i)
+        sign = ord(text[i]) < 128 and text[i] not in space and not letter.match(text[i])
+        if sign and core < i and all(map(letter.match, text[core:i])):
+            cuts.add(i)
+    return sorted(cuts)
+
+
+def test_pieces_are_cut_text_by_text():
+    rng = random.Random(4)
+    alphabet = ["a", "B", "É", "×", "÷", "ÿ", "中", ".", "1", " ", " ", "\n", "\t", "\r", "'"]
+    texts = ["".join(rng.choices(alphabet, k=rng.choice([0, 1, 2, 5, 12]))) for _ in range(3000)]
+    rows = np.cumsum([0] + [len(t.encode()) for t in texts])
+    whole = np.arange(0, 3000, 50)
+    body = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    want = [r + len(t[:c].encode()) for i, (r, t) in enumerate(zip(rows.tolist(), texts, strict=False))
+            for c in (_plain_cuts(t)[:1] if i % 50 == 0 else _plain_cuts(t))]
+    assert op2_tokens.piece_starts(body, rows, whole).tolist() == want
+
+
+def test_each_different_piece_is_looked_up_once(monkeypatch):
+    path = op2_tokens.tokenizer_path(op2_tokens.TOKENIZER)
+    library, own = Tokenizer.from_file(path), op2_tokens.Encoder(path)
+    seen, look_up = [], own._look_up
+    monkeypatch.setattr(own, "_look_up", lambda pieces, whole: seen.extend(pieces) or look_up(pieces, whole))
+    texts = ["the cat, the dog.\nThe cat", "", "1" * 500] * 300
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == want
+    assert sorted(seen) == sorted(["the", " cat", ",", " the", " dog", ".", "\n", "The", "1" * 500])
+    assert "1" * 500 not in own.now and " cat" in own.now
+
+
+def test_a_shard_ends_with_the_document_that_fills_it(spark):
+    path = work_dir(spark, "tokens")
+    docs = spark.createDataFrame([(i, "a b c d e f g h i" if i % 7 else None) for i in range(200)], "doc_id long, text string")
+    op2_tokens.write_tokens(docs.coalesce(1), path, op2_tokens.tokenizer_path(op2_tokens.TOKENIZER), shard_tokens=40)
+    shards = op2_tokens.read_shards(spark, path).collect()
+    sizes = [np.frombuffer(r["sizes"], "<i8") for r in shards]
+    assert all(x[:-1].sum() < 40 and x.sum() == r["n_tokens"] for x, r in zip(sizes, shards, strict=True))
+    got = sorted((tuple(r) for r in op2_tokens.read_documents(spark, path).collect()))
+    assert got == _expected([(r["doc_id"], r["text"]) for r in docs.orderBy("doc_id").collect()])
+
+
 def test_token_files_empty(spark):
     path = work_dir(spark, "tokens")
     op2_tokens.write_tokens(B.empty(spark), path, op2_tokens.tokenizer_path(op2_tokens.TOKENIZER))
