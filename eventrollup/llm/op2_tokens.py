@@ -42,10 +42,10 @@ from eventrollup.session import work_dir
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 1 << 18
-CACHE_ENTRIES = 500_000       # strings in each of the two generations of the memory
+CACHE_ENTRIES = 600_000       # pieces remembered, besides those of a batch
 LONG = 64                     # characters of the longest string remembered
 WORDS, LOTS = 128, 64         # words in one text for the model, such texts in one call
-BATCH = 4 << 20               # bytes of text encoded at once
+BATCH = 8 << 20               # bytes of text encoded at once
 PART = 1 << 18                # pieces whose ids are gathered at once
 
 # One blank at most, then no white space at all.
@@ -95,10 +95,10 @@ def piece_starts(body: np.ndarray, rows: np.ndarray, whole: np.ndarray) -> np.nd
 
 
 class Encoder:
-    """The tokenizer with a bounded memory of pieces it has encoded, in two generations.
+    """The tokenizer with a bounded memory of pieces it has encoded.
 
     The pieces of a batch of texts are numbered in one pass by Arrow; only different
-    ones are looked up, and the ids of the texts are gathered by these numbers.
+    ones are looked up, all at once, and the ids of the texts are gathered by number.
     """
 
     def __init__(self, path: str):
@@ -114,8 +114,11 @@ class Encoder:
         self.model = Tokenizer(self.tokenizer.model)          # neither splitter nor added tokens
         self.parting = self._parting()
         self.shown = np.array([ord(c) for c in byte_characters()], dtype="<u2")
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        # The memory: pieces, their ids one after the other, ids of each, and whether
+        # it was met again.
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.sizes = np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64)
+        self.met = np.empty(0, dtype=bool)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -178,25 +181,45 @@ class Encoder:
         got.update(zip(other, self._encode(other), strict=True))
         return got
 
-    def _look_up(self, pieces: list[str], whole: set[str]) -> list[bytes]:
-        """Ids of different pieces; ``whole``: texts that were not cut."""
-        if len(self.now) > CACHE_ENTRIES:
-            # Strings that are met again move on; the rest is forgotten next time.
-            self.now, self.before = {}, self.now
-        out = list(map(self.now.get, pieces))
-        unmet = [i for i, x in enumerate(out) if x is None]
-        for i in unmet:
-            out[i] = self.before.get(pieces[i])
-        new = [pieces[i] for i in unmet if out[i] is None]
-        texts = [p for p in new if p in whole]
-        got = self._encode_pieces([p for p in new if p not in whole] if whole else new)
+    def _forget(self) -> None:
+        """Pieces that were met again stay, half the memory at most."""
+        stay = np.flatnonzero(self.met)[:CACHE_ENTRIES // 2]
+        begin, n = (np.cumsum(self.sizes) - self.sizes)[stay], self.sizes[stay]
+        self.known = self.known.take(pa.array(stay))
+        self.ids, self.sizes = self.ids[np.repeat(begin, n) + ramp(n)], n
+        self.met = np.zeros(len(stay), dtype=bool)
+
+    def _look_up(self, pieces: pa.Array, whole: set[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of some pieces, and where those of each of the different ``pieces`` begin
+        and how many it has; ``whole``: texts that were not cut."""
+        if len(self.known) > CACHE_ENTRIES:
+            self._forget()
+        place = pc.index_in(pieces, value_set=self.known)
+        unmet = place.is_null()
+        new = pieces.filter(unmet)
+        strings = new.to_numpy(zero_copy_only=False).tolist()
+        texts = [p for p in strings if p in whole]
+        got = self._encode_pieces([p for p in strings if p not in whole] if whole else strings)
         got.update(zip(texts, self._encode(texts), strict=True))
-        for i in unmet:
-            if out[i] is None:
-                out[i] = got[pieces[i]]
-        # Long strings hardly come again and would fill the memory.
-        self.now.update((pieces[i], out[i]) for i in unmet if len(pieces[i]) <= LONG and pieces[i] not in whole)
-        return out
+        add = [got[p] for p in strings]
+        size = np.fromiter(map(len, add), dtype=np.int64, count=len(add)) // 4
+        # The new ones stand behind those of the memory.
+        n = len(self.known)
+        at = place.fill_null(-1).to_numpy().astype(np.int64)
+        self.met[at[at >= 0]] = True
+        at[at < 0] = n + np.arange(len(new))
+        ids = np.concatenate([self.ids, np.frombuffer(b"".join(add), dtype="<u4")])
+        sizes = np.concatenate([self.sizes, size])
+        begin = np.cumsum(sizes) - sizes
+        # Long pieces hardly come again and would fill the memory.
+        short = pc.less_equal(pc.utf8_length(new), LONG).to_numpy(zero_copy_only=False)
+        if whole:
+            short &= np.array([p not in whole for p in strings], dtype=bool)
+        self.known = pa.concat_arrays([self.known, new.filter(pa.array(short))])
+        self.ids = ids if short.all() else np.concatenate([self.ids, ids[len(self.ids):][np.repeat(short, size)]])
+        self.sizes = np.concatenate([self.sizes, size[short]])
+        self.met = np.concatenate([self.met, np.zeros(int(short.sum()), dtype=bool)])
+        return ids, begin[at], sizes[at]
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has (null: none)."""
@@ -211,11 +234,8 @@ class Encoder:
         starts = piece_starts(body, rows, pc.indices_nonzero(spaced).to_numpy())
         pieces = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(np.append(starts, len(body)).astype("<i8")), pa.py_buffer(body)).dictionary_encode()
-        ids = self._look_up(pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), set(texts.filter(spaced).to_pylist()))
+        known, begin, size = self._look_up(pieces.dictionary, set(texts.filter(spaced).to_pylist()))
         number = pieces.indices.to_numpy()
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        begin = np.cumsum(size) - size
-        known = np.frombuffer(b"".join(ids), dtype="<u4")
         n = size[number]
         # A part of the pieces at a time: places take more memory than ids.
         tokens = np.concatenate([known[np.repeat(begin[number[at:at + PART]], n[at:at + PART]) + ramp(n[at:at + PART])]

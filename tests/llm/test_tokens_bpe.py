@@ -131,12 +131,13 @@ def test_each_different_piece_is_looked_up_once(monkeypatch):
     path = op2_tokens.tokenizer_path(op2_tokens.TOKENIZER)
     library, own = Tokenizer.from_file(path), op2_tokens.Encoder(path)
     seen, look_up = [], own._look_up
-    monkeypatch.setattr(own, "_look_up", lambda pieces, whole: seen.extend(pieces) or look_up(pieces, whole))
+    monkeypatch.setattr(own, "_look_up", lambda pieces, whole: seen.extend(pieces.to_pylist()) or look_up(pieces, whole))
     texts = ["the cat, the dog.\nThe cat", "", "1" * 500] * 300
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == want
     assert sorted(seen) == sorted(["the", " cat", ",", " the", " dog", ".", "\n", "The", "1" * 500])
-    assert "1" * 500 not in own.now and " cat" in own.now
+    known = own.known.to_pylist()
+    assert "1" * 500 not in known and " cat" in known and len(known) == len(own.sizes) == len(own.met)
 
 
 def test_a_shard_ends_with_the_document_that_fills_it(spark):
