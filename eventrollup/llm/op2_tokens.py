@@ -232,8 +232,9 @@ class Encoder:
         rows = rows - rows[0]
         spaced = pc.match_substring_regex(texts, _OTHER_SPACES)
         starts = piece_starts(body, rows, pc.indices_nonzero(spaced).to_numpy())
+        offsets = np.append(starts, len(body)).astype("<i8")
         pieces = pa.LargeStringArray.from_buffers(
-            len(starts), pa.py_buffer(np.append(starts, len(body)).astype("<i8")), pa.py_buffer(body)).dictionary_encode()
+            len(starts), pa.py_buffer(offsets), pa.py_buffer(body)).dictionary_encode()
         known, begin, size = self._look_up(pieces.dictionary, set(texts.filter(spaced).to_pylist()))
         number = pieces.indices.to_numpy()
         n = size[number]
